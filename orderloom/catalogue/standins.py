@@ -13,6 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import fixed
+from ..session import working_path
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 RUN_TS = dt.datetime(2022, 7, 29, 21, 30)
@@ -28,6 +29,15 @@ def _by_position(column: str, values, default: str = "NULL") -> str:
 
 
 _SRC4_CODES = ("'160'", "'090'", "'470'", "'250'", "'430'", "'420'", "'060'", "'110'", "'210'", "'620'", "'480'", "'999'")
+_CC4 = _by_position("nat % 12", _SRC4_CODES)
+_AFF4 = "CASE WHEN nat % 12 = 9 THEN '150' ELSE " + _CC4 + " END"
+_AFF1 = _by_position("nat % 5", ("'040'", "'040'", "'150'", "'480'", "'999'"))
+_CC1 = "lpad(cast(40 + nat as string), 3, '0')"
+_AFF3 = "CASE WHEN reg < 4 THEN '030' ELSE '100' END"
+_ISO3 = "CASE WHEN nat % 2 = 0 THEN 'AU' ELSE 'NZ' END"
+_ENTITY3 = "CASE WHEN nat % 2 = 0 THEN '030' ELSE '240' END"
+_VOL2 = ("CASE WHEN cust % 11 = 0 THEN '570' WHEN cust % 2 = 0 THEN '570' || cast(reg as string) "
+         "ELSE cast(cust as string) END")
 _DAY = "year({0}) * 10000 + month({0}) * 100 + day({0})"
 _YM = "cast(year({0}) * 100 + month({0}) as int)"
 _CODE = "lpad(cast(part as string), 5, '0') || CASE rf WHEN 'R' THEN 'RU' WHEN 'A' THEN 'A1' ELSE '' END"
@@ -40,11 +50,14 @@ SQL = {
                cast(o.o_totalprice as decimal(18,2)) AS total,
                o.o_orderdate + INTERVAL '252' MONTH AS dt,
                u.last_dt + INTERVAL '252' MONTH AS upd,
-               o.o_orderpriority AS prio, c.c_nationkey AS nat, c.c_mktsegment AS seg, n.n_regionkey AS reg
+               o.o_orderpriority AS prio, c.c_nationkey AS nat, c.c_mktsegment AS seg, n.n_regionkey AS reg, g.comb
         FROM {orders} o
         JOIN {customer} c ON o.o_custkey = c.c_custkey
         JOIN {nation} n ON c.c_nationkey = n.n_nationkey
         JOIN (SELECT o_custkey AS k, max(o_orderdate) AS last_dt FROM {orders} GROUP BY o_custkey) u ON o.o_custkey = u.k
+        JOIN (SELECT cn.n_regionkey AS g_reg, oo.o_orderdate AS g_dt, min(oo.o_orderkey) AS comb
+              FROM {orders} oo JOIN {customer} cc ON oo.o_custkey = cc.c_custkey JOIN {nation} cn ON cc.c_nationkey = cn.n_nationkey
+              GROUP BY cn.n_regionkey, oo.o_orderdate) g ON n.n_regionkey = g.g_reg AND o.o_orderdate = g.g_dt
     """,
     "li": """
         SELECT l_orderkey AS ord, l_linenumber AS ln,
@@ -56,14 +69,12 @@ SQL = {
                max(l_shipdate) + INTERVAL '252' MONTH AS shp
         FROM {lineitem} GROUP BY l_orderkey, l_linenumber
     """,
+    "lh": """
+        SELECT l.*, h.cust, h.status, h.dt, h.prio, h.nat, h.seg, h.reg FROM {li} l JOIN {hd} h ON l.ord = h.ord
+    """,
     # --- source 1
     "h1": """
-        SELECT h.*, g.comb,
-               """ + _by_position("h.nat % 5", ("'040'", "'040'", "'150'", "'480'", "'999'")) + """ AS aff,
-               lpad(cast(40 + h.nat as string), 3, '0') AS cc
-        FROM {hd} h
-        JOIN (SELECT reg AS g_reg, dt AS g_dt, min(ord) AS comb FROM {hd} GROUP BY reg, dt) g
-          ON h.reg = g.g_reg AND h.dt = g.g_dt
+        SELECT *, """ + _AFF1 + """ AS aff, """ + _CC1 + """ AS cc FROM {hd}
     """,
     "src1_header": """
         SELECT ord, comb AS comb_ord,
@@ -90,15 +101,15 @@ SQL = {
         FROM {h1}
     """,
     "src1_line": """
-        SELECT l.ord, l.ln AS ord_ln,
+        SELECT ord, ln AS ord_ln,
                CASE rf WHEN 'R' THEN 'O' WHEN 'A' THEN 'P' ELSE NULL END AS ln_type,
-               l.ln - (l.ln - 1) % 3 AS ref_ln,
+               ln - (ln - 1) % 3 AS ref_ln,
                CASE WHEN ls = 'F' AND rf = 'N' THEN 'G' ELSE 'I' END AS item_type,
                CASE WHEN qty < 10 THEN 'S' WHEN qty < 25 THEN 'E' ELSE ' ' END AS item_disp,
                ' ' || """ + _CODE + """ || ' ' AS item,
                qty AS item_qty, price AS item_price, tax AS item_pv, qty AS item_bv,
-               '  ' AS cntry, h.cc AS intgrt_cntry_cd
-        FROM {li} l JOIN {h1} h ON l.ord = h.ord
+               '  ' AS cntry, """ + _CC1 + """ AS intgrt_cntry_cd
+        FROM {lh}
     """,
     "src1_channel": """
         SELECT cc AS cntry_cd, CASE WHEN status = 'F' THEN 'EMP' ELSE status END AS ord_type_cd,
@@ -119,7 +130,7 @@ SQL = {
                dt + INTERVAL '1' HOUR * cast(18 + ord % 6 as int) AS ord_dt,
                CASE WHEN status = 'F' THEN 'ZA_COMBINED_ORDER' ELSE status END AS ord_type,
                '570' || cast(reg as string) AS shp_imc_no,
-               CASE WHEN cust % 11 = 0 THEN '570' WHEN cust % 2 = 0 THEN '570' || cast(reg as string) ELSE cast(cust as string) END AS vol_imc_no,
+               """ + _VOL2 + """ AS vol_imc_no,
                CASE WHEN cust % 4 = 0 THEN '570' || cast(reg as string) ELSE '570' || cast(cust as string) END AS ord_imc_no,
                prio AS shp_adr_ln_1, 'ZARX' AS curcy_cd, seg AS sale_chnl, 'P' || cast(cust as string) AS shp_postl_cd,
                CASE prio WHEN '1-URGENT' THEN 'Y' WHEN '2-HIGH' THEN NULL ELSE 'N' END AS cancelled_flg,
@@ -128,9 +139,9 @@ SQL = {
         FROM {hd}
     """,
     "src2_line": """
-        SELECT l.ord AS ord_no, h.intgrt_aff_cd, 'W' || cast(supp % 9 as string) AS whse_cd,
+        SELECT ord AS ord_no, CASE WHEN reg < 4 THEN '570' ELSE '999' END AS intgrt_aff_cd, 'W' || cast(supp % 9 as string) AS whse_cd,
                shp + INTERVAL '20' HOUR AS act_shp_dt,
-               CASE WHEN rf = 'N' THEN NULL ELSE h.vol_imc_no END AS vol_imc_no,
+               CASE WHEN rf = 'N' THEN NULL ELSE """ + _VOL2 + """ END AS vol_imc_no,
                CASE WHEN rf = 'N' THEN NULL ELSE cast(supp as string) END AS ord_imc_no,
                CASE WHEN ls = 'F' THEN NULL ELSE '570' || cast(part as string) END AS shp_imc_no,
                tax AS dlvry_fee, cast(floor((ln - 1) / 3) as int) + 1 AS ord_ln_no, cast(ln as bigint) AS oracle_line_id,
@@ -138,8 +149,8 @@ SQL = {
                CASE (ln - 1) % 3 WHEN 0 THEN 'MODEL' WHEN 1 THEN 'OPTION' ELSE 'STD' END AS item_type,
                """ + _CODE + """ AS ord_item,
                price AS unit_sell_price, qty AS ord_qty, tax AS extend_pv_amt, price AS extend_bv_amt,
-               cast(qty - 1 as decimal(18,2)) AS shp_qty, h.shp_adr_ln_1 AS shp_priority
-        FROM {li} l JOIN {src2_header} h ON l.ord = h.ord_no
+               cast(qty - 1 as decimal(18,2)) AS shp_qty, prio AS shp_priority
+        FROM {lh}
     """,
     "invoices2": """
         SELECT cast(570 as bigint) AS aff_id, '003' AS trx_sourc_cd, cast(570 as bigint) AS cntry_id, cast(0 as bigint) AS org_ord_id,
@@ -156,10 +167,10 @@ SQL = {
     """,
     # --- source 3
     "h3": """
-        SELECT *, CASE WHEN reg < 4 THEN '030' ELSE '100' END AS aff,
-               CASE WHEN nat % 2 = 0 THEN 'AU' ELSE 'NZ' END AS iso,
-               CASE WHEN nat % 2 = 0 THEN '030' ELSE '240' END AS entity
-        FROM {hd}
+        SELECT *, """ + _AFF3 + """ AS aff, """ + _ISO3 + """ AS iso, """ + _ENTITY3 + """ AS entity FROM {hd}
+    """,
+    "l3": """
+        SELECT *, """ + _AFF3 + """ AS aff, """ + _ISO3 + """ AS iso, """ + _ENTITY3 + """ AS entity FROM {lh}
     """,
     "src3_header": """
         SELECT iso AS iso_country_code, cast(ord as string) AS sales_order_id, aff AS affiliate_code,
@@ -180,22 +191,22 @@ SQL = {
         FROM {h3}
     """,
     "src3_consignment": """
-        SELECT cast(h.ord as string) AS sales_order_id, 'P' || cast(h.cust % 50 as string) AS delivery_postal_code,
-               """ + _by_position("h.nat % 8", ("'MY'", "'PH'", "'SG'", "'BN'", "'VN'", "'AU'", "'NZ'", "'US'")) + """ AS delivery_iso_country_code,
-               h.entity AS amway_sales_entity, 'W' || cast(l.supp % 2 as string) AS warehouse_code,
-               CASE WHEN h.reg = 1 AND h.status = 'P' THEN h.dt + INTERVAL '40' DAY ELSE h.dt END AS order_date_time,
-               h.aff AS affiliate_code
-        FROM {li} l JOIN {h3} h ON l.ord = h.ord WHERE l.rf = 'N'
+        SELECT cast(ord as string) AS sales_order_id, 'P' || cast(cust % 50 as string) AS delivery_postal_code,
+               """ + _by_position("nat % 8", ("'MY'", "'PH'", "'SG'", "'BN'", "'VN'", "'AU'", "'NZ'", "'US'")) + """ AS delivery_iso_country_code,
+               entity AS amway_sales_entity, 'W' || cast(supp % 2 as string) AS warehouse_code,
+               CASE WHEN reg = 1 AND status = 'P' THEN dt + INTERVAL '40' DAY ELSE dt END AS order_date_time,
+               aff AS affiliate_code
+        FROM {l3} WHERE rf = 'N'
     """,
     "src3_line": """
-        SELECT h.iso AS sale_country_code, cast(l.ord as string) AS sales_order_id, cast(l.ln as string) AS order_line_id,
+        SELECT iso AS sale_country_code, cast(ord as string) AS sales_order_id, cast(ln as string) AS order_line_id,
                CASE WHEN ls = 'O' THEN 'B' || lpad(cast(supp % 7 as string), 4, '0') || 'EN' ELSE NULL END AS bundle_item_id,
                ' ' || """ + _CODE + """ AS base_item_id, cast(price as string) AS line_price,
                qty AS line_pv_amount, tax AS line_bv_amount,
                CASE WHEN rf = 'N' THEN NULL ELSE qty END AS shipped_quantity, CASE WHEN rf = 'A' THEN NULL ELSE tax END AS pending_quantity,
                qty AS ordered_quantity, CASE WHEN rf = 'R' THEN NULL ELSE tax END AS cancelled_quantity,
-               'D' || cast(supp % 4 as string) AS demand_location, h.seg AS fulfillment_type, h.aff AS affiliate_code
-        FROM {li} l JOIN {h3} h ON l.ord = h.ord
+               'D' || cast(supp % 4 as string) AS demand_location, seg AS fulfillment_type, aff AS affiliate_code
+        FROM {l3}
     """,
     "src3_fulfilment": """
         SELECT cast(l.l_orderkey as string) AS sales_order_id, h.iso AS sale_country_code,
@@ -203,11 +214,11 @@ SQL = {
         FROM {lineitem} l JOIN {h3} h ON l.l_orderkey = h.ord WHERE l.l_linestatus = 'F'
     """,
     "src3_fees": """
-        SELECT cast(l.ord as string) AS sales_order_id, h.iso AS sale_country_code,
+        SELECT cast(ord as string) AS sales_order_id, iso AS sale_country_code,
                CASE rf WHEN 'A' THEN 'netRoundOff_increase' WHEN 'R' THEN 'delivery' ELSE 'handling' END AS fee_code,
                cast(qty as string) AS fee_amount, CASE WHEN rf = 'R' THEN NULL ELSE cast(tax as string) END AS fee_tax_total_amount,
-               h.aff AS affiliate_code
-        FROM {li} l JOIN {h3} h ON l.ord = h.ord WHERE l.ls = 'F'
+               aff AS affiliate_code
+        FROM {l3} WHERE ls = 'F'
     """,
     "src3_invoice": """
         SELECT h.iso AS sale_country_code, cast(l.l_orderkey as string) AS sales_order_id,
@@ -216,9 +227,10 @@ SQL = {
     """,
     # --- source 4
     "h4": """
-        SELECT *, """ + _by_position("nat % 12", _SRC4_CODES) + """ AS cc,
-               CASE WHEN nat % 12 = 9 THEN '150' ELSE """ + _by_position("nat % 12", _SRC4_CODES) + """ END AS aff
-        FROM {hd}
+        SELECT *, """ + _CC4 + """ AS cc, """ + _AFF4 + """ AS aff FROM {hd}
+    """,
+    "l4": """
+        SELECT *, """ + _CC4 + """ AS cc, """ + _AFF4 + """ AS aff FROM {lh}
     """,
     "src4_header": """
         SELECT CASE WHEN nat = 13 THEN NULL ELSE cc END AS intgrt_cntry_cd, cc AS cntry_cd,
@@ -243,8 +255,8 @@ SQL = {
         FROM {h4}
     """,
     "src4_line": """
-        SELECT CASE WHEN h.nat = 13 THEN NULL ELSE h.cc END AS intgrt_cntry_cd, h.cc AS cntry_cd,
-               CASE WHEN h.nat = 14 THEN NULL ELSE h.aff END AS intgrt_aff_cd, h.aff AS aff_cd, cast(l.ord as string) AS ord_no,
+        SELECT CASE WHEN nat = 13 THEN NULL ELSE cc END AS intgrt_cntry_cd, cc AS cntry_cd,
+               CASE WHEN nat = 14 THEN NULL ELSE aff END AS intgrt_aff_cd, aff AS aff_cd, cast(ord as string) AS ord_no,
                cast(ln as string) AS ord_ln_no, cast(ln - (ln - 1) % 3 as string) AS ref_ln_no, ls AS item_disp_desc,
                CASE WHEN ls = 'O' THEN 'B' || lpad(cast(supp % 3 as string), 4, '0') || 'EN' ELSE NULL END AS ord_cd,
                """ + _CODE + """ || ' ' AS item_id,
@@ -253,11 +265,11 @@ SQL = {
                CASE WHEN rf = 'A' THEN NULL ELSE cast(qty as string) END AS adj_item_price_bv_amt, cast(tax as double) AS item_bv_amt,
                CASE WHEN rf = 'A' THEN '2' ELSE NULL END AS compnt_qty, cast(qty as double) AS item_qty_amt,
                'K' || cast(supp as string) AS pos_consltnt_id
-        FROM {li} l JOIN {h4} h ON l.ord = h.ord
+        FROM {l4}
     """,
     "src4_consignment": """
-        SELECT CASE WHEN h.nat = 13 THEN NULL ELSE h.cc END AS intgrt_cntry_cd, cast(l.ord as string) AS ord_no, l.shp AS shp_dt
-        FROM {li} l JOIN {h4} h ON l.ord = h.ord WHERE l.ls = 'F'
+        SELECT CASE WHEN nat = 13 THEN NULL ELSE cc END AS intgrt_cntry_cd, cast(ord as string) AS ord_no, shp AS shp_dt
+        FROM {l4} WHERE ls = 'F'
     """,
     # --- invoice transactions
     "invoice_txn": """
@@ -282,25 +294,25 @@ SQL = {
     """,
     # --- history star
     "hist_demand": """
-        SELECT """ + _YM.format("h.dt") + """ AS ord_mo_yr_key_no, cast(""" + _HIST_KEY.format("h.nat") + """ as bigint) AS oper_cntry_key_no,
-               l.ord AS ord_no, cast(l.ln as bigint) AS ord_ln_no, cast(""" + _DAY.format("h.dt") + """ as int) AS ord_dt_key_no,
-               CASE WHEN ls = 'O' THEN 0 ELSE cast(""" + _DAY.format("l.shp") + """ as int) END AS shp_dt_key_no,
-               CASE prio WHEN '1-URGENT' THEN 1 WHEN '2-HIGH' THEN 0 END AS comb_ord_flg, l.ord - l.ord % 10 AS comb_ord_no,
-               cast(h.reg as bigint) AS curcy_key_no, h.cust AS imc_key_no, h.cust + 1 AS vol_imc_key_no,
-               cast(l.supp as bigint) AS ord_imc_key_no, h.cust AS shp_imc_key_no, l.part AS ord_item_key_no, l.part + 1 AS shp_item_key_no,
-               l.price AS ibo_price_lc_amt, l.tax AS pv_lc_amt, l.qty AS bv_lc_amt, l.qty AS ord_qty, l.qty AS shp_qty,
-               h.seg AS deliverymode, 'K' || cast(l.supp as string) AS consultant_id
-        FROM {li} l JOIN {hd} h ON l.ord = h.ord
+        SELECT """ + _YM.format("dt") + """ AS ord_mo_yr_key_no, cast(""" + _HIST_KEY.format("nat") + """ as bigint) AS oper_cntry_key_no,
+               ord AS ord_no, cast(ln as bigint) AS ord_ln_no, cast(""" + _DAY.format("dt") + """ as int) AS ord_dt_key_no,
+               CASE WHEN ls = 'O' THEN 0 ELSE cast(""" + _DAY.format("shp") + """ as int) END AS shp_dt_key_no,
+               CASE prio WHEN '1-URGENT' THEN 1 WHEN '2-HIGH' THEN 0 END AS comb_ord_flg, ord - ord % 10 AS comb_ord_no,
+               cast(reg as bigint) AS curcy_key_no, cust AS imc_key_no, cust + 1 AS vol_imc_key_no,
+               cast(supp as bigint) AS ord_imc_key_no, cust AS shp_imc_key_no, part AS ord_item_key_no, part + 1 AS shp_item_key_no,
+               price AS ibo_price_lc_amt, tax AS pv_lc_amt, qty AS bv_lc_amt, qty AS ord_qty, qty AS shp_qty,
+               seg AS deliverymode, 'K' || cast(supp as string) AS consultant_id
+        FROM {lh}
     """,
     "hist_detail": """
-        SELECT """ + _YM.format("h.dt") + """ AS ord_mo_yr_key_no, cast(""" + _HIST_KEY.format("h.nat") + """ as bigint) AS oper_cntry_key_no,
-               l.ord AS ord_no, cast(l.ln as bigint) AS ord_ln_no, cast(l.ln - (l.ln - 1) % 3 as bigint) AS ref_ord_ln_no,
-               cast(ascii(h.status) * 10 + cast(substr(h.prio, 1, 1) as int) as bigint) AS ord_cd_key_no,
-               cast(ascii(l.rf) * 100 + ascii(l.ls) as bigint) AS ord_ln_key_no,
-               cast(h.nat as bigint) AS shp_cntry_key_no, h.cust AS shp_postl_cd_key_no, l.supp AS whse_key_no,
-               CASE WHEN l.ls = 'F' THEN NULL ELSE l.supp + 1 END AS ord_whse_key_no, l.ord AS ord_key_no,
-               cast(h.reg as bigint) AS glbl_sales_chnl_key_no
-        FROM {li} l JOIN {hd} h ON l.ord = h.ord WHERE l.rf <> 'N'
+        SELECT """ + _YM.format("dt") + """ AS ord_mo_yr_key_no, cast(""" + _HIST_KEY.format("nat") + """ as bigint) AS oper_cntry_key_no,
+               ord AS ord_no, cast(ln as bigint) AS ord_ln_no, cast(ln - (ln - 1) % 3 as bigint) AS ref_ord_ln_no,
+               cast(ascii(status) * 10 + cast(substr(prio, 1, 1) as int) as bigint) AS ord_cd_key_no,
+               cast(ascii(rf) * 100 + ascii(ls) as bigint) AS ord_ln_key_no,
+               cast(nat as bigint) AS shp_cntry_key_no, cust AS shp_postl_cd_key_no, supp AS whse_key_no,
+               CASE WHEN ls = 'F' THEN NULL ELSE supp + 1 END AS ord_whse_key_no, ord AS ord_key_no,
+               cast(reg as bigint) AS glbl_sales_chnl_key_no
+        FROM {lh} WHERE rf <> 'N'
     """,
     "hist_order_code": """
         SELECT DISTINCT cast(ascii(status) * 10 + cast(substr(prio, 1, 1) as int) as bigint) AS ord_cd_key_no, status AS ord_type_cd,
@@ -353,6 +365,12 @@ def _needs(name: str) -> list[str]:
     return [t for t in (*BASE_TABLES, *SQL) if "{" + t + "}" in text]
 
 
+# Shapes written once per session and folder, so that the plans start from stored tables as
+# they do on the order systems' own; the other stand-ins only rename and recode their columns.
+LANDED = ("hd", "li", "lh")
+_landed: dict[tuple[str, str, str], str] = {}
+
+
 class Standins(dict):
     """Given tables and stand-ins as frames, made on first use."""
 
@@ -361,7 +379,9 @@ class Standins(dict):
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
 
     def __missing__(self, name: str) -> DataFrame:
-        if name in SQL:
+        if name in LANDED:
+            frame = self.spark.read.parquet(self._land(name))
+        elif name in SQL:
             frame = self.spark.sql(SQL[name], **{t: self[t] for t in _needs(name)})
         elif name in BASE_TABLES:
             frame = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -371,6 +391,17 @@ class Standins(dict):
         return frame
 
 
+    def _land(self, name: str) -> str:
+        """Path of a landed shape in the shared folder, written on first use."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _landed:
+            path = working_path(self.spark, name)
+            made = self.spark.sql(SQL[name], **{t: self[t] for t in _needs(name)})
+            made.write.mode("overwrite").parquet(path)
+            _landed[key] = path
+        return _landed[key]
+
+
 def ctes(*names: str) -> str:
     """The stand-ins, and those they need, as the opening of a WITH query."""
     done: dict[str, str] = {}

@@ -129,8 +129,13 @@ def _first_day(ym: int, slack_days: int = 0) -> dt.datetime:
     return dt.datetime(ym // 100, ym % 100, 1) + dt.timedelta(days=slack_days)
 
 
+def sql_ts(moment: dt.datetime) -> str:
+    """Wall-clock literal as SQL text."""
+    return f"TIMESTAMP_NTZ '{moment:%Y-%m-%d %H:%M:%S.%f}'"
+
+
 def _ntz(moment: dt.datetime) -> Column:
-    return F.expr(f"timestamp_ntz'{moment:%Y-%m-%d %H:%M:%S}'")
+    return F.expr(sql_ts(moment))
 
 
 def in_months(ts: Column | str, months: Months | int, slack_days: int = 0) -> Column:

@@ -88,6 +88,11 @@ def base_item_code(c: Column | str, test_from: int = 5, width: int | None = None
     return F.when(suffixed, F.regexp_extract(code, "^(.{3}[^A-Z]*)", 1)).otherwise(code)
 
 
+def sql_list(values) -> str:
+    """Values as a SQL list."""
+    return ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values)
+
+
 def recode(c: Column | str, mapping: dict, default: Column | None = None) -> Column:
     """Value mapping as one CASE; missing without a default."""
     c = col(c)

@@ -3,16 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import col
 
-
-def _all(conds: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conds)
+def _join(df: DataFrame, side: DataFrame, pairs: Mapping[str, str], equals: str, how: str) -> DataFrame:
+    """Equi-join on ``{df column: side column}``, without the side's key columns."""
+    semi = how in ("left_semi", "left_anti")
+    taken = set(df.columns) & (set(side.columns) - set(pairs.values()))
+    if taken and not semi:
+        raise ValueError(f"columns on both sides: {sorted(taken)}")
+    if semi:
+        side = side.select(*pairs.values())
+    keys = {right: f"__r_{i}" for i, right in enumerate(pairs.values())}
+    if len(keys) < len(pairs):
+        raise ValueError("a side column may be matched once")
+    cond = " AND ".join(f"`{left}` {equals} `{keys[right]}`" for left, right in pairs.items())
+    joined = df.join(side.withColumnsRenamed(keys), F.expr(cond), how)
+    return joined if semi else joined.drop(*keys.values())
 
 
 def attach(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
@@ -22,13 +31,7 @@ def attach(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "left
     aggregate that is already partitioned by the keys. That is what lets Spark split the
     partition of a hot key of ``df``.
     """
-    renamed = side.select(
-        *[F.col(k).alias(f"__r_{k}") for k in keys],
-        *[F.col(c) for c in side.columns if c not in keys],
-    )
-    cond = _all([F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys])
-    joined = df.join(renamed, cond, how)
-    return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"__r_{k}" for k in keys])
+    return _join(df, side, {k: k for k in keys}, "<=>", how)
 
 
 def match(df: DataFrame, side: DataFrame, on: Mapping[str, str] | Sequence[str], how: str = "left") -> DataFrame:
@@ -37,16 +40,7 @@ def match(df: DataFrame, side: DataFrame, on: Mapping[str, str] | Sequence[str],
     The side's key columns are left out of the result; its other columns must be new.
     """
     pairs = dict(on) if isinstance(on, Mapping) else {k: k for k in on}
-    taken = set(df.columns) & (set(side.columns) - set(pairs.values()))
-    if taken:
-        raise ValueError(f"columns on both sides: {sorted(taken)}")
-    renamed = side.select(
-        *[F.col(r).alias(f"__r_{i}") for i, r in enumerate(pairs.values())],
-        *[F.col(c) for c in side.columns if c not in pairs.values()],
-    )
-    cond = _all([F.col(left) == F.col(f"__r_{i}") for i, left in enumerate(pairs)])
-    joined = df.join(renamed, cond, how)
-    return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"__r_{i}" for i in range(len(pairs))])
+    return _join(df, side, pairs, "=", how)
 
 
 def lookup(
@@ -128,8 +122,3 @@ def not_in(df: DataFrame, column: str, other: DataFrame, other_column: str | Non
         f"SELECT * FROM {{df}} WHERE `{column}` NOT IN (SELECT `{other_column}` FROM {{other}})",
         df=df, other=other,
     )
-
-
-def aliased(**cols: Column | str) -> list[Column]:
-    """``name=column`` pairs as a select list."""
-    return [col(c).alias(name) for name, c in cols.items()]

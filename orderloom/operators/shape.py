@@ -16,8 +16,9 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     if unknown:
         raise ValueError(f"columns outside the schema: {unknown}")
     have = set(df.columns)
-    return df.select(*[
-        (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema
+    return df.selectExpr(*[
+        f"CAST({f'`{f.name}`' if f.name in have else 'NULL'} AS {f.dataType.simpleString()}) AS `{f.name}`"
+        for f in schema
     ])
 
 

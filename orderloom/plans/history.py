@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed
-from ..functions.dates import Months, as_months, day_from_key, month_from_counter, month_of_day_key, month_range
-from ..functions.text import base_item_code, flag, recode
+from ..functions.dates import Months, as_months, day_from_key, month_from_counter, month_range, sql_ts
+from ..functions.text import base_item_code
 from ..operators.joins import match, role_join
 from ..operators.shape import conform
 from ..sources.schemas import MART
@@ -47,20 +47,13 @@ def _detail(src: Mapping[str, DataFrame], months: Months, countries) -> DataFram
     orders = src["hist_order"].filter(F.col("cntry_key_no").isin(*countries)).drop("cntry_key_no")
     fact = match(fact, orders, {"ord_key_no": "ord_key_no"})
     fact = match(fact, src["hist_channel"], {"glbl_sales_chnl_key_no": "glbl_sales_chnl_key_no"})
-    return fact.select(
-        F.col("oper_cntry_key_no").alias("d_cntry"), F.col("ord_mo_yr_key_no").alias("d_ym"),
-        F.col("ord_no").alias("d_ord"), F.col("ord_ln_no").alias("d_ln"),
-        F.col("shp_cntry").cast("bigint").alias("shp_cntry_id"),
-        F.col("inv_no").alias("inv_cd"),
-        F.col("orgnl_ord_no").alias("org_ord_id"),
-        F.col("glbl_sales_chnl_cd").alias("ord_channel"),
-        "whse_cd", "ord_whse_cd", "shp_postal_cd",
-        flag(F.col("canc_flg") == "Y").alias("ord_canc_flag"),
-        flag(F.col("shp_flg") == "Y").alias("ord_shp_flag"),
-        F.col("pay_req_flg").alias("pay_req_flag"),
-        "ord_type_cd", "drop_cd",
-        F.col("ref_ord_ln_no").alias("ref_ln_id"),
-        "ord_ln_disp_cd",
+    return fact.selectExpr(
+        "oper_cntry_key_no AS d_cntry", "ord_mo_yr_key_no AS d_ym", "ord_no AS d_ord", "ord_ln_no AS d_ln",
+        "CAST(shp_cntry AS BIGINT) AS shp_cntry_id", "inv_no AS inv_cd", "orgnl_ord_no AS org_ord_id",
+        "glbl_sales_chnl_cd AS ord_channel", "whse_cd", "ord_whse_cd", "shp_postal_cd",
+        "CASE WHEN canc_flg = 'Y' THEN 'true' ELSE 'false' END AS ord_canc_flag",
+        "CASE WHEN shp_flg = 'Y' THEN 'true' ELSE 'false' END AS ord_shp_flag",
+        "pay_req_flg AS pay_req_flag", "ord_type_cd", "drop_cd", "ref_ord_ln_no AS ref_ln_id", "ord_ln_disp_cd",
     )
 
 
@@ -98,29 +91,18 @@ def conform_history(
         "oper_cntry_key_no": "d_cntry", "ord_mo_yr_key_no": "d_ym", "ord_no": "d_ord", "ord_ln_no": "d_ln",
     })
     return conform(
-        full.select(
+        full.withColumns({"ord_dt": day_from_key("ord_dt_key_no"), "shp_dt": day_from_key("shp_dt_key_no")}).selectExpr(
             *[c for c in detail.columns if not c.startswith("d_")],
-            "oper_aff_id",
-            F.col("oper_cntry").cast("bigint").alias("oper_cntry_id"),
-            day_from_key("ord_dt_key_no").alias("ord_dt"),
-            "ord_dt_key_no",
-            F.col("ord_mo_yr_key_no").alias("ord_mo_yr_id"),
-            day_from_key("shp_dt_key_no").alias("shp_dt"),
-            "shp_dt_key_no",
-            month_of_day_key("shp_dt_key_no").alias("shp_mo_yr_id"),
-            recode("comb_ord_flg", {1: "true", 0: "false"}).alias("comb_ord_flag"),
-            F.col("comb_ord_no").alias("comb_ord_id"),
-            F.col("ord_no").alias("ord_id"),
-            "curcy_cd", "account_id", "vol_account_id", "ord_account_id", "shp_account_id",
-            F.col("ord_ln_no").alias("ord_ln_id"),
+            "oper_aff_id", "CAST(oper_cntry AS BIGINT) AS oper_cntry_id",
+            "ord_dt", "ord_dt_key_no", "ord_mo_yr_key_no AS ord_mo_yr_id",
+            "shp_dt", "shp_dt_key_no", "CAST(floor(shp_dt_key_no / 100) AS INT) AS shp_mo_yr_id",
+            "CASE comb_ord_flg WHEN 1 THEN 'true' WHEN 0 THEN 'false' END AS comb_ord_flag",
+            "comb_ord_no AS comb_ord_id", "ord_no AS ord_id", "curcy_cd",
+            "account_id", "vol_account_id", "ord_account_id", "shp_account_id", "ord_ln_no AS ord_ln_id",
             "ord_item_cd", "shp_item_cd", "ord_item_base_cd", "shp_item_base_cd",
-            F.col("ibo_price_lc_amt").alias("adj_ln_lc_net"),
-            F.col("pv_lc_amt").alias("adj_ln_pv"),
-            F.col("bv_lc_amt").alias("adj_ln_bv"),
-            "ord_qty", "shp_qty",
-            F.col("deliverymode").alias("delivery_mode_cd"),
-            F.col("consultant_id").alias("consultant_cd"),
-            F.lit(run_ts).cast("timestamp_ntz").alias("update_dt"),
+            "ibo_price_lc_amt AS adj_ln_lc_net", "pv_lc_amt AS adj_ln_pv", "bv_lc_amt AS adj_ln_bv",
+            "ord_qty", "shp_qty", "deliverymode AS delivery_mode_cd", "consultant_id AS consultant_cd",
+            f"{sql_ts(run_ts)} AS update_dt",
         ),
         MART,
     )

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed
-from ..functions.dates import Months, clock_from_key, day_from_key, key_in_months, month_of_day_key
-from ..functions.text import base_item_code, cut, first_filled, flag, recode, to_long
+from ..functions.dates import Months, clock_from_key, day_from_key, key_in_months, month_of_day_key, sql_ts
+from ..functions.text import base_item_code, cut, first_filled, to_long
 from ..operators.groups import value_from_row
 from ..operators.joins import attach, lookup, match
 from ..operators.shape import conform
@@ -39,21 +39,19 @@ def _order_columns(headers: DataFrame, channel: DataFrame, address: DataFrame) -
         cond=F.col("ord") == F.col("comb_ord"), value=cut("init_cntry", 3),
         out="oper_cntry", fallback="init_cntry",
     )
-    vol, ordering, shp = F.col("vol_distb"), F.col("ord_distb"), F.col("shp_distb")
-    nbr, combined = F.col("distb_ord_nbr"), F.col("comb_ord_flg")
-    for_customer = (
-        (nbr != "BBB")
-        & (((combined == "N") & (vol != ordering)) | ((combined == "Y") & (vol != ordering) & (ordering != shp)))
-    ) | (nbr == "MBR")
-
+    # An order placed for someone else than the account its volume goes to.
+    for_customer = F.expr("""
+        (distb_ord_nbr <> 'BBB' AND vol_distb <> ord_distb
+           AND (comb_ord_flg = 'N' OR (comb_ord_flg = 'Y' AND ord_distb <> shp_distb)))
+        OR distb_ord_nbr = 'MBR'
+    """)
     keyed = headers.withColumns({
         "aff_id": to_long("aff"),
         "cntry_id": to_long("init_cntry"),
         "is_customer": F.coalesce(for_customer, F.lit(False)),
     })
-    channels = channel.select(
-        to_long("cntry_cd").alias("ch_cntry"), "ord_type_cd", "ord_src_cd",
-        F.col("glbl_sales_chnl_cd").alias("channel"),
+    channels = channel.withColumn("ch_cntry", to_long("cntry_cd")).selectExpr(
+        "ch_cntry", "ord_type_cd", "ord_src_cd", "glbl_sales_chnl_cd AS channel"
     )
     keyed = lookup(keyed, channels, {"cntry_id": "ch_cntry", "ord_type": "ord_type_cd", "src_cd": "ord_src_cd"})
     scope = [int(a) for a in (*fixed.SRC1_AFFILIATES, *fixed.MOVING_AFFILIATES)]
@@ -63,45 +61,33 @@ def _order_columns(headers: DataFrame, channel: DataFrame, address: DataFrame) -
     ).filter(F.col("ad_aff").isin(*scope))
     keyed = lookup(keyed, addresses, {"shp_distb": "distb_nbr", "aff_id": "ad_aff", "shp_adr": "adr_seq"})
 
-    return keyed.select(
-        F.col("ym").alias("h_ym"), F.col("ord").alias("h_ord"), F.col("cntry_id").alias("h_cntry"),
-        F.col("aff_id").alias("oper_aff_id"),
-        to_long("oper_cntry").alias("oper_cntry_id"),
-        to_long("oper_cntry").alias("shp_cntry_id"),
-        clock_from_key("ord_dt", "ord_tm").alias("ord_dt"),
-        F.col("ord_dt").alias("ord_dt_key_no"),
-        F.col("ym").alias("ord_mo_yr_id"),
-        day_from_key("dlvr_dt").alias("shp_dt"),
-        F.col("dlvr_dt").alias("shp_dt_key_no"),
-        month_of_day_key("dlvr_dt").alias("shp_mo_yr_id"),
-        flag(F.col("comb_ord_flg") == "Y").alias("comb_ord_flag"),
-        F.col("comb_ord").alias("comb_ord_id"),
-        F.col("inv_nbr").alias("inv_cd"),
-        recode("ord_curcy", {"CIP": "GBP"}, cut("ord_curcy", 3)).alias("curcy_cd"),
-        F.col("channel").alias("ord_channel"),
-        F.col("whse").alias("whse_cd"),
-        F.col("ord_whse").alias("ord_whse_cd"),
-        F.col("postal").alias("shp_postal_cd"),
-        F.when(F.col("is_customer"), ordering).otherwise(vol).alias("account_id"),
-        F.when(F.col("ord_type") == "EMP", "Employee").when(F.col("is_customer"), "Member")
-        .otherwise("ABO").alias("account_type_ord"),
-        vol.alias("vol_account_id"),
-        ordering.alias("ord_account_id"),
-        shp.alias("shp_account_id"),
-        F.when(F.col("ord_canc") == "N", "false").otherwise("true").alias("ord_canc_flag"),
-        recode("ord_shp", {"N": "false", "Y": "true"}).alias("ord_shp_flag"),
-        F.col("pay_req").alias("pay_req_flag"),
-        flag(F.col("ord_pay_stat") == "P").alias("ord_paid_flag"),
-        F.col("orgnl_ord").alias("org_ord_id"),
-        F.col("ord_type").alias("ord_type_cd"),
-        F.col("drop_cd"),
-        F.col("ord_hndlg_price").alias("delivery_fee_net"),
+    return keyed.withColumns({
+        "oper_cntry_id": to_long("oper_cntry"),
+        "clock": clock_from_key("ord_dt", "ord_tm"),
+        "shp_dt": day_from_key("dlvr_dt"),
+    }).selectExpr(
+        "ym AS h_ym", "ord AS h_ord", "cntry_id AS h_cntry",
+        "aff_id AS oper_aff_id", "oper_cntry_id", "oper_cntry_id AS shp_cntry_id",
+        "clock AS ord_dt", "ord_dt AS ord_dt_key_no", "ym AS ord_mo_yr_id",
+        "shp_dt", "dlvr_dt AS shp_dt_key_no", "CAST(floor(dlvr_dt / 100) AS INT) AS shp_mo_yr_id",
+        "CASE WHEN comb_ord_flg = 'Y' THEN 'true' ELSE 'false' END AS comb_ord_flag",
+        "comb_ord AS comb_ord_id", "inv_nbr AS inv_cd",
+        "CASE WHEN ord_curcy = 'CIP' THEN 'GBP' ELSE substring(ord_curcy, 1, 3) END AS curcy_cd",
+        "channel AS ord_channel", "whse AS whse_cd", "ord_whse AS ord_whse_cd", "postal AS shp_postal_cd",
+        "CASE WHEN is_customer THEN ord_distb ELSE vol_distb END AS account_id",
+        "CASE WHEN ord_type = 'EMP' THEN 'Employee' WHEN is_customer THEN 'Member' ELSE 'ABO' END AS account_type_ord",
+        "vol_distb AS vol_account_id", "ord_distb AS ord_account_id", "shp_distb AS shp_account_id",
+        "CASE WHEN ord_canc = 'N' THEN 'false' ELSE 'true' END AS ord_canc_flag",
+        "CASE WHEN ord_shp = 'N' THEN 'false' WHEN ord_shp = 'Y' THEN 'true' END AS ord_shp_flag",
+        "pay_req AS pay_req_flag",
+        "CASE WHEN ord_pay_stat = 'P' THEN 'true' ELSE 'false' END AS ord_paid_flag",
+        "orgnl_ord AS org_ord_id", "ord_type AS ord_type_cd", "drop_cd", "ord_hndlg_price AS delivery_fee_net",
     )
 
 
 def _month_lines(line: DataFrame, headers: DataFrame) -> DataFrame:
     """Lines of the orders in scope, with the month and country of their order."""
-    keys = headers.select("ym", F.col("ord").alias("h_ord"), F.col("init_cntry").alias("h_cntry"))
+    keys = headers.selectExpr("ym", "ord AS h_ord", "init_cntry AS h_cntry")
     lines = line.withColumn("cntry_cd", first_filled("cntry", "intgrt_cntry_cd"))
     joined = match(lines, keys, {"ord": "h_ord", "cntry_cd": "h_cntry"}, "inner")
     return joined.withColumn("cntry_id", to_long("cntry_cd")).drop("cntry", "intgrt_cntry_cd", "cntry_cd")
@@ -113,10 +99,7 @@ def line_quantities(lines: DataFrame) -> DataFrame:
     Needs ym, ord, cntry_id and the line columns. A line's reference is the line it was
     ordered under; a line with other lines under it is a bundle or a replaced item.
     """
-    ordered = lines.select(
-        "ym", F.col("ord").alias("o_ord"), F.col("ord_ln").alias("o_ln"), F.col("cntry_id").alias("o_cntry"),
-        F.col("item").alias("ordered_item"),
-    )
+    ordered = lines.selectExpr("ym", "ord AS o_ord", "ord_ln AS o_ln", "cntry_id AS o_cntry", "item AS ordered_item")
     found = match(
         lines, ordered, {"ym": "ym", "ord": "o_ord", "ref_ln": "o_ln", "cntry_id": "o_cntry"}, "left"
     )
@@ -132,19 +115,16 @@ def line_quantities(lines: DataFrame) -> DataFrame:
     keys = ["ym", "ord", "cntry_id", "ord_ln"]
     counted = attach(found, below.dropna(subset=keys), keys)
 
-    heads_group = (F.col("ord_ln") == F.col("ref_ln")) & (
-        (F.col("products_below") > 0) | (F.coalesce(F.col("lines_below"), F.lit(0)) == 0)
-    )
-    not_shipped = (
-        (F.col("item_type") != "I")
-        | (F.col("item_disp") == "S")
-        | (heads_group & F.col("item_disp").isin("E", "S"))
-    )
+    # Not shipped as such: no product, replaced, or the head of a bundle or of a replacement.
+    not_shipped = """
+        item_type <> 'I' OR item_disp = 'S'
+        OR (ord_ln = ref_ln AND (products_below > 0 OR coalesce(lines_below, 0) = 0) AND item_disp IN ('E', 'S'))
+    """
     return counted.withColumns({
-        "ord_item_cd": F.nullif(F.trim(F.coalesce("ordered_item", "item")), F.lit("")),
-        "shp_item_cd": F.nullif(F.trim("item"), F.lit("")),
-        "ord_qty": F.when(F.col("ln_type").isin("O", "A", "R"), F.col("item_qty")).otherwise(F.lit(0)),
-        "shp_qty": F.when(not_shipped, F.lit(0)).otherwise(F.col("item_qty")),
+        "ord_item_cd": F.expr("nullif(trim(coalesce(ordered_item, item)), '')"),
+        "shp_item_cd": F.expr("nullif(trim(item), '')"),
+        "ord_qty": F.expr("CASE WHEN ln_type IN ('O', 'A', 'R') THEN item_qty ELSE 0 END"),
+        "shp_qty": F.expr(f"CASE WHEN {not_shipped} THEN 0 ELSE item_qty END"),
     })
 
 
@@ -155,20 +135,15 @@ def conform_source1(src: Mapping[str, DataFrame], months: Months, run_ts: dt.dat
     lines = line_quantities(_month_lines(src["src1_line"], headers))
     full = match(lines, orders, {"ym": "h_ym", "ord": "h_ord", "cntry_id": "h_cntry"}, "left")
     return conform(
-        full.select(
+        full.withColumns({
+            "ord_item_base_cd": base_item_code("ord_item_cd", width=15),
+            "shp_item_base_cd": base_item_code("shp_item_cd", width=15),
+        }).selectExpr(
             *[c for c in orders.columns if not c.startswith("h_")],
-            F.col("ord").alias("ord_id"),
-            F.col("ord_ln").alias("ord_ln_id"),
-            F.col("ref_ln").alias("ref_ln_id"),
-            F.col("item_disp").alias("ord_ln_disp_cd"),
-            "ord_item_cd", "shp_item_cd",
-            base_item_code("ord_item_cd", width=15).alias("ord_item_base_cd"),
-            base_item_code("shp_item_cd", width=15).alias("shp_item_base_cd"),
-            F.col("item_price").alias("adj_ln_lc_net"),
-            F.col("item_pv").alias("adj_ln_pv"),
-            F.col("item_bv").alias("adj_ln_bv"),
-            "ord_qty", "shp_qty",
-            F.lit(run_ts).cast("timestamp_ntz").alias("update_dt"),
+            "ord AS ord_id", "ord_ln AS ord_ln_id", "ref_ln AS ref_ln_id", "item_disp AS ord_ln_disp_cd",
+            "ord_item_cd", "shp_item_cd", "ord_item_base_cd", "shp_item_base_cd",
+            "item_price AS adj_ln_lc_net", "item_pv AS adj_ln_pv", "item_bv AS adj_ln_bv", "ord_qty", "shp_qty",
+            f"{sql_ts(run_ts)} AS update_dt",
         ),
         MART,
     )

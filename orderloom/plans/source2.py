@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed
-from ..functions.dates import Months, day_key, in_months, month_in, month_key, shift_zone
-from ..functions.text import base_item_code, cut, drop_prefix, flag, recode, to_long, try_to_long
+from ..functions.dates import Months, day_key, in_months, month_in, month_key, shift_zone, sql_ts
+from ..functions.text import base_item_code, drop_prefix, recode, to_long, try_to_long
 from ..operators.groups import value_from_row
 from ..operators.joins import attach, match
 from ..operators.ranks import rank_in_group
@@ -43,25 +43,19 @@ def _orders(header: DataFrame, months: Months) -> DataFrame:
         cond=(shp == vol) & (shp == ordering) & (F.col("ord_type") == fixed.SRC2_COMBINED_TYPE),
         value="ord_no", out="comb_ord_id", fallback="ord_no",
     )
-    return combined.select(
-        F.col("intgrt_aff_cd").alias("h_aff"), F.col("ord_no").alias("h_ord"),
-        F.col("intgrt_aff_cd").cast("bigint").alias("oper_aff_id"),
-        F.col("intgrt_aff_cd").cast("bigint").alias("oper_cntry_id"),
-        recode("shp_cntry", fixed.SRC2_SHIP_COUNTRIES, F.lit(fixed.SRC2_SHIP_DEFAULT)).alias("shp_cntry_id"),
-        F.col("at").alias("ord_dt"),
-        F.col("ym").alias("ord_mo_yr_id"),
-        flag(F.col("ord_type") == fixed.SRC2_COMBINED_TYPE).alias("comb_ord_flag"),
-        "comb_ord_id",
-        F.col("ord_no").alias("ord_id"),
-        cut("curcy_cd", 3).alias("curcy_cd"),
-        F.col("sale_chnl").alias("ord_channel"),
-        F.col("shp_postl_cd").alias("shp_postal_cd"),
-        flag(F.col("cancelled_flg") == "Y").alias("ord_canc_flag"),
-        F.when(F.col("open_flg") == "Y", "false").otherwise("true").alias("ord_shp_flag"),
-        F.col("ord_type").alias("ord_type_cd"),
-        _account("vol_imc_no").alias("h_vol"),
-        _account("ord_imc_no").alias("h_ordering"),
-        _account("shp_imc_no").alias("h_shp"),
+    return combined.withColumns({
+        "shp_cntry_id": recode("shp_cntry", fixed.SRC2_SHIP_COUNTRIES, F.lit(fixed.SRC2_SHIP_DEFAULT)),
+        "h_vol": _account("vol_imc_no"), "h_ordering": _account("ord_imc_no"), "h_shp": _account("shp_imc_no"),
+    }).selectExpr(
+        "intgrt_aff_cd AS h_aff", "ord_no AS h_ord", "h_vol", "h_ordering", "h_shp",
+        "CAST(intgrt_aff_cd AS BIGINT) AS oper_aff_id", "CAST(intgrt_aff_cd AS BIGINT) AS oper_cntry_id", "shp_cntry_id",
+        "at AS ord_dt", "ym AS ord_mo_yr_id",
+        f"CASE WHEN ord_type = '{fixed.SRC2_COMBINED_TYPE}' THEN 'true' ELSE 'false' END AS comb_ord_flag",
+        "comb_ord_id", "ord_no AS ord_id", "substring(curcy_cd, 1, 3) AS curcy_cd",
+        "sale_chnl AS ord_channel", "shp_postl_cd AS shp_postal_cd",
+        "CASE WHEN cancelled_flg = 'Y' THEN 'true' ELSE 'false' END AS ord_canc_flag",
+        "CASE WHEN open_flg = 'Y' THEN 'false' ELSE 'true' END AS ord_shp_flag",
+        "ord_type AS ord_type_cd",
     )
 
 
@@ -69,29 +63,25 @@ def _lines(line: DataFrame, orders: DataFrame) -> DataFrame:
     """Lines of the orders; every line of a bundle carries the bundle's item."""
     lines = line.filter(F.col("intgrt_aff_cd").isin(*fixed.SRC2_AFFILIATES))
     keys = {"intgrt_aff_cd": "h_aff", "ord_no": "h_ord"}
-    ours = orders.select("h_aff", "h_ord", F.col("ord_mo_yr_id").alias("ym"), "h_vol").distinct()
+    ours = orders.selectExpr("h_aff", "h_ord", "ord_mo_yr_id AS ym", "h_vol").distinct()
     bundled = value_from_row(
         match(lines, ours, keys, "inner"), ["ord_no", "ord_ln_no"],
         cond=F.col("item_type") == "MODEL", value="ord_item", out="ordered_item", fallback="ord_item",
         among=match(lines, ours, keys, "left_semi"),
     )
-    return bundled.select(
-        F.col("intgrt_aff_cd").alias("h_aff"), F.col("ord_no").alias("h_ord"), "ym", "h_vol",
-        "ord_ln_no", "oracle_line_id", "whse_cd",
-        to_mart_clock("act_shp_dt").alias("shp_dt"),
-        F.coalesce(_account("vol_imc_no"), "h_vol").alias("vol_account_id"),
-        _account("ord_imc_no").alias("l_ordering"),
-        _account("shp_imc_no").alias("l_shp"),
-        F.col("dlvry_fee").alias("delivery_fee_net"),
-        F.when(F.col("item_disp_cd") == " ", "*").otherwise(F.col("item_disp_cd")).alias("ord_ln_disp_cd"),
-        F.nullif(F.trim("ordered_item"), F.lit("")).alias("ord_item_cd"),
-        F.nullif(F.trim("ord_item"), F.lit("")).alias("shp_item_cd"),
-        (F.col("unit_sell_price") * F.col("ord_qty")).alias("adj_ln_lc_net"),
-        F.col("extend_pv_amt").alias("adj_ln_pv"),
-        F.col("extend_bv_amt").alias("adj_ln_bv"),
-        F.when(F.col("item_type") != "OPTION", F.col("ord_qty")).otherwise(F.lit(0)).alias("ord_qty"),
-        F.when(F.col("item_type") != "MODEL", F.col("shp_qty")).otherwise(F.lit(0)).alias("shp_qty"),
-        F.col("shp_priority").alias("delivery_mode_cd"),
+    return bundled.withColumns({
+        "shp_dt": to_mart_clock("act_shp_dt"),
+        "vol_account_id": F.coalesce(_account("vol_imc_no"), "h_vol"),
+        "l_ordering": _account("ord_imc_no"), "l_shp": _account("shp_imc_no"),
+    }).selectExpr(
+        "intgrt_aff_cd AS h_aff", "ord_no AS h_ord", "ym", "h_vol", "ord_ln_no", "oracle_line_id", "whse_cd", "shp_dt",
+        "vol_account_id", "l_ordering", "l_shp", "dlvry_fee AS delivery_fee_net",
+        "CASE WHEN item_disp_cd = ' ' THEN '*' ELSE item_disp_cd END AS ord_ln_disp_cd",
+        "nullif(trim(ordered_item), '') AS ord_item_cd", "nullif(trim(ord_item), '') AS shp_item_cd",
+        "unit_sell_price * ord_qty AS adj_ln_lc_net", "extend_pv_amt AS adj_ln_pv", "extend_bv_amt AS adj_ln_bv",
+        "CASE WHEN item_type <> 'OPTION' THEN ord_qty ELSE 0 END AS ord_qty",
+        "CASE WHEN item_type <> 'MODEL' THEN shp_qty ELSE 0 END AS shp_qty",
+        "shp_priority AS delivery_mode_cd",
     )
 
 
@@ -103,11 +93,8 @@ def conform_source2(src: Mapping[str, DataFrame], months: Months, run_ts: dt.dat
         src["invoices"]
         .filter(F.col("aff_id").isin(*[int(a) for a in fixed.SRC2_AFFILIATES]))
         .filter(month_in("ord_mo_yr_id", months))
-        .select(
-            F.col("ord_mo_yr_id").alias("i_ym"), F.col("aff_id").cast("string").alias("i_aff"),
-            try_to_long("invoice_cd").alias("i_ord"), F.col("vol_account_id").alias("i_vol"),
-            to_long("ord_bus_natr_cd").alias("nature"),
-        )
+        .withColumns({"i_ord": try_to_long("invoice_cd"), "nature": to_long("ord_bus_natr_cd")})
+        .selectExpr("ord_mo_yr_id AS i_ym", "CAST(aff_id AS STRING) AS i_aff", "i_ord", "vol_account_id AS i_vol", "nature")
     )
     # The narrow lines meet the invoices first, the many order columns come in last.
     invoiced = match(
@@ -115,38 +102,26 @@ def conform_source2(src: Mapping[str, DataFrame], months: Months, run_ts: dt.dat
     )
     full = attach(
         invoiced, orders.withColumnRenamed("ord_mo_yr_id", "ym"), ["h_aff", "h_ord", "ym", "h_vol"], "inner"
-    ).withColumns({
-        "ord_account_id": F.coalesce("l_ordering", "h_ordering"),
-        "shp_account_id": F.coalesce("l_shp", "h_shp"),
-    })
+    )
     # The line number counts the rows of the order after the joins, several per line or not.
     ranked = rank_in_group(full, ["ym", "h_ord"], ["ord_ln_no", "oracle_line_id"], "ord_ln_id")
-    nature = F.col("nature")
+    ordering = ", ".join(str(n) for n in fixed.ORDERING_NATURES)
     return conform(
-        ranked.select(
-            "oper_aff_id", "oper_cntry_id", "shp_cntry_id", "ord_dt",
-            day_key("ord_dt").alias("ord_dt_key_no"),
-            F.col("ym").alias("ord_mo_yr_id"),
-            "shp_dt",
-            day_key("shp_dt").alias("shp_dt_key_no"),
-            month_key("shp_dt").alias("shp_mo_yr_id"),
-            "comb_ord_flag", "comb_ord_id", "ord_id",
-            F.col("ord_id").cast("string").alias("inv_cd"),
-            "curcy_cd", "ord_channel", "whse_cd",
-            F.col("whse_cd").alias("ord_whse_cd"),
-            "shp_postal_cd",
-            F.when(nature.isin(*fixed.ORDERING_NATURES), F.col("ord_account_id"))
-            .otherwise(F.col("vol_account_id")).alias("account_id"),
-            recode(nature, fixed.NATURE_TYPES, F.lit("ABO")).alias("account_type_ord"),
-            "vol_account_id", "ord_account_id", "shp_account_id", "ord_canc_flag", "ord_shp_flag",
-            F.lit("Y").alias("pay_req_flag"),
-            "ord_type_cd", "delivery_fee_net", "ord_ln_id",
-            F.col("ord_ln_no").alias("ref_ln_id"),
-            "ord_ln_disp_cd", "ord_item_cd", "shp_item_cd",
-            base_item_code("ord_item_cd").alias("ord_item_base_cd"),
-            base_item_code("shp_item_cd").alias("shp_item_base_cd"),
+        ranked.withColumns({
+            "ord_dt_key_no": day_key("ord_dt"), "shp_dt_key_no": day_key("shp_dt"), "shp_mo_yr_id": month_key("shp_dt"),
+            "account_type_ord": recode("nature", fixed.NATURE_TYPES, F.lit("ABO")),
+            "ord_item_base_cd": base_item_code("ord_item_cd"), "shp_item_base_cd": base_item_code("shp_item_cd"),
+            "ord_account_id": F.coalesce("l_ordering", "h_ordering"),
+        }).selectExpr(
+            "oper_aff_id", "oper_cntry_id", "shp_cntry_id", "ord_dt", "ord_dt_key_no", "ym AS ord_mo_yr_id",
+            "shp_dt", "shp_dt_key_no", "shp_mo_yr_id", "comb_ord_flag", "comb_ord_id", "ord_id", "ord_id AS inv_cd",
+            "curcy_cd", "ord_channel", "whse_cd", "whse_cd AS ord_whse_cd", "shp_postal_cd",
+            f"CASE WHEN nature IN ({ordering}) THEN ord_account_id ELSE vol_account_id END AS account_id",
+            "account_type_ord", "vol_account_id", "ord_account_id", "coalesce(l_shp, h_shp) AS shp_account_id",
+            "ord_canc_flag", "ord_shp_flag", "'Y' AS pay_req_flag", "ord_type_cd", "delivery_fee_net", "ord_ln_id",
+            "ord_ln_no AS ref_ln_id", "ord_ln_disp_cd", "ord_item_cd", "shp_item_cd", "ord_item_base_cd", "shp_item_base_cd",
             "adj_ln_lc_net", "adj_ln_pv", "adj_ln_bv", "ord_qty", "shp_qty", "delivery_mode_cd",
-            F.lit(run_ts).cast("timestamp_ntz").alias("update_dt"),
+            f"{sql_ts(run_ts)} AS update_dt",
         ),
         MART,
     )

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed
-from ..functions.dates import Months, day_key, in_months, month_key
-from ..functions.text import MONEY, base_item_code, cut, digits_to_long, flag, recode, share_of, to_long, try_to_long
+from ..functions.dates import Months, day_key, in_months, month_key, sql_ts
+from ..functions.text import MONEY, base_item_code, digits_to_long, recode, share_of, to_long, try_to_long
 from ..operators.groups import with_group
 from ..operators.joins import attach, match
 from ..operators.shape import conform
@@ -26,9 +26,9 @@ def _orders(header: DataFrame, consignment: DataFrame, months: Months) -> DataFr
     places = (
         _in_scope(consignment)
         .filter(in_months("order_date_time", months))
-        .select(
-            month_key("order_date_time").alias("c_ym"), F.col("sales_order_id").alias("c_ord"),
-            F.col("amway_sales_entity").alias("c_entity"),
+        .withColumn("c_ym", month_key("order_date_time"))
+        .selectExpr(
+            "c_ym", "sales_order_id AS c_ord", "amway_sales_entity AS c_entity",
             "delivery_postal_code", "delivery_iso_country_code", "warehouse_code",
         )
         .distinct()
@@ -43,46 +43,42 @@ def _orders(header: DataFrame, consignment: DataFrame, months: Months) -> DataFr
     placed = match(headers, places, {"ym": "c_ym", "sales_order_id": "c_ord", "amway_sales_entity": "c_entity"}, "left")
     counted = with_group(placed, ["ym", "amway_sales_entity", "comb_id"], rows_in_comb=F.count("sales_order_id"))
     entity = to_long("amway_sales_entity")
-    return counted.select(
-        F.col("iso_country_code").alias("h_cntry"),
-        to_long("sales_order_id").alias("h_ord"),
-        to_long("affiliate_code").alias("oper_aff_id"),
-        entity.alias("oper_cntry_id"),
-        recode("delivery_iso_country_code", fixed.SRC3_SHIP_COUNTRIES, entity).alias("shp_cntry_id"),
-        F.col("order_date_time").alias("ord_dt"),
-        day_key("order_date_time").alias("ord_dt_key_no"),
-        F.col("ym").alias("ord_mo_yr_id"),
-        flag(F.col("rows_in_comb") > 1).alias("comb_ord_flag"),
-        F.col("comb_id").alias("comb_ord_id"),
-        cut("iso_currency_code", 3).alias("curcy_cd"),
-        F.col("sales_channel_code").alias("ord_channel"),
-        F.col("warehouse_code").alias("whse_cd"),
-        F.col("delivery_postal_code").alias("shp_postal_cd"),
-        to_long("volume_sales_account_id").alias("vol_account_id"),
-        to_long("ordering_sales_account_id").alias("ord_account_id"),
-        to_long("ship_to_sales_account_id").alias("shp_account_id"),
-        flag(F.col("order_status") == "CANCELLED").alias("ord_canc_flag"),
-        F.when(F.col("payment_required") == "true", "Y").otherwise("N").alias("pay_req_flag"),
-        flag(F.col("payment_status") == "PAID").alias("ord_paid_flag"),
-        digits_to_long("original_order_id").alias("org_ord_id"),
-        "has_place",
-        (F.col("total_order_value").cast(MONEY) - F.col("total_tax_amount").cast(MONEY)).alias("net_value"),
-        F.trim("order_price_list").alias("price_list"),
+    return counted.withColumns({
+        "h_ord": to_long("sales_order_id"),
+        "oper_aff_id": to_long("affiliate_code"),
+        "oper_cntry_id": entity,
+        "shp_cntry_id": recode("delivery_iso_country_code", fixed.SRC3_SHIP_COUNTRIES, entity),
+        "ord_dt_key_no": day_key("order_date_time"),
+        "vol_account_id": to_long("volume_sales_account_id"),
+        "ord_account_id": to_long("ordering_sales_account_id"),
+        "shp_account_id": to_long("ship_to_sales_account_id"),
+        "org_ord_id": digits_to_long("original_order_id"),
+    }).selectExpr(
+        "iso_country_code AS h_cntry", "h_ord", "oper_aff_id", "oper_cntry_id", "shp_cntry_id",
+        "order_date_time AS ord_dt", "ord_dt_key_no", "ym AS ord_mo_yr_id",
+        "CASE WHEN rows_in_comb > 1 THEN 'true' ELSE 'false' END AS comb_ord_flag", "comb_id AS comb_ord_id",
+        "substring(iso_currency_code, 1, 3) AS curcy_cd", "sales_channel_code AS ord_channel",
+        "warehouse_code AS whse_cd", "delivery_postal_code AS shp_postal_cd",
+        "vol_account_id", "ord_account_id", "shp_account_id",
+        "CASE WHEN order_status = 'CANCELLED' THEN 'true' ELSE 'false' END AS ord_canc_flag",
+        "CASE WHEN payment_required = 'true' THEN 'Y' ELSE 'N' END AS pay_req_flag",
+        "CASE WHEN payment_status = 'PAID' THEN 'true' ELSE 'false' END AS ord_paid_flag",
+        "org_ord_id", "has_place",
+        f"CAST(total_order_value AS {MONEY}) - CAST(total_tax_amount AS {MONEY}) AS net_value",
+        "trim(order_price_list) AS price_list",
     )
 
 
 def order_fees(fees: DataFrame) -> DataFrame:
     """Net fees of each order: all of them, and those that are not rounding differences."""
-    amount = F.coalesce(F.col("fee_amount").cast(MONEY), F.lit(0).cast(MONEY))
-    tax = F.coalesce(F.col("fee_tax_total_amount").cast(MONEY), F.lit(0).cast(MONEY))
-    rounding = F.col("fee_code").isin(*fixed.ROUNDING_FEES)
-
-    def charged(x):
-        return F.when(rounding, F.lit(0).cast(MONEY)).otherwise(x)
-
-    return fees.groupBy("sale_country_code", "sales_order_id").agg(
-        (F.sum(amount) - F.sum(tax)).alias("fee_total"),
-        (F.sum(charged(amount)) - F.sum(charged(tax))).alias("delivery_fee"),
+    amounts = fees.selectExpr(
+        "sale_country_code", "sales_order_id", "fee_code",
+        f"coalesce(CAST(fee_amount AS {MONEY}), 0) AS amount",
+        f"coalesce(CAST(fee_tax_total_amount AS {MONEY}), 0) AS tax",
+    ).withColumn("is_charge", F.coalesce(~F.col("fee_code").isin(*fixed.ROUNDING_FEES), F.lit(True)))
+    return amounts.groupBy("sale_country_code", "sales_order_id").agg(
+        F.expr("sum(amount) - sum(tax) AS fee_total"),
+        F.expr("sum(CASE WHEN is_charge THEN amount ELSE 0 END) - sum(CASE WHEN is_charge THEN tax ELSE 0 END) AS delivery_fee"),
     )
 
 
@@ -109,8 +105,8 @@ def conform_source3(src: Mapping[str, DataFrame], months: Months, run_ts: dt.dat
     )
     line_key = [*order, "ln_id"]
     full = attach(lines, shipped.dropna(subset=line_key), line_key)
-    invoices = src["src3_invoice"].select(
-        *order, try_to_long("order_line_id").alias("ln_id"), F.col("invoice_number").alias("inv_cd")
+    invoices = src["src3_invoice"].withColumn("ln_id", try_to_long("order_line_id")).selectExpr(
+        *order, "ln_id", "invoice_number AS inv_cd"
     )
     full = attach(full, invoices.dropna(subset=line_key), line_key)
 
@@ -120,37 +116,35 @@ def conform_source3(src: Mapping[str, DataFrame], months: Months, run_ts: dt.dat
     per_order = match(per_order, orders, {"ord_id": "h_ord", "sale_country_code": "h_cntry"}, "inner")
     full = attach(full.drop("ord_id"), per_order, order, "inner")
 
-    net_of_fees = F.nullif(F.col("net_value"), F.lit(0)) - F.col("fee_total")
-    code = F.nullif(F.trim(F.coalesce("bundle_item_id", "base_item_id")), F.lit(""))
-    zero = F.lit(0).cast(MONEY)
+    net_of_fees = F.expr("nullif(net_value, 0) - fee_total")
+    coded = full.withColumns({
+        "ord_item_cd": F.expr("nullif(trim(coalesce(bundle_item_id, base_item_id)), '')"),
+        "shp_item_cd": F.expr("nullif(trim(base_item_id), '')"),
+    })
     return conform(
-        full.withColumns({"ord_item_cd": code, "shp_item_cd": F.nullif(F.trim("base_item_id"), F.lit(""))}).select(
-            "oper_aff_id", "oper_cntry_id", "shp_cntry_id", "ord_dt", "ord_dt_key_no", "ord_mo_yr_id", "shp_dt",
-            day_key("shp_dt").alias("shp_dt_key_no"),
-            month_key("shp_dt").alias("shp_mo_yr_id"),
-            "comb_ord_flag", "comb_ord_id", "ord_id", "inv_cd", "curcy_cd", "ord_channel", "whse_cd",
-            F.col("demand_location").alias("ord_whse_cd"),
-            "shp_postal_cd",
-            F.when(F.col("price_list") == fixed.OWNER_PRICE_LIST, F.col("vol_account_id"))
-            .otherwise(F.col("ord_account_id")).alias("account_id"),
-            recode("price_list", fixed.PRICE_LIST_TYPES).alias("account_type_ord"),
-            "vol_account_id", "ord_account_id", "shp_account_id", "ord_canc_flag",
-            flag(F.col("shp_dt").isNotNull()).alias("ord_shp_flag"),
+        coded.withColumns({
+            "shp_dt_key_no": day_key("shp_dt"), "shp_mo_yr_id": month_key("shp_dt"),
+            "account_type_ord": recode("price_list", fixed.PRICE_LIST_TYPES),
+            "ord_item_base_cd": base_item_code("ord_item_cd", width=15),
+            "shp_item_base_cd": base_item_code("shp_item_cd", width=15),
+            "adj_ln_lc_net": share_of(F.col("price"), net_of_fees, F.col("price_total")),
+        }).selectExpr(
+            "oper_aff_id", "oper_cntry_id", "shp_cntry_id", "ord_dt", "ord_dt_key_no", "ord_mo_yr_id",
+            "shp_dt", "shp_dt_key_no", "shp_mo_yr_id", "comb_ord_flag", "comb_ord_id", "ord_id", "inv_cd",
+            "curcy_cd", "ord_channel", "whse_cd", "demand_location AS ord_whse_cd", "shp_postal_cd",
+            f"CASE WHEN price_list = '{fixed.OWNER_PRICE_LIST}' THEN vol_account_id ELSE ord_account_id END AS account_id",
+            "account_type_ord", "vol_account_id", "ord_account_id", "shp_account_id", "ord_canc_flag",
+            "CASE WHEN shp_dt IS NULL THEN 'false' ELSE 'true' END AS ord_shp_flag",
             "pay_req_flag", "ord_paid_flag", "org_ord_id",
-            F.when(F.col("has_place").isNull(), zero).otherwise(F.col("delivery_fee")).alias("delivery_fee_net"),
-            F.col("ln_id").alias("ord_ln_id"),
-            F.lit("*").alias("ord_ln_disp_cd"),
-            "ord_item_cd", "shp_item_cd",
-            base_item_code("ord_item_cd", width=15).alias("ord_item_base_cd"),
-            base_item_code("shp_item_cd", width=15).alias("shp_item_base_cd"),
-            share_of(F.col("price"), net_of_fees, F.col("price_total")).alias("adj_ln_lc_net"),
-            F.col("line_pv_amount").alias("adj_ln_pv"),
-            F.col("line_bv_amount").alias("adj_ln_bv"),
+            "CASE WHEN has_place IS NULL THEN 0 ELSE delivery_fee END AS delivery_fee_net",
+            "ln_id AS ord_ln_id", "'*' AS ord_ln_disp_cd",
+            "ord_item_cd", "shp_item_cd", "ord_item_base_cd", "shp_item_base_cd", "adj_ln_lc_net",
+            "line_pv_amount AS adj_ln_pv", "line_bv_amount AS adj_ln_bv",
             # The mart's ordered quantity is what has shipped or will, and the other way round.
-            (F.coalesce("shipped_quantity", zero) + F.coalesce("pending_quantity", zero)).alias("ord_qty"),
-            (F.coalesce("ordered_quantity", zero) - F.coalesce("cancelled_quantity", zero)).alias("shp_qty"),
-            F.col("fulfillment_type").alias("delivery_mode_cd"),
-            F.lit(run_ts).cast("timestamp_ntz").alias("update_dt"),
+            "coalesce(shipped_quantity, 0) + coalesce(pending_quantity, 0) AS ord_qty",
+            "coalesce(ordered_quantity, 0) - coalesce(cancelled_quantity, 0) AS shp_qty",
+            "fulfillment_type AS delivery_mode_cd",
+            f"{sql_ts(run_ts)} AS update_dt",
         ),
         MART,
     )

@@ -4,15 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed
-from ..functions.dates import Months, day_key, in_months, month_key
+from ..functions.dates import Months, day_key, in_months, month_key, sql_ts
 from ..functions.text import (
-    base_item_code, blank_to_null, flag, join_text, pad_name, recode, text_number, to_long, try_to_long,
+    base_item_code, blank_to_null, join_text, pad_name, sql_list, text_number, to_long, try_to_long,
 )
 from ..operators.groups import first_of_group
 from ..operators.joins import attach, match
@@ -29,60 +28,55 @@ def _open_month(affiliate: Column, ym: Column) -> Column:
     )
 
 
-def placeholder_account(country: Column, account: Column) -> Column:
-    """The volume account is one of the numbers that stand for no account."""
-    pairs = [(country == c) & (account == a) for c, a in fixed.PLACEHOLDER_ACCOUNTS.items()]
-    own_code = country.isin(*fixed.PLACEHOLDER_IS_COUNTRY) & (account == country)
-    return F.coalesce(reduce(lambda a, b: a | b, pairs, own_code), F.lit(False))
+def placeholder_account(country: str, account: str) -> Column:
+    """The volume account is one of the numbers that stand for no account. Takes column names."""
+    pairs = " OR ".join(f"({country} = '{c}' AND {account} = '{a}')" for c, a in fixed.PLACEHOLDER_ACCOUNTS.items())
+    own_code = f"({country} IN ({sql_list(fixed.PLACEHOLDER_IS_COUNTRY)}) AND {account} = {country})"
+    return F.expr(f"coalesce({pairs} OR {own_code}, false)")
 
 
 def _orders(header: DataFrame, months: Months) -> DataFrame:
     """Orders in scope; the moving affiliates only since they moved."""
-    country = F.coalesce("intgrt_cntry_cd", "cntry_cd")
-    billing = blank_to_null("bill_imc_type_cd")
     headers = (
         header.filter(in_months("ord_dt", months))
         .withColumns({
             "aff": F.coalesce("intgrt_aff_cd", "aff_cd"),
+            "cntry": F.coalesce("intgrt_cntry_cd", "cntry_cd"),
             "ym": month_key("ord_dt"),
-            "placeholder": placeholder_account(country, F.col("vol_imc_no")),
         })
+        .withColumn("placeholder", placeholder_account("cntry", "vol_imc_no"))
         .filter(_open_month(F.col("aff"), F.col("ym")))
     )
-    return headers.select(
-        to_long("ord_no").alias("h_ord"),
-        to_long(country).alias("oper_cntry_id"),
-        to_long("aff").alias("oper_aff_id"),
-        to_long("dlvry_addr_amway_cntry_cd").alias("shp_cntry_id"),
-        "ord_dt",
-        day_key("ord_dt").alias("ord_dt_key_no"),
-        F.col("ym").alias("ord_mo_yr_id"),
-        recode("comb_ord_flg", {"Y": "true", "N": "false"}).alias("comb_ord_flag"),
-        to_long("comb_ord_no").alias("comb_ord_id"),
-        F.col("inv_no").alias("inv_cd"),
-        F.col("ord_curcy_cd").alias("curcy_cd"),
-        F.col("ord_chnl_cd").alias("ord_channel"),
-        F.col("whse_nm").alias("whse_cd"),
-        F.coalesce("ord_whse_nm", "whse_nm").alias("ord_whse_cd"),
-        blank_to_null("dlvry_addr_post_cd").alias("shp_postal_cd"),
-        F.when(
-            F.col("placeholder"), text_number(pad_name(join_text("dlvry_addr_fam_nm", "dlvry_addr_given_nm"), 7))
-        ).otherwise(to_long("bill_imc_no")).alias("account_id"),
-        F.when(F.col("placeholder"), "FOA")
-        .when(billing == "E", "Employee")
-        .when(billing.isin(*fixed.OWNER_BILLING_TYPES), "ABO")
-        .otherwise("Customer").alias("account_type_ord"),
-        to_long("vol_imc_no").alias("vol_account_id"),
-        to_long("ord_imc_no").alias("ord_account_id"),
-        to_long("shp_imc_no").alias("shp_account_id"),
-        flag(F.col("ord_canc_flg") == "Y").alias("ord_canc_flag"),
-        flag(F.col("ord_shp_flg") == "Y").alias("ord_shp_flag"),
-        F.col("pay_req_flg").alias("pay_req_flag"),
-        flag(F.col("ord_pay_stat_cd") == "PAID").alias("ord_paid_flag"),
-        to_long("orgnl_ord_no").alias("org_ord_id"),
-        "ord_type_cd", "drop_cd",
-        F.col("dlvry_actual_cost_curcy_amt").alias("delivery_fee_net"),
-        F.col("dlvry_mode_cd").alias("delivery_mode_cd"),
+    return headers.withColumns({
+        "h_ord": to_long("ord_no"),
+        "oper_cntry_id": to_long("cntry"),
+        "oper_aff_id": to_long("aff"),
+        "shp_cntry_id": to_long("dlvry_addr_amway_cntry_cd"),
+        "ord_dt_key_no": day_key("ord_dt"),
+        "comb_ord_id": to_long("comb_ord_no"),
+        "recipient_id": text_number(pad_name(join_text("dlvry_addr_fam_nm", "dlvry_addr_given_nm"), 7)),
+        "billed_id": to_long("bill_imc_no"),
+        "billing": blank_to_null("bill_imc_type_cd"),
+        "vol_account_id": to_long("vol_imc_no"),
+        "ord_account_id": to_long("ord_imc_no"),
+        "shp_account_id": to_long("shp_imc_no"),
+        "org_ord_id": to_long("orgnl_ord_no"),
+    }).selectExpr(
+        "h_ord", "oper_cntry_id", "oper_aff_id", "shp_cntry_id", "ord_dt", "ord_dt_key_no", "ym AS ord_mo_yr_id",
+        "CASE comb_ord_flg WHEN 'Y' THEN 'true' WHEN 'N' THEN 'false' END AS comb_ord_flag",
+        "comb_ord_id", "inv_no AS inv_cd", "ord_curcy_cd AS curcy_cd", "ord_chnl_cd AS ord_channel",
+        "whse_nm AS whse_cd", "coalesce(ord_whse_nm, whse_nm) AS ord_whse_cd",
+        "nullif(trim(dlvry_addr_post_cd), '') AS shp_postal_cd",
+        "CASE WHEN placeholder THEN recipient_id ELSE billed_id END AS account_id",
+        f"""CASE WHEN placeholder THEN 'FOA' WHEN billing = 'E' THEN 'Employee'
+                 WHEN billing IN ({sql_list(fixed.OWNER_BILLING_TYPES)}) THEN 'ABO' ELSE 'Customer' END AS account_type_ord""",
+        "vol_account_id", "ord_account_id", "shp_account_id",
+        "CASE WHEN ord_canc_flg = 'Y' THEN 'true' ELSE 'false' END AS ord_canc_flag",
+        "CASE WHEN ord_shp_flg = 'Y' THEN 'true' ELSE 'false' END AS ord_shp_flag",
+        "pay_req_flg AS pay_req_flag",
+        "CASE WHEN ord_pay_stat_cd = 'PAID' THEN 'true' ELSE 'false' END AS ord_paid_flag",
+        "org_ord_id", "ord_type_cd", "drop_cd",
+        "dlvry_actual_cost_curcy_amt AS delivery_fee_net", "dlvry_mode_cd AS delivery_mode_cd",
     )
 
 
@@ -108,50 +102,43 @@ def conform_source4(src: Mapping[str, DataFrame], months: Months, run_ts: dt.dat
     lines = line.withColumn("l_cntry_id", to_long("cntry"))
     lines = match(
         lines,
-        orders.select(F.col("h_ord"), F.col("oper_cntry_id").alias("h_cntry"), F.col("ord_mo_yr_id").alias("ym")).distinct(),
+        orders.selectExpr("h_ord", "oper_cntry_id AS h_cntry", "ord_mo_yr_id AS ym").distinct(),
         {"ord_id": "h_ord", "l_cntry_id": "h_cntry"}, "inner",
     ).filter(_open_month(F.col("l_aff"), F.col("ym")))
 
     # The ordered quantity stands on the first line of each item of an order only.
-    quantity = F.coalesce("compnt_qty", F.col("item_qty_amt").cast("string")).cast("double")
+    quantity = F.expr("coalesce(CAST(compnt_qty AS DOUBLE), item_qty_amt)")
     lines = first_of_group(lines, ["ym", "cntry", "ord_no", "item"], "ord_ln_no", quantity, "ordered")
 
     # The narrow lines meet the shipments first, the many order columns come in last.
     shipped = attach(lines, _last_shipments(src["src4_consignment"]), ["intgrt_cntry_cd", "ord_id"])
     full = match(shipped, orders, {"ord_id": "h_ord", "l_cntry_id": "oper_cntry_id", "ym": "ord_mo_yr_id"}, "inner")
-    moving_open = F.col("ym") >= fixed.FIRST_MONTH_NEW
-    shp_dt = F.when(
-        F.col("intgrt_cntry_cd").isin(*fixed.SRC4_CONSIGNMENT_COUNTRIES) | moving_open, F.col("last_shp")
-    )
-    points = F.when(F.col("cntry") == fixed.TOTAL_POINTS_COUNTRY, F.col("tot_pv_amt")).otherwise(
-        F.coalesce(F.col("adj_item_price_pv_amt").cast("double"), F.col("item_pv_amt"))
-    )
+    shp_dt = F.expr(f"""
+        CASE WHEN intgrt_cntry_cd IN ({sql_list(fixed.SRC4_CONSIGNMENT_COUNTRIES)}) OR ym >= {fixed.FIRST_MONTH_NEW}
+             THEN last_shp END
+    """)
+    coded = full.withColumns({
+        "shp_dt": shp_dt,
+        "ord_item_cd": F.expr("nullif(trim(item), '')"),
+        "shp_item_cd": F.expr("nullif(trim(item_id), '')"),
+    })
     return conform(
-        full.withColumns({
-            "shp_dt": shp_dt,
-            "ord_item_cd": F.nullif(F.trim("item"), F.lit("")),
-            "shp_item_cd": F.nullif(F.trim("item_id"), F.lit("")),
-        }).select(
+        coded.withColumns({
+            "shp_dt_key_no": day_key("shp_dt"), "shp_mo_yr_id": month_key("shp_dt"),
+            "ord_ln_id": to_long("ord_ln_no"), "ref_ln_id": to_long("ref_ln_no"),
+            "ord_item_base_cd": base_item_code("ord_item_cd", width=15),
+            "shp_item_base_cd": base_item_code("shp_item_cd", width=15),
+        }).selectExpr(
             *[c for c in orders.columns if c not in ("h_ord", "oper_cntry_id", "ord_mo_yr_id")],
-            F.col("l_cntry_id").alias("oper_cntry_id"),
-            F.col("ym").alias("ord_mo_yr_id"),
-            "shp_dt",
-            day_key("shp_dt").alias("shp_dt_key_no"),
-            month_key("shp_dt").alias("shp_mo_yr_id"),
-            "ord_id",
-            to_long("ord_ln_no").alias("ord_ln_id"),
-            to_long("ref_ln_no").alias("ref_ln_id"),
-            F.col("item_disp_desc").alias("ord_ln_disp_cd"),
-            "ord_item_cd", "shp_item_cd",
-            base_item_code("ord_item_cd", width=15).alias("ord_item_base_cd"),
-            base_item_code("shp_item_cd", width=15).alias("shp_item_base_cd"),
-            F.coalesce(F.col("adj_item_price_amt").cast("double"), F.lit(0.0)).alias("adj_ln_lc_net"),
-            points.alias("adj_ln_pv"),
-            F.coalesce(F.col("adj_item_price_bv_amt").cast("double"), F.col("item_bv_amt")).alias("adj_ln_bv"),
-            F.col("ordered").alias("ord_qty"),
-            F.col("item_qty_amt").alias("shp_qty"),
-            F.col("pos_consltnt_id").alias("consultant_cd"),
-            F.lit(run_ts).cast("timestamp_ntz").alias("update_dt"),
+            "l_cntry_id AS oper_cntry_id", "ym AS ord_mo_yr_id", "shp_dt", "shp_dt_key_no", "shp_mo_yr_id",
+            "ord_id", "ord_ln_id", "ref_ln_id", "item_disp_desc AS ord_ln_disp_cd",
+            "ord_item_cd", "shp_item_cd", "ord_item_base_cd", "shp_item_base_cd",
+            "coalesce(CAST(adj_item_price_amt AS DOUBLE), 0) AS adj_ln_lc_net",
+            f"""CASE WHEN cntry = '{fixed.TOTAL_POINTS_COUNTRY}' THEN tot_pv_amt
+                     ELSE coalesce(CAST(adj_item_price_pv_amt AS DOUBLE), item_pv_amt) END AS adj_ln_pv""",
+            "coalesce(CAST(adj_item_price_bv_amt AS DOUBLE), item_bv_amt) AS adj_ln_bv",
+            "ordered AS ord_qty", "item_qty_amt AS shp_qty", "pos_consltnt_id AS consultant_cd",
+            f"{sql_ts(run_ts)} AS update_dt",
         ),
         MART,
     )
