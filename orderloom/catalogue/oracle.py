@@ -395,5 +395,232 @@ def conform_queries() -> dict[str, str]:
     return queries
 
 
+# --- source map and control state ------------------------------------------
+
+def control_queries() -> dict[str, str]:
+    from .queries import EVENT_TAGS, FOCUS_MONTHS
+
+    q: dict[str, str] = {}
+    focus = "(SELECT unnest([" + _list(FOCUS_MONTHS) + "])::INTEGER AS focus_ym)"
+    q["source_by_focus_month"] = ctes("source_map") + f""",
+by_both AS (
+  SELECT focus_ym, cntry_id, aff_id, new_system_nm,
+         row_number() OVER (PARTITION BY focus_ym, cntry_id, aff_id ORDER BY launch_mo_yr_id DESC, new_system_nm DESC) AS r
+  FROM {focus} f JOIN source_map ON launch_mo_yr_id <= focus_ym),
+by_aff AS (
+  SELECT focus_ym, aff_id, new_system_nm,
+         row_number() OVER (PARTITION BY focus_ym, aff_id ORDER BY launch_mo_yr_id DESC, new_system_nm DESC) AS r
+  FROM {focus} f JOIN source_map ON launch_mo_yr_id <= focus_ym),
+c AS (SELECT focus_ym, new_system_nm AS src, string_agg(cntry_id::VARCHAR, ', ' ORDER BY aff_id, cntry_id) AS cntry_list
+      FROM by_both WHERE r = 1 GROUP BY ALL),
+a AS (SELECT focus_ym, new_system_nm AS src, string_agg(aff_id::VARCHAR, ', ' ORDER BY aff_id) AS aff_list
+      FROM by_aff WHERE r = 1 GROUP BY ALL)
+SELECT c.focus_ym, c.src, c.cntry_list, a.aff_list FROM c LEFT JOIN a ON c.focus_ym = a.focus_ym AND c.src = a.src"""
+
+    heads = ctes("pend_state", "src1_header", "src2_header", "src3_header", "src4_header")
+    day = f"DATE '{RUN_TS:%Y-%m-%d}'"
+
+    def found(moved: bool) -> str:
+        old = f" AND (aff IN ({_list(fixed.SRC1_AFFILIATES)}) OR ym <= {fixed.LAST_MONTH_OLD})" if moved else ""
+        new = (f" OR (aff IN ({_list(fixed.MOVING_AFFILIATES)}) AND ym >= {fixed.FIRST_MONTH_NEW})" if moved else "")
+        return f""",
+changed AS (
+  SELECT DISTINCT 'EU_AS400' AS src, ym AS ord_mo_yr_id FROM (
+    SELECT coalesce(intgrt_ctl_aff, ctl_aff) AS aff, ord_dt // 100 AS ym, last_updt_dt_key_no AS u FROM src1_header)
+  WHERE aff IN ('150', '480', '040') AND ym >= {fixed.REOPEN_FLOOR} AND CAST(u AS DATE) = {day}{old}
+  UNION ALL
+  SELECT DISTINCT 'EU_ATLAS', {_ym(_zone("ord_dt"))} FROM src2_header
+  WHERE intgrt_aff_cd = '570' AND {_ym(_zone("ord_dt"))} >= {fixed.REOPEN_FLOOR} AND CAST(updt_dt AS DATE) = {day}
+  UNION ALL
+  SELECT DISTINCT 'EU_HYBR_EOM', {_ym("order_date_time")} FROM src3_header
+  WHERE affiliate_code = '030' AND {_ym("order_date_time")} >= {fixed.REOPEN_FLOOR} AND CAST(updt_dt AS DATE) = {day}
+  UNION ALL
+  SELECT DISTINCT 'EU_HYBR_NON_EOM', ym FROM (
+    SELECT coalesce(intgrt_aff_cd, aff_cd) AS aff, {_ym("ord_dt")} AS ym, updt_dt AS u FROM src4_header)
+  WHERE (aff IN ({_list(fixed.SRC4_AFFILIATES)}){new}) AND ym >= {fixed.REOPEN_FLOOR} AND CAST(u AS DATE) = {day})"""
+
+    def queued(state: str) -> str:
+        return f""",
+queued AS (
+  SELECT src, ord_mo_yr_id, updt_on_last_run_flg FROM {state}
+  UNION ALL
+  SELECT src, CAST(ord_mo_yr_id AS INTEGER), 0 FROM changed c
+  WHERE NOT EXISTS (SELECT 1 FROM {state} s WHERE s.src = c.src AND s.ord_mo_yr_id = c.ord_mo_yr_id))
+SELECT src, ord_mo_yr_id, CAST(updt_on_last_run_flg + CASE WHEN updt_on_last_run_flg > 0 THEN 1 ELSE 0 END AS INTEGER)
+       AS updt_on_last_run_flg FROM queued"""
+
+    q["pending_detect"] = heads + found(False) + queued("pend_state")
+    q["pending_detect_follow_moves"] = heads + found(True) + " SELECT src, CAST(ord_mo_yr_id AS INTEGER) AS ord_mo_yr_id FROM changed"
+    q["pending_enqueue_events"] = ctes("event_state") + f""",
+earlier AS (SELECT * FROM event_state WHERE ord_mo_yr_id < 20240130),
+changed AS (SELECT DISTINCT event_type AS src, {_day("ts")} AS ord_mo_yr_id FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-30')""" + queued("earlier")
+
+    def view(state: str) -> str:
+        names = ", ".join(f"coalesce(max(CASE WHEN src = '{t}' THEN ord_mo_yr_id END), 0) AS {t}" for t in EVENT_TAGS)
+        return f""",
+aged_v AS (SELECT *, dense_rank() OVER (ORDER BY ord_mo_yr_id DESC NULLS FIRST) AS rk FROM {state}),
+flagged AS (SELECT src, ord_mo_yr_id, rk, CASE WHEN rk <= 2 THEN 0 ELSE updt_on_last_run_flg END AS updt_on_last_run_flg FROM aged_v),
+wide AS (SELECT updt_on_last_run_flg, rk, {names} FROM flagged WHERE updt_on_last_run_flg = 0 GROUP BY updt_on_last_run_flg, rk),
+view_v AS (
+  SELECT {", ".join(EVENT_TAGS)}, updt_on_last_run_flg, greatest({", ".join(EVENT_TAGS)}) AS ord_mo_yr_id,
+         CAST(dense_rank() OVER (ORDER BY greatest({", ".join(EVENT_TAGS)}) DESC) AS INTEGER) AS mnth_rnk FROM wide)"""
+
+    events = ctes("event_state")
+    q["pending_pivot"] = events + view("event_state") + " SELECT * FROM view_v"
+    stacked = " UNION ALL ".join(
+        f"SELECT mnth_rnk, '{t}' AS src, {t} AS src_mo_yr_id, ord_mo_yr_id FROM view_v" for t in EVENT_TAGS
+    )
+    q["plan_months"] = events + view("event_state") + f" SELECT * FROM ({stacked}) WHERE mnth_rnk <= {fixed.DAY_RUN_MONTHS}"
+    q["plan_months_night"] = events + view("event_state") + f"""
+SELECT *, (SELECT max(mnth_rnk) FROM view_v) AS waiting FROM ({stacked}) WHERE mnth_rnk <= {fixed.RUN_MONTHS}"""
+    q["pending_age_mark_purge"] = events + """,
+aged AS (SELECT src, ord_mo_yr_id, CASE WHEN updt_on_last_run_flg > 0 THEN updt_on_last_run_flg + 1 ELSE updt_on_last_run_flg END
+         AS updt_on_last_run_flg FROM event_state)""" + view("aged") + f""",
+planned AS (SELECT * FROM ({stacked}) WHERE mnth_rnk <= {fixed.RUN_MONTHS} AND src_mo_yr_id > 0),
+marked AS (
+  SELECT a.src, a.ord_mo_yr_id, CASE WHEN p.src IS NOT NULL THEN 1 ELSE a.updt_on_last_run_flg END AS updt_on_last_run_flg
+  FROM aged a LEFT JOIN planned p ON a.src = p.src AND a.ord_mo_yr_id = p.src_mo_yr_id)
+SELECT src, ord_mo_yr_id, CAST(updt_on_last_run_flg AS INTEGER) AS updt_on_last_run_flg FROM marked
+WHERE NOT (updt_on_last_run_flg > 0 AND ord_mo_yr_id NOT IN (SELECT ord_mo_yr_id FROM view_v WHERE mnth_rnk IN (1, 2)))"""
+    q["status_report"] = events + """,
+u AS (SELECT src, string_agg(ord_mo_yr_id::VARCHAR, ', ' ORDER BY ord_mo_yr_id DESC) AS updated
+      FROM event_state WHERE updt_on_last_run_flg = 1 GROUP BY src),
+d AS (SELECT src, string_agg(ord_mo_yr_id::VARCHAR, ', ' ORDER BY ord_mo_yr_id DESC) AS deferred
+      FROM event_state WHERE updt_on_last_run_flg = 0 GROUP BY src)
+SELECT src, coalesce(updated, '-') AS updated, coalesce(deferred, '-') AS deferred FROM u FULL JOIN d USING (src)"""
+    q["status_flags"] = events + " SELECT *, max(updt_on_last_run_flg) OVER (PARTITION BY src) AS max_flg FROM event_state"
+
+    latest = ("CASE WHEN trx_creat_dtm IS NOT NULL AND audit_creat_dtm IS NOT NULL AND audit_chng_dtm IS NOT NULL"
+              " THEN greatest(trx_creat_dtm, audit_creat_dtm, audit_chng_dtm) END")
+    touched = ctes("invoice_txn") + f""",
+touched AS (SELECT DISTINCT {_ym("ord_dt")} AS ord_mo_yr_id FROM invoice_txn
+  WHERE aff_no IN (570, 30) AND trim(trx_sourc_cd) = '003' AND CAST({latest} AS DATE) = {day})"""
+    q["months_to_reload"] = touched + " SELECT * FROM touched ORDER BY 1 DESC"
+    q["months_to_reload_by_day"] = touched + " SELECT * FROM touched WHERE ord_mo_yr_id >= 202206 ORDER BY 1 DESC"
+    return q
+
+
+# --- operators -------------------------------------------------------------
+
+def operator_queries() -> dict[str, str]:
+    q: dict[str, str] = {}
+    groups = "CASE " + " ".join(f"WHEN nat * 10 IN ({_list(m)}) THEN '{g}'" for g, m in fixed.COUNTRY_GROUPS.items()) + f" ELSE '{fixed.OTHER_GROUP}' END"
+    q["country_group_rollup"] = ctes("hd") + f"""
+SELECT {groups} AS cntry_grp, count(*) AS n_orders, max({_ym("dt")}) AS newest_ym FROM hd GROUP BY 1"""
+    q["role_playing_dims"] = ctes("lh") + """
+SELECT a.n_name AS cust_nation, b.n_name AS supp_nation, count(*) AS n_lines, CAST(sum(qty) AS DOUBLE) AS sum_qty
+FROM lh LEFT JOIN supplier s ON lh.supp = s.s_suppkey LEFT JOIN nation a ON lh.nat = a.n_nationkey
+LEFT JOIN nation b ON s.s_nationkey = b.n_nationkey GROUP BY ALL"""
+    q["lookup_with_default"] = ctes("src1_header", "src1_channel") + """
+SELECT h.ord, h.intgrt_cntry_cd AS cc, h.ord_type, nullif(trim(h.ord_src), '') AS src_cd, coalesce(c.glbl_sales_chnl_cd, '-') AS glbl_sales_chnl_cd
+FROM src1_header h LEFT JOIN src1_channel c ON h.intgrt_cntry_cd = c.cntry_cd AND h.ord_type = c.ord_type_cd
+ AND nullif(trim(h.ord_src), '') = c.ord_src_cd"""
+    q["value_from_row"] = ctes("h1") + """
+SELECT ord, comb, reg, dt, cc, coalesce(max(CASE WHEN ord = comb THEN cc END) OVER (PARTITION BY reg, comb, dt), cc) AS first_cc FROM h1"""
+    q["prorate"] = ctes("lh") + f""",
+w AS (SELECT lh.ord, lh.ln, lh.price, hd.total, sum(lh.price) OVER (PARTITION BY lh.ord) AS t FROM lh JOIN hd ON lh.ord = hd.ord)
+SELECT ord, ln, CAST(price AS DOUBLE) AS price, CAST(total AS DOUBLE) AS total, CAST({_share("price", "total", "t")} AS DOUBLE) AS share FROM w"""
+    q["first_of_group"] = ctes("li") + """
+SELECT ord, ln, CAST(qty AS DOUBLE) AS qty, supp % 3 AS grp,
+       CAST(CASE WHEN min(ln) OVER (PARTITION BY ord, supp % 3) = ln THEN qty ELSE 0 END AS DOUBLE) AS kept_qty FROM li"""
+    q["rank_in_group"] = """
+SELECT l_orderkey, l_suppkey, l_partkey, rank() OVER (PARTITION BY l_orderkey ORDER BY l_suppkey, l_partkey) AS rnk FROM lineitem"""
+    q["rank_in_hot_group"] = """
+SELECT l_returnflag, l_orderkey, l_partkey, l_linenumber,
+       rank() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_partkey) AS rnk FROM lineitem"""
+    q["earliest_per_key"] = ctes("hd") + """
+SELECT ord, cust, status, dt FROM (SELECT *, dense_rank() OVER (PARTITION BY cust, status ORDER BY dt) AS r FROM hd) WHERE r = 1"""
+    q["rank_distinct_months"] = ctes("hd") + f"""
+SELECT ord, {_ym("dt")} AS ym, CAST(dense_rank() OVER (ORDER BY {_ym("dt")} DESC) AS INTEGER) AS mnth_rnk FROM hd"""
+    q["keep_last"] = ctes("hd") + """
+SELECT cust, status AS last_status FROM (SELECT *, row_number() OVER (PARTITION BY cust ORDER BY dt DESC, status DESC) AS r FROM hd) WHERE r = 1"""
+    q["hypothetical_rank"] = ctes("source_map") + """
+SELECT cntry_id, CAST(1 + count(DISTINCT CASE WHEN launch_mo_yr_id > 201602 THEN launch_mo_yr_id END) AS INTEGER) AS rank_desc,
+       CAST(1 + count(DISTINCT CASE WHEN launch_mo_yr_id < 201602 THEN launch_mo_yr_id END) AS INTEGER) AS rank_asc
+FROM source_map GROUP BY cntry_id"""
+    q["listagg_other_order"] = """
+SELECT n_regionkey, string_agg(n_nationkey::VARCHAR, ', ' ORDER BY n_name DESC) AS nations FROM nation GROUP BY n_regionkey"""
+    q["pivot_latest"] = ctes("hd") + " SELECT reg, " + ", ".join(
+        f"max(CASE WHEN status = '{s}' THEN {_ym('dt')} END) AS \"{s}\"" for s in "FOP"
+    ) + " FROM hd GROUP BY reg"
+    q["as_of_lookup"] = ctes("hd", "source_map") + f""",
+best AS (
+  SELECT h.ord, m.new_system_nm, row_number() OVER (PARTITION BY h.ord ORDER BY m.launch_mo_yr_id DESC, m.new_system_nm DESC) AS r
+  FROM hd h JOIN source_map m ON h.nat = m.cntry_id AND m.launch_mo_yr_id <= {_ym("h.dt")})
+SELECT h.ord, CAST(h.nat AS BIGINT) AS cntry, {_ym("h.dt")} AS ym, b.new_system_nm AS src
+FROM hd h LEFT JOIN best b ON h.ord = b.ord AND b.r = 1"""
+    q["split_rejects"] = ctes("src1_line") + """
+SELECT ord, ord_ln, CASE WHEN regexp_full_match(trim(item), '[0-9]+') THEN CAST(CAST(trim(item) AS INTEGER) AS VARCHAR) ELSE trim(item) END AS code,
+       CASE WHEN regexp_full_match(trim(item), '[0-9]+') THEN '' ELSE 'code is not int' END AS reject_reason FROM src1_line"""
+    q["line_quantities"] = ctes("src1_line") + f""",
+st AS (SELECT ord, intgrt_cntry_cd AS cc, ref_ln, count(CASE WHEN ln_type = 'P' THEN NULL ELSE ord_ln END) AS p, count(*) AS n
+       FROM src1_line WHERE ord_ln <> ref_ln GROUP BY ALL)
+SELECT m.ord, m.ord_ln, {_code("coalesce(r.item, m.item)")} AS ord_item_cd, {_code("m.item")} AS shp_item_cd,
+       CAST(CASE WHEN m.ln_type IN ('O', 'A', 'R') THEN m.item_qty ELSE 0 END AS DOUBLE) AS ord_qty,
+       CAST(CASE WHEN m.item_type <> 'I' OR m.item_disp = 'S' OR (m.ord_ln = m.ref_ln AND (p > 0 OR coalesce(n, 0) = 0)
+            AND m.item_disp IN ('E', 'S')) THEN 0 ELSE m.item_qty END AS DOUBLE) AS shp_qty
+FROM src1_line m
+LEFT JOIN src1_line r ON m.ord = r.ord AND m.ref_ln = r.ord_ln AND m.intgrt_cntry_cd = r.intgrt_cntry_cd
+LEFT JOIN st ON m.ord = st.ord AND m.ord_ln = st.ref_ln AND m.intgrt_cntry_cd = st.cc"""
+    q["order_fees"] = ctes("src3_fees") + f"""
+SELECT sale_country_code, sales_order_id,
+       CAST(sum(CAST(fee_amount AS DECIMAL(18,2))) - sum(coalesce(CAST(fee_tax_total_amount AS DECIMAL(18,2)), 0)) AS DOUBLE) AS fee_total,
+       CAST(sum(CASE WHEN fee_code IN ({_list(fixed.ROUNDING_FEES)}) THEN 0
+                     ELSE CAST(fee_amount AS DECIMAL(18,2)) - coalesce(CAST(fee_tax_total_amount AS DECIMAL(18,2)), 0) END) AS DOUBLE) AS delivery_fee
+FROM src3_fees GROUP BY ALL"""
+    q["month_filter"] = ctes("hd") + f" SELECT ord, dt FROM hd WHERE {_ym('dt')} IN (202012, 202101, 202103, 202208)"
+    q["day_key_filter"] = ctes("src1_header") + """
+SELECT ord, ord_dt, coalesce(nullif(trim(ctl_aff), ''), nullif(trim(intgrt_ctl_aff), '')) AS aff
+FROM src1_header WHERE ord_dt // 100 BETWEEN 202106 AND 202109"""
+    q["reload_roundtrip"] = ctes("hd") + f""",
+kept AS (SELECT {_ym("dt")} AS ord_mo_yr_id, {groups} AS cntry_grp, total, status FROM hd
+         WHERE {_ym("dt")} <> 202104 AND ({_ym("dt")} <> 202103 OR status = 'F'))
+SELECT ord_mo_yr_id, cntry_grp, count(*) AS n, CAST(sum(total) AS DOUBLE) AS total,
+       CASE WHEN ord_mo_yr_id = 202103 THEN (SELECT count(*) FROM kept WHERE ord_mo_yr_id = 202103) END AS republished
+FROM kept GROUP BY ord_mo_yr_id, cntry_grp"""
+    return q
+
+
+def scalar_queries() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["scalar_text"] = """
+WITH p AS (SELECT *, '  ' || CASE WHEN p_size > 10 THEN p_name ELSE '' END || ' ' AS padded_name,
+                  CASE WHEN p_size > 25 THEN p_brand END AS maybe FROM part)
+SELECT p_partkey, nullif(trim(padded_name), '') AS trimmed, coalesce(nullif(trim(padded_name), ''), p_type) AS filled,
+       coalesce(maybe, '') || p_type AS joined, left(p_name, 3) AS cut3, substr(p_name, 4) AS from4, right(p_brand, 2) AS last2,
+       CAST(length(p_name) AS INTEGER) AS len, CAST(instr(p_name, 'e') AS INTEGER) AS pos_e,
+       regexp_replace(p_type, '[B-Z]', 'A', 'g') AS classed, CAST(regexp_replace(p_brand, '[^0-9]', '', 'g') AS BIGINT) AS digits,
+       lpad(p_size::VARCHAR, 6, '0') AS padded, rpad(nullif(trim(padded_name), ''), 7, 'X') AS name7,
+       CASE WHEN left(p_type, 3) = 'STA' THEN substr(p_type, 4) ELSE p_type END AS no_prefix,
+       CAST(('0x' || substr(md5(rpad(p_name, 7, 'X')), 1, 15)) AS BIGINT) AS name_number,
+       CASE p_type WHEN 'SMALL' THEN 'S' WHEN 'ECONOMY' THEN 'E' ELSE '*' END AS recoded,
+       CASE p_type WHEN 'SMALL' THEN 'S' END AS recoded_or_null,
+       CASE WHEN maybe = 'Brand#2' THEN 'true' ELSE 'false' END AS flagged, '*' AS star, CAST(NULL AS VARCHAR) AS nothing
+FROM p"""
+    clock = "strptime(CAST(" + _day("dt") + " AS VARCHAR) || lpad(CAST(ord % 24 * 10000 + ord % 60 * 100 AS VARCHAR), 6, '0'), '%Y%m%d%H%M%S')"
+    q["scalar_date"] = ctes("hd") + f"""
+SELECT ord, {_day("dt")} AS dk, {_ym("dt")} AS ym, {_ym("dt")} AS ym_of_key, CASE WHEN status <> 'P' THEN date_trunc('day', dt) END AS day,
+       {clock} AS clock, CAST(hour({clock}) AS INTEGER) AS hr, {_zone("dt + INTERVAL '20' HOUR")} AS shifted,
+       CAST(year(dt) * 12 + month(dt) AS INTEGER) AS ymm, strftime(dt, '%Y%m') AS ym_text, strftime(dt, '%Y%m%d') AS day_text,
+       CASE WHEN status <> 'P' THEN greatest(dt, upd) END AS latest
+FROM hd"""
+    q["scalar_number"] = ctes("li") + f"""
+SELECT ord, ln, CAST(CAST(price AS DECIMAL(38,0)) AS BIGINT) AS rounded, CASE WHEN rf <> 'R' THEN CAST(ln AS BIGINT) END AS or_null,
+       CAST(qty AS DOUBLE) AS money, round(CAST(price AS DOUBLE) / 7, 2) AS seventh,
+       round(coalesce(CAST(tax AS DOUBLE) / nullif(CAST(price AS DOUBLE) - CAST(tax AS DOUBLE), 0), 0), 6) AS tax_rate,
+       CAST(NULL AS DOUBLE) AS no_ratio, nullif(ln, 1) AS not_one,
+       CAST(CASE WHEN rf <> 'N' THEN qty ELSE 0 END + tax AS DOUBLE) AS sum_or_zero,
+       CASE WHEN ls = 'F' THEN greatest(ln, 3) END AS great, CAST({_share("price", "qty", "(tax + 1)")} AS DOUBLE) AS part,
+       CAST(CAST(CAST(round(price * qty * 100) AS HUGEINT) / 100 AS DECIMAL(18,2)) AS DOUBLE) AS value
+FROM li"""
+    code = "substr(replace(p_name, ' ', ''), 1, 3) || (p_partkey % 100)::VARCHAR || upper(substr(p_type, 1, 2)) || p_size::VARCHAR || p_brand"
+    q["item_base_codes"] = f"""
+WITH c AS (SELECT p_partkey, {code} AS code FROM part)
+SELECT p_partkey, code, {_base("code", width=15)} AS daily15, {_base("code")} AS daily, {_base("code", 4)} AS history FROM c"""
+    q["ymm_roundtrip"] = ctes("hd") + f"""
+SELECT {_ym("dt")} AS ym, count(*) AS n, CAST(year(dt) * 12 + month(dt) AS INTEGER) AS ymm, {_ym("dt")} AS back FROM hd GROUP BY ALL"""
+    return q
+
+
 def oracle_sql() -> dict[str, str]:
-    return {**conform_queries()}
+    return {**conform_queries(), **control_queries(), **operator_queries(), **scalar_queries()}

@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import fixed
+from ..functions import dates, text
+from ..operators import groups, joins, ranks, shape
+from ..plans import control, invoices, source1, source3, source_map
 from ..plans.history import conform_history
-from ..plans.invoices import extract_invoices
 from ..plans.refresh import conform_all
-from ..plans.source1 import conform_source1
 from ..plans.source2 import conform_source2
-from ..plans.source3 import conform_source3
 from ..plans.source4 import conform_source4
-from ..session import configure
+from ..session import configure, working_path
+from ..sources import publish
 from .standins import RUN_TS, Standins
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,9 +65,9 @@ ALL_MONTHS = None
 
 def _register_plans() -> None:
     plans = {
-        "conform_source1": conform_source1, "conform_source2": conform_source2,
-        "conform_source3": conform_source3, "conform_source4": conform_source4,
-        "conform_all": conform_all, "history_star": conform_history, "invoice_earliest": extract_invoices,
+        "conform_source1": source1.conform_source1, "conform_source2": conform_source2,
+        "conform_source3": source3.conform_source3, "conform_source4": conform_source4,
+        "conform_all": conform_all, "history_star": conform_history, "invoice_earliest": invoices.extract_invoices,
     }
     for name, plan in plans.items():
         def make(t, plan=plan):
@@ -75,3 +78,351 @@ def _register_plans() -> None:
 
 
 _register_plans()
+
+
+# --- source map and control state ------------------------------------------
+
+FOCUS_MONTHS = (201601, 201602, 201603, 201612, 202204)
+EVENT_TAGS = ("click", "error", "purchase", "signup", "view")
+LAST_EVENT_DAY = dt.date(2024, 1, 30)
+DAY_HOUR, NIGHT_HOUR = 10, 22
+
+
+@registered
+def source_by_focus_month(t):
+    """Countries and affiliates of the system in force at several months."""
+    return source_map.sources_by_month(t["source_map"], FOCUS_MONTHS)
+
+
+@registered
+def pending_detect(t):
+    """Months of the four sources with an order updated on the run's day, queued and aged."""
+    return control.detect(t["pend_state"], control.changed_months(t, RUN_TS))
+
+
+@registered
+def pending_detect_follow_moves(t):
+    """The same with the moving affiliates looked for where their orders are loaded from."""
+    return control.changed_months(t, RUN_TS, follow_moves=True)
+
+
+@registered
+def pending_enqueue_events(t):
+    """Days with an event on the last day against the days already queued, per event type."""
+    last = t["events"].filter(control.changed_on("ts", LAST_EVENT_DAY))
+    changed = last.select(F.col("event_type").alias("src"), dates.day_key("ts").alias("ord_mo_yr_id")).distinct()
+    earlier = t["event_state"].filter(F.col("ord_mo_yr_id") < 20240130)
+    return control.detect(earlier, changed)
+
+
+def _view(t):
+    return control.pending_view(t["event_state"], EVENT_TAGS)
+
+
+@registered
+def pending_pivot(t):
+    """Pending days by event type, ranked."""
+    return _view(t)
+
+
+@registered
+def plan_months(t):
+    """What a day run rebuilds."""
+    return control.plan_months(_view(t), DAY_HOUR, tags=EVENT_TAGS)
+
+
+@registered
+def plan_months_night(t):
+    """What a night run rebuilds, and how many ranks wait."""
+    wanted = _view(t).agg(control.months_wanted(_view(t), NIGHT_HOUR).alias("waiting"))
+    return control.plan_months(_view(t), NIGHT_HOUR, tags=EVENT_TAGS).crossJoin(F.broadcast(wanted))
+
+
+@registered
+def pending_age_mark_purge(t):
+    """One night run over the state: age, mark the planned days done, forget old done days."""
+    aged = control.age(t["event_state"])
+    view = control.pending_view(aged, EVENT_TAGS)
+    plan = control.plan_months(view, NIGHT_HOUR, tags=EVENT_TAGS).filter(F.col("src_mo_yr_id") > 0)
+    marked = control.mark_done(aged, plan.selectExpr("src", "src_mo_yr_id AS ord_mo_yr_id"))
+    return control.purge(marked, view, NIGHT_HOUR)
+
+
+@registered
+def status_report(t):
+    """Done and deferred days per event type."""
+    return control.status_report(t["event_state"])
+
+
+@registered
+def status_flags(t):
+    """Flags beside the greatest flag of their source."""
+    return groups.with_group(t["event_state"], ["src"], max_flg=F.max(control.FLAG))
+
+
+@registered
+def months_to_reload(t):
+    """Months with an invoice stamped on the run's day, as a night run sees them."""
+    return invoices.months_to_reload(t["invoice_txn"], RUN_TS.replace(hour=NIGHT_HOUR))
+
+
+@registered
+def months_to_reload_by_day(t):
+    """The same as a day run sees them: this month and the one before."""
+    return invoices.months_to_reload(t["invoice_txn"], RUN_TS.replace(hour=DAY_HOUR))
+
+
+# --- operators -------------------------------------------------------------
+
+@registered
+def country_group_rollup(t):
+    """Orders and newest month per country group."""
+    numbered = t["hd"].withColumn("cntry", F.col("nat") * 10).withColumn("cntry_grp", publish.country_group("cntry"))
+    return numbered.groupBy("cntry_grp").agg(
+        F.count(F.lit(1)).alias("n_orders"), F.max(dates.month_key("dt")).alias("newest_ym")
+    )
+
+
+@registered
+def role_playing_dims(t):
+    """Lines by customer and supplier country, one dimension in two roles."""
+    lines = joins.match(t["lh"], t["supplier"].selectExpr("s_suppkey", "s_nationkey"), {"supp": "s_suppkey"})
+    named = joins.role_join(lines, t["nation"], "n_nationkey", {
+        "nat": {"n_name": "cust_nation"}, "s_nationkey": {"n_name": "supp_nation"},
+    })
+    return named.groupBy("cust_nation", "supp_nation").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum("qty").alias("sum_qty")
+    )
+
+
+@registered
+def lookup_with_default(t):
+    """Channel of every order, or '-' where the channel table has none."""
+    orders = t["src1_header"].select("ord", F.col("intgrt_cntry_cd").alias("cc"), "ord_type", text.first_filled("ord_src").alias("src_cd"))
+    return joins.lookup(
+        orders, t["src1_channel"], {"cc": "cntry_cd", "ord_type": "ord_type_cd", "src_cd": "ord_src_cd"},
+        default={"glbl_sales_chnl_cd": "-"},
+    )
+
+
+@registered
+def value_from_row(t):
+    """Country of the first order of each combination, or the own one."""
+    keyed = t["h1"].select("ord", "comb", "reg", "dt", "cc")
+    return groups.value_from_row(keyed, ["reg", "comb", "dt"], F.col("ord") == F.col("comb"), "cc", "first_cc", fallback="cc")
+
+
+@registered
+def prorate(t):
+    """Order totals split over their lines by price."""
+    lines = joins.match(t["lh"].select("ord", "ln", "price"), t["hd"].select("ord", "total"), ["ord"], "inner")
+    return groups.prorate(lines, ["ord"], "price", "total", "share")
+
+
+@registered
+def first_of_group(t):
+    """Quantity kept on the first line of each order and part group."""
+    lines = t["li"].select("ord", "ln", "qty", (F.col("supp") % 3).alias("grp"))
+    return groups.first_of_group(lines, ["ord", "grp"], "ln", "qty", "kept_qty")
+
+
+@registered
+def rank_in_group(t):
+    """Rank of every line item of its order by supplier and part; equal ones tie."""
+    rows = t["lineitem"].select("l_orderkey", "l_suppkey", "l_partkey")
+    return ranks.rank_in_group(rows, ["l_orderkey"], ["l_suppkey", "l_partkey"], "rnk", block=16)
+
+
+@registered
+def rank_in_hot_group(t):
+    """Rank inside a few huge groups: line items by return flag, ordered by order and part."""
+    rows = t["lineitem"].select("l_returnflag", "l_orderkey", "l_partkey", "l_linenumber")
+    return ranks.rank_in_group(rows, ["l_returnflag"], ["l_orderkey", "l_partkey"], "rnk", block=512)
+
+
+@registered
+def earliest_per_key(t):
+    """First orders of every customer and status, ties kept."""
+    return groups.earliest_per_key(t["hd"].select("ord", "cust", "status", "dt"), ["cust", "status"], "dt")
+
+
+@registered
+def rank_distinct_months(t):
+    """Orders with the rank of their month, newest first."""
+    return ranks.rank_distinct(t["hd"].select("ord", dates.month_key("dt").alias("ym")), "ym", "mnth_rnk")
+
+
+@registered
+def keep_last(t):
+    """Status of each customer's last order; the greater one on a tie."""
+    return groups.keep_last(t["hd"], ["cust"], "dt", "status", "last_status")
+
+
+@registered
+def hypothetical_rank(t):
+    """Dense rank that a month would take among the launches of each country, both ways."""
+    args = (t["source_map"], ["cntry_id"], "launch_mo_yr_id", 201602)
+    down = groups.hypothetical_dense_rank(*args, out="rank_desc")
+    return joins.attach(down, groups.hypothetical_dense_rank(*args, out="rank_asc", descending=False), ["cntry_id"])
+
+
+@registered
+def listagg_other_order(t):
+    """Nations of each region as text, ordered by name; and newest months of each status first."""
+    return groups.listagg_by(t["nation"], ["n_regionkey"], "n_nationkey", order="n_name", descending=True, out="nations")
+
+
+@registered
+def pivot_latest(t):
+    """Newest month of each region by status."""
+    rows = t["hd"].select("reg", "status", dates.month_key("dt").alias("ym"))
+    return groups.pivot_latest(rows, ["reg"], "status", ["F", "O", "P"], "ym")
+
+
+@registered
+def as_of_lookup(t):
+    """System in force in each order's country at the order's month."""
+    orders = t["hd"].select("ord", F.col("nat").cast("bigint").alias("cntry"), dates.month_key("dt").alias("ym"))
+    return joins.as_of(orders, t["source_map"], {"cntry": "cntry_id"}, "ym", "launch_mo_yr_id", "new_system_nm", "src")
+
+
+@registered
+def split_rejects(t):
+    """Item codes that are numbers, and the others with the reason."""
+    codes = t["src1_line"].selectExpr("ord", "ord_ln", "trim(item) AS code")
+    good, bad = shape.split_rejects(codes, {"code": "int"})
+    return good.selectExpr("ord", "ord_ln", "CAST(code AS STRING) AS code", "'' AS reject_reason").unionByName(bad)
+
+
+@registered
+def line_quantities(t):
+    """Ordered and shipped quantity of source 1 lines: self join, component counts, bundle rule."""
+    lines = t["src1_line"].selectExpr("*", "CAST(intgrt_cntry_cd AS BIGINT) AS cntry_id", "0 AS ym")
+    return source1.line_quantities(lines).select("ord", "ord_ln", "ord_item_cd", "shp_item_cd", "ord_qty", "shp_qty")
+
+
+@registered
+def order_fees(t):
+    """Net fees per order, all and without rounding differences."""
+    return source3.order_fees(t["src3_fees"])
+
+
+@registered
+def month_filter(t):
+    """Orders of months with a gap, by range filters that reach the scan."""
+    return t["hd"].filter(dates.in_months("dt", (202012, 202101, 202103, 202208))).select("ord", "dt")
+
+
+@registered
+def day_key_filter(t):
+    """The same on an integer day key, with the run's affiliates before they moved."""
+    kept = t["src1_header"].filter(dates.key_in_months("ord_dt", dates.month_range(202106, 202109)))
+    return kept.select("ord", "ord_dt", text.first_filled("ctl_aff", "intgrt_ctl_aff").alias("aff"))
+
+
+# --- scalar functions, one column each -------------------------------------
+
+@registered
+def scalar_text(t):
+    name, seg = F.col("p_name"), F.col("p_type")
+    padded = F.concat(F.lit("  "), F.when(F.col("p_size") > 10, name).otherwise(""), F.lit(" "))
+    maybe = F.when(F.col("p_size") > 25, F.col("p_brand"))
+    return t["part"].select(
+        "p_partkey",
+        text.blank_to_null(padded).alias("trimmed"),
+        text.first_filled(padded, seg).alias("filled"),
+        text.join_text(maybe, seg).alias("joined"),
+        text.cut(name, 3).alias("cut3"),
+        F.substr(name, F.lit(4)).alias("from4"),
+        F.right(F.col("p_brand"), F.lit(2)).alias("last2"),
+        F.length(name).alias("len"),
+        F.instr(name, "e").alias("pos_e"),
+        F.regexp_replace(F.col("p_type"), "[B-Z]", "A").alias("classed"),
+        text.digits_to_long("p_brand").alias("digits"),
+        text.pad_number("p_size", 6).alias("padded"),
+        text.pad_name(padded, 7).alias("name7"),
+        text.drop_prefix("p_type", "STA").alias("no_prefix"),
+        text.text_number(text.pad_name(name, 7)).alias("name_number"),
+        text.recode("p_type", {"SMALL": "S", "ECONOMY": "E"}, F.lit("*")).alias("recoded"),
+        text.recode("p_type", {"SMALL": "S"}).alias("recoded_or_null"),
+        text.flag(maybe == "Brand#2").alias("flagged"),
+        F.lit("*").alias("star"),
+        F.lit(None).cast("string").alias("nothing"),
+    )
+
+
+@registered
+def scalar_date(t):
+    o = t["hd"].withColumns({"dk": dates.day_key("dt"), "tm": (F.col("ord") % 24 * 10000 + F.col("ord") % 60 * 100).cast("int")})
+    bad_day = F.when(F.col("status") == "P", F.lit(20210231)).otherwise(F.col("dk"))
+    return o.select(
+        "ord", "dk",
+        dates.month_key("dt").alias("ym"),
+        dates.month_of_day_key("dk").alias("ym_of_key"),
+        dates.day_from_key(bad_day).alias("day"),
+        dates.clock_from_key("dk", "tm").alias("clock"),
+        F.hour(dates.clock_from_key("dk", "tm")).alias("hr"),
+        dates.shift_zone(F.col("dt") + F.expr("interval 20 hour"), fixed.SRC2_ZONE, fixed.MART_ZONE_SRC2).alias("shifted"),
+        dates.ym2ymm(dates.month_key("dt")).alias("ymm"),
+        F.date_format("dt", "yyyyMM").alias("ym_text"),
+        F.date_format("dt", "yyyyMMdd").alias("day_text"),
+        text.greatest_or_null(F.when(F.col("status") != "P", F.col("dt")), "upd").alias("latest"),
+    )
+
+
+@registered
+def scalar_number(t):
+    qty, price, tax = F.col("qty"), F.col("price"), F.col("tax")
+    return t["li"].select(
+        "ord", "ln",
+        text.to_long(F.col("price").cast("string")).alias("rounded"),
+        text.try_to_long(F.when(F.col("rf") == "R", "x1").otherwise(F.col("ln").cast("string"))).alias("or_null"),
+        text.to_money(qty).alias("money"),
+        F.round(price.cast("double") / 7, 2).alias("seventh"),
+        F.round(text.ratio(tax.cast("double"), price.cast("double") - tax.cast("double"), 0.0), 6).alias("tax_rate"),
+        text.ratio(qty.cast("double"), F.lit(0.0)).alias("no_ratio"),
+        F.nullif(F.col("ln"), F.lit(1)).alias("not_one"),
+        (F.coalesce(F.when(F.col("rf") != "N", qty), F.lit(0)) + tax).alias("sum_or_zero"),
+        text.greatest_or_null(F.col("ln"), F.when(F.col("ls") == "F", F.lit(3))).alias("great"),
+        text.share_of(price, qty, tax + 1).alias("part"),
+        (F.col("price") * F.col("qty")).cast("decimal(18,2)").alias("value"),
+    )
+
+
+@registered
+def item_base_codes(t):
+    """Base item codes in the three forms."""
+    codes = F.concat(F.substring(F.regexp_replace("p_name", " ", ""), 1, 3), (F.col("p_partkey") % 100).cast("string"),
+                     F.upper(F.substring("p_type", 1, 2)), F.col("p_size").cast("string"), F.col("p_brand"))
+    return t["part"].select("p_partkey", codes.alias("code")).select(
+        "*",
+        text.base_item_code("code", width=15).alias("daily15"),
+        text.base_item_code("code").alias("daily"),
+        text.base_item_code("code", test_from=4).alias("history"),
+    )
+
+
+@registered
+def ymm_roundtrip(t):
+    """Month keys as counters and back, with orders per month."""
+    counted = t["hd"].groupBy(dates.month_key("dt").alias("ym")).agg(F.count(F.lit(1)).alias("n"))
+    return counted.select("ym", "n", dates.ym2ymm("ym").alias("ymm"), dates.ymm2ym(dates.ym2ymm("ym")).alias("back"))
+
+
+# --- publishing ------------------------------------------------------------
+
+@registered
+def reload_roundtrip(t):
+    """Publish every month, republish two with fewer rows or none, read the table back."""
+    rows = t["hd"].selectExpr("ord", "status", "total", "CAST(nat * 10 AS BIGINT) AS cntry", "dt").withColumns({
+        "ord_mo_yr_id": dates.month_key("dt"), "cntry_grp": publish.country_group("cntry"),
+    }).drop("dt")
+    path = working_path(t.spark, "reload")
+    publish.publish(rows, path, dates.month_range(201601, 202208))
+    again = rows.filter((F.col("ord_mo_yr_id") == 202103) & (F.col("status") == "F"))
+    counts = publish.publish(again, path, (202103, 202104))
+    stored = t.spark.read.parquet(path).groupBy("ord_mo_yr_id", "cntry_grp").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("total").alias("total")
+    )
+    written = counts.select(F.col("ord_mo_yr_id").alias("w_ym"), F.col("row_count").alias("republished"))
+    return joins.lookup(stored, written, {"ord_mo_yr_id": "w_ym"})

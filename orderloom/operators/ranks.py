@@ -39,17 +39,20 @@ def _rows_before(counted: DataFrame, keys: Sequence[str], order: str, out: str,
 
 
 def rank_in_group(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, block: int = BLOCK
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, weight: str | None = None, block: int = BLOCK
 ) -> DataFrame:
     """RANK over (keys) by whole-number columns, ascending, missing last; ties share a rank.
 
+    A row counts as often as ``weight`` says, once without it.
+
     Copies collapse to one counted position before anything is sorted, and positions are
     ranked column by column in blocks, so neither a hot group nor a hot tie is one task.
     """
     sort_cols = [f"__o{i}" for i in range(len(order))]
     last = F.lit(2**63 - 1)
     rows = df.withColumns({s: F.coalesce(F.col(o).cast("bigint"), last) for s, o in zip(sort_cols, order)})
-    positions = rows.groupBy(*keys, *sort_cols).agg(F.count(F.lit(1)).alias("__n"))
+    size = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    positions = rows.groupBy(*keys, *sort_cols).agg(size.alias("__n"))
     *leading, final = sort_cols
     ranked = _rows_before(positions, [*keys, *leading], final, "__before", block)
     rank = F.col("__before") + 1

@@ -21,6 +21,14 @@ def _in_scope(df: DataFrame) -> DataFrame:
     return df.filter(F.col("affiliate_code").isin(*fixed.SRC3_AFFILIATES))
 
 
+def _headers(header: DataFrame, months: Months) -> DataFrame:
+    return (
+        _in_scope(header)
+        .filter(in_months("order_date_time", months))
+        .withColumns({"ym": month_key("order_date_time"), "ord_id": to_long("sales_order_id")})
+    )
+
+
 def _orders(header: DataFrame, consignment: DataFrame, months: Months) -> DataFrame:
     """Orders, one row per place they are delivered to; several rows make a combined order."""
     places = (
@@ -34,17 +42,11 @@ def _orders(header: DataFrame, consignment: DataFrame, months: Months) -> DataFr
         .distinct()
         .withColumn("has_place", F.lit(True))
     )
-    headers = (
-        _in_scope(header)
-        .filter(in_months("order_date_time", months))
-        .withColumn("ym", month_key("order_date_time"))
-        .withColumn("comb_id", F.coalesce(F.col("group_order_id"), to_long("sales_order_id")))
-    )
+    headers = _headers(header, months).withColumn("comb_id", F.coalesce("group_order_id", "ord_id"))
     placed = match(headers, places, {"ym": "c_ym", "sales_order_id": "c_ord", "amway_sales_entity": "c_entity"}, "left")
     counted = with_group(placed, ["ym", "amway_sales_entity", "comb_id"], rows_in_comb=F.count("sales_order_id"))
     entity = to_long("amway_sales_entity")
     return counted.withColumns({
-        "h_ord": to_long("sales_order_id"),
         "oper_aff_id": to_long("affiliate_code"),
         "oper_cntry_id": entity,
         "shp_cntry_id": recode("delivery_iso_country_code", fixed.SRC3_SHIP_COUNTRIES, entity),
@@ -54,7 +56,7 @@ def _orders(header: DataFrame, consignment: DataFrame, months: Months) -> DataFr
         "shp_account_id": to_long("ship_to_sales_account_id"),
         "org_ord_id": digits_to_long("original_order_id"),
     }).selectExpr(
-        "iso_country_code AS h_cntry", "h_ord", "oper_aff_id", "oper_cntry_id", "shp_cntry_id",
+        "iso_country_code AS h_cntry", "ord_id AS h_ord", "oper_aff_id", "oper_cntry_id", "shp_cntry_id",
         "order_date_time AS ord_dt", "ord_dt_key_no", "ym AS ord_mo_yr_id",
         "CASE WHEN rows_in_comb > 1 THEN 'true' ELSE 'false' END AS comb_ord_flag", "comb_id AS comb_ord_id",
         "substring(iso_currency_code, 1, 3) AS curcy_cd", "sales_channel_code AS ord_channel",
@@ -94,8 +96,10 @@ def conform_source3(src: Mapping[str, DataFrame], months: Months, run_ts: dt.dat
         "ln_id": to_long("order_line_id"),
         "price": F.col("line_price").cast(MONEY),
     })
-    # Lines have no date: keep those of the months' orders before anything else is joined.
-    lines = match(line, orders.select("h_ord", "h_cntry"), {"ord_id": "h_ord", "sale_country_code": "h_cntry"}, "left_semi")
+    # Lines have no date: of a choice of months, keep their orders' lines before all else.
+    heads = _headers(src["src3_header"], months).select("ord_id", "iso_country_code")
+    ours = {"ord_id": "ord_id", "sale_country_code": "iso_country_code"}
+    lines = line if months is None else match(line, heads, ours, "left_semi")
 
     shipped = (
         src["src3_fulfilment"]

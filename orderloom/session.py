@@ -18,6 +18,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Wide mart projections outgrow what HotSpot compiles; past its limit leave whole-stage code.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Line tables carry no month, only their headers do.
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
 }
