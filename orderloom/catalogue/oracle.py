@@ -573,11 +573,11 @@ FROM src3_fees GROUP BY ALL"""
 SELECT ord, ord_dt, coalesce(nullif(trim(ctl_aff), ''), nullif(trim(intgrt_ctl_aff), '')) AS aff
 FROM src1_header WHERE ord_dt // 100 BETWEEN 202106 AND 202109"""
     q["reload_roundtrip"] = ctes("hd") + f""",
-kept AS (SELECT {_ym("dt")} AS ord_mo_yr_id, {groups} AS cntry_grp, total, status FROM hd
+kept AS (SELECT {_ym("dt")} AS ord_mo_yr_id, total FROM hd
          WHERE {_ym("dt")} <> 202104 AND ({_ym("dt")} <> 202103 OR status = 'F'))
-SELECT ord_mo_yr_id, cntry_grp, count(*) AS n, CAST(sum(total) AS DOUBLE) AS total,
-       CASE WHEN ord_mo_yr_id = 202103 THEN (SELECT count(*) FROM kept WHERE ord_mo_yr_id = 202103) END AS republished
-FROM kept GROUP BY ord_mo_yr_id, cntry_grp"""
+SELECT ord_mo_yr_id, count(*) AS n, CAST(sum(total) AS DOUBLE) AS total,
+       CASE WHEN ord_mo_yr_id = 202103 THEN count(*) END AS republished
+FROM kept GROUP BY ord_mo_yr_id"""
     return q
 
 

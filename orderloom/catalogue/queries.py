@@ -414,14 +414,12 @@ def ymm_roundtrip(t):
 @registered
 def reload_roundtrip(t):
     """Publish every month, republish two with fewer rows or none, read the table back."""
-    rows = t["hd"].selectExpr("ord", "status", "total", "CAST(nat * 10 AS BIGINT) AS cntry", "dt").withColumns({
-        "ord_mo_yr_id": dates.month_key("dt"), "cntry_grp": publish.country_group("cntry"),
-    }).drop("dt")
-    path = working_path(t.spark, "reload")
-    publish.publish(rows, path, dates.month_range(201601, 202208))
+    rows = t["hd"].selectExpr("status", "total", "dt").withColumn("ord_mo_yr_id", dates.month_key("dt")).drop("dt")
+    path, by_month = working_path(t.spark, "reload"), ("ord_mo_yr_id",)
+    publish.publish(rows, path, dates.month_range(201601, 202208), by_month)
     again = rows.filter((F.col("ord_mo_yr_id") == 202103) & (F.col("status") == "F"))
-    counts = publish.publish(again, path, (202103, 202104))
-    stored = t.spark.read.parquet(path).groupBy("ord_mo_yr_id", "cntry_grp").agg(
+    counts = publish.publish(again, path, (202103, 202104), by_month)
+    stored = t.spark.read.parquet(path).groupBy("ord_mo_yr_id").agg(
         F.count(F.lit(1)).alias("n"), F.sum("total").alias("total")
     )
     written = counts.select(F.col("ord_mo_yr_id").alias("w_ym"), F.col("row_count").alias("republished"))

@@ -36,6 +36,10 @@ class _Files:
         self.root = path.rstrip("/")
         self.fs = self.make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
+    def has_months(self, months: Iterable[int]) -> bool:
+        """Some of the months has a folder."""
+        return any(self.fs.exists(self.make(f"{self.root}/{MONTH}={m}")) for m in months)
+
     def of_months(self, months: Iterable[int]) -> set[str]:
         """Data files below the month folders, at any partition depth."""
         found: set[str] = set()
@@ -76,7 +80,8 @@ def publish(
         .partitionBy(*partition_cols)
         .parquet(path)
     )
-    files.drop(before & files.of_months(months))
+    if before:
+        files.drop(before & files.of_months(months))
     return month_counts(spark, path, months)
 
 
@@ -85,7 +90,7 @@ def month_counts(spark: SparkSession, path: str, months: Iterable[int]) -> DataF
     months = as_months(months)
     listed = spark.createDataFrame([(m,) for m in months], f"{MONTH} int")
     files = _Files(spark, path)
-    if not files.of_months(months):
+    if not files.has_months(months):
         return listed.withColumn("row_count", F.lit(0).cast("bigint"))
     stored = (
         spark.read.parquet(path)
