@@ -472,7 +472,9 @@ view_v AS (
     )
     q["plan_months"] = events + view("event_state") + f" SELECT * FROM ({stacked}) WHERE mnth_rnk <= {fixed.DAY_RUN_MONTHS}"
     q["plan_months_night"] = events + view("event_state") + f"""
-SELECT *, (SELECT max(mnth_rnk) FROM view_v) AS waiting FROM ({stacked}) WHERE mnth_rnk <= {fixed.RUN_MONTHS}"""
+SELECT * FROM ({stacked}) WHERE mnth_rnk <= {fixed.RUN_MONTHS}"""
+    q["months_wanted"] = events + view("event_state") + f"""
+SELECT max(mnth_rnk) AS by_night, least({fixed.DAY_RUN_MONTHS}, max(mnth_rnk)) AS by_day FROM view_v"""
     q["pending_age_mark_purge"] = events + """,
 aged AS (SELECT src, ord_mo_yr_id, CASE WHEN updt_on_last_run_flg > 0 THEN updt_on_last_run_flg + 1 ELSE updt_on_last_run_flg END
          AS updt_on_last_run_flg FROM event_state)""" + view("aged") + f""",

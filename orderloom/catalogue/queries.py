@@ -133,9 +133,16 @@ def plan_months(t):
 
 @registered
 def plan_months_night(t):
-    """What a night run rebuilds, and how many ranks wait."""
-    wanted = _view(t).agg(control.months_wanted(_view(t), NIGHT_HOUR).alias("waiting"))
-    return control.plan_months(_view(t), NIGHT_HOUR, tags=EVENT_TAGS).crossJoin(F.broadcast(wanted))
+    """What a night run rebuilds."""
+    return control.plan_months(_view(t), NIGHT_HOUR, tags=EVENT_TAGS)
+
+
+@registered
+def months_wanted(t):
+    """How many ranks a night run and a day run want."""
+    return _view(t).agg(
+        control.months_wanted(NIGHT_HOUR).alias("by_night"), control.months_wanted(DAY_HOUR).alias("by_day")
+    )
 
 
 @registered

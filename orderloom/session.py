@@ -13,6 +13,8 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Where measured partitions are small enough to hash, no sort is needed for a join.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # One key may hold a third of the rows: its shuffle partition is split at run time,
     # also where that costs the next operator a shuffle of its own.
     "spark.sql.adaptive.skewJoin.enabled": "true",
