@@ -554,6 +554,13 @@ FROM hd h LEFT JOIN best b ON h.ord = b.ord AND b.r = 1"""
     q["split_rejects"] = ctes("src1_line") + """
 SELECT ord, ord_ln, CASE WHEN regexp_full_match(trim(item), '[0-9]+') THEN CAST(CAST(trim(item) AS INTEGER) AS VARCHAR) ELSE trim(item) END AS code,
        CASE WHEN regexp_full_match(trim(item), '[0-9]+') THEN '' ELSE 'code is not int' END AS reject_reason FROM src1_line"""
+    q["split_too_wide"] = ctes("invoice_txn") + """
+SELECT orgnl_ref_txt, trx_sourc_cd, bns_cust_id, ord_dt,
+       concat_ws('; ', CASE WHEN length(trx_sourc_cd) > 3 THEN 'trx_sourc_cd is longer than 3' END,
+                 CASE WHEN length(orgnl_ref_txt) > 9 THEN 'orgnl_ref_txt is longer than 9' END) AS reject_reason FROM invoice_txn"""
+    q["sql_functions"] = ctes("hd") + f"""
+SELECT {_ym("dt")} AS ym, CAST(year(dt) * 12 + month(dt) AS INTEGER) AS ymm, {_ym("dt")} AS back,
+       CAST(('0x' || substr(md5(status), 1, 15)) AS BIGINT) AS status_no, count(*) AS n FROM hd GROUP BY ALL"""
     q["line_quantities"] = ctes("src1_line") + f""",
 st AS (SELECT ord, intgrt_cntry_cd AS cc, ref_ln, count(CASE WHEN ln_type = 'P' THEN NULL ELSE ord_ln END) AS p, count(*) AS n
        FROM src1_line WHERE ord_ln <> ref_ln GROUP BY ALL)

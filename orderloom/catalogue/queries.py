@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import fixed
-from ..functions import dates, text
+from ..functions import dates, registry, text
 from ..operators import groups, joins, ranks, shape
 from ..plans import control, invoices, source1, source3, source_map
 from ..plans.history import conform_history
@@ -301,6 +301,24 @@ def split_rejects(t):
     return good.selectExpr("ord", "ord_ln", "CAST(code AS STRING) AS code", "'' AS reject_reason").unionByName(bad)
 
 
+@registered
+def split_too_wide(t):
+    """Invoice texts that fit their declared widths, and the others with the reason."""
+    rows = t["invoice_txn"].select("orgnl_ref_txt", "trx_sourc_cd", "bns_cust_id", "ord_dt")
+    good, bad = shape.split_too_wide(rows, {"trx_sourc_cd": 3, "orgnl_ref_txt": 9})
+    return good.withColumn("reject_reason", F.lit("")).unionByName(bad)
+
+
+@registered
+def sql_functions(t):
+    """The mart's SQL functions in a query written as SQL text."""
+    registry.register(t.spark)
+    return t.spark.sql(
+        "SELECT ym, ym2ymm(ym) AS ymm, ymm2ym(ym2ymm(ym)) AS back, str2int(status) AS status_no, count(*) AS n "
+        "FROM (SELECT cast(year(dt) * 100 + month(dt) AS int) AS ym, status FROM {hd}) GROUP BY ym, status", hd=t["hd"],
+    )
+
+
 @registered
 def line_quantities(t):
     """Ordered and shipped quantity of source 1 lines: self join, component counts, bundle rule."""

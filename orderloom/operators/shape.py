@@ -32,6 +32,15 @@ def split_rejects(df: DataFrame, casts: Mapping[str, str], reason: str = "reject
     return good, marked.filter(F.col(reason) != "")
 
 
+def split_too_wide(df: DataFrame, widths: Mapping[str, int], reason: str = "reject_reason") -> tuple[DataFrame, DataFrame]:
+    """Rows whose texts fit the declared widths, and the others with the reason."""
+    why = F.concat_ws("; ", *[
+        F.when(F.length(c) > width, F.lit(f"{c} is longer than {width}")) for c, width in widths.items()
+    ])
+    marked = df.withColumn(reason, why)
+    return marked.filter(F.col(reason) == "").drop(reason), marked.filter(F.col(reason) != "")
+
+
 def stack(frames: list[DataFrame]) -> DataFrame:
     """UNION ALL by column name."""
     return reduce(lambda a, b: a.unionByName(b), frames)

@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_months, counter_from_month, month_from_counter
-from ..operators.shape import stack
+from ..operators.shape import split_too_wide, stack
 from ..session import cut_lineage
 from ..sources.publish import GROUP, MONTH, append_months, country_group, publish
+from ..sources.schemas import INVOICE_WIDTHS
 from . import control
 from .history import conform_history, history_months
 from .invoices import extract_invoices, months_to_reload
@@ -64,13 +65,23 @@ def daily_rebuild(src: Sources, state: DataFrame, path: str, run_ts: dt.datetime
     return Run(months, counts, cut_lineage(final), report)
 
 
-def invoice_refresh(src: Sources, path: str, run_ts: dt.datetime) -> DataFrame | None:
-    """Reload every month with an invoice touched today, all in one job; rows per month."""
+def invoice_refresh(
+    src: Sources, path: str, run_ts: dt.datetime, reject_path: str | None = None
+) -> DataFrame | None:
+    """Reload every month with an invoice touched today, all in one job; rows per month.
+
+    With a ``reject_path``, rows whose texts exceed the declared widths go there with the
+    reason and the load goes on without them; otherwise every row is loaded.
+    """
     found = months_to_reload(src["invoice_txn"], run_ts)
     months = as_months(r[0] for r in found.collect() if r[0] is not None)
     if not months:
         return None
-    return publish(grouped(extract_invoices(src, months, run_ts), "cntry_id"), path, months)
+    rows = extract_invoices(src, months, run_ts)
+    if reject_path is not None:
+        rows, wide = split_too_wide(rows, INVOICE_WIDTHS)
+        wide.write.mode("overwrite").parquet(reject_path)
+    return publish(grouped(rows, "cntry_id"), path, months)
 
 
 def history_load(src: Sources, path: str, run_ts: dt.datetime, months: Iterable[int] | None = None, **kw) -> None:

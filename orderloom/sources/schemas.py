@@ -40,6 +40,9 @@ INVOICES = _schema("""
     vol_account_id bigint, invoice_cd string, ord_mo_yr_id int
 """)
 
+# Declared widths of the invoice table's texts.
+INVOICE_WIDTHS = {"trx_sourc_cd": 3, "ord_bus_natr_cd": 3, "invoice_cd": 240}
+
 PENDING = _schema("src string, ord_mo_yr_id int, updt_on_last_run_flg int")
 
 # Columns the plans read from each source table.

@@ -114,6 +114,15 @@ def test_invoice_refresh(spark, tmp_path):
     assert records(publish.read_published(spark, path, INVOICES), "invoice_cd") == [("Q",), ("R",)]
 
 
+def test_invoice_refresh_keeps_too_wide_rows_aside(spark, tmp_path):
+    run, path, rejects = dt.datetime(2021, 4, 20, 10), str(tmp_path / "inv"), str(tmp_path / "rejects")
+    stamps = dict(trx_creat_dtm=run, audit_creat_dtm=run, audit_chng_dtm=run)
+    src = {name: source(spark, name, []) for name in SOURCES}
+    src["invoice_txn"] = source(spark, "invoice_txn", [txn(trx_sourc_cd="003", **stamps), txn(ref="Q", **stamps)])
+    assert records(refresh.invoice_refresh(src, path, run, rejects)) == [(202104, 1)]
+    assert records(spark.read.parquet(rejects), "invoice_cd", "reject_reason") == [("Q", "trx_sourc_cd is longer than 3")]
+
+
 def test_history_load_appends(spark, tmp_path):
     path = str(tmp_path / "mart")
     src = {name: source(spark, name, []) for name in SOURCES}
