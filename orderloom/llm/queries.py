@@ -7,21 +7,41 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import working_path
-from . import bpeauto, idpack, langid, packing, tokencount, weakrules
+from ..session import configure, working_path
+from . import bpeauto, chunkdedup, idpack, langid, packing, rabitq, simhash, tokencount, warc, weakrules
 from .common import stored, table
 
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans, in bytes of the UTF-8 text, that a document of smaller id has too."""
+    return chunkdedup.repeated_spans(table(spark, sf_dir, "documents")).select(
+        "doc_id", "first_doc_id", "start", "end", "n_words")
+
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokencount.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return tokencount.token_counts(table(spark, sf_dir, "documents"), BYTE_BPE, limit=512)
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, radius=3)
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = working_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), out)
+    return warc.captures(spark, out).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack_documents(table(spark, sf_dir, "documents"), WORD_BPE, capacity=2048, end_id=0)
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,21 +50,36 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = working_path(spark, "ids")
-    idpack.write_ids(table(spark, sf_dir, "documents"), out, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    idpack.write_ids(table(spark, sf_dir, "documents"), out, WORD_BPE, end_id=1)
     return idpack.read_digests(spark, out)
 
 
 def op9_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpeauto.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return bpeauto.digests(table(spark, sf_dir, "documents"), WORD_BPE)
+
+
+def op10_one_bit_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rabitq.nearest(table(spark, sf_dir, "embeddings"), every=100, k=10)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One query an operator, by name."""
-    made = (op2_language_id, op3_token_counts, op6_best_fit_packing, op7_quality_rules, op8_token_id_output,
-            op9_bpe_automaton)
-    return {f.__name__: f for f in made}
+    made = (op1_substring_dedup, op2_language_id, op3_token_counts, op4_simhash, op5_warc, op6_best_fit_packing,
+            op7_quality_rules, op8_token_id_output, op9_bpe_automaton, op10_one_bit_neighbours)
+
+    def set_up(make):
+        return lambda spark, sf_dir: make(configure(spark), sf_dir)
+
+    return {f.__name__: set_up(f) for f in made}
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL of the queries that it can express over whole tables."""
-    return {}
+    return {"op5_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+        d AS (SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest FROM p),
+        k AS (SELECT payload_digest, max(page_id) AS kept FROM d WHERE payload_bytes >= 1000 GROUP BY 1)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN page_id < kept THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id < kept THEN kept END AS refers_to
+        FROM d LEFT JOIN k USING (payload_digest)"""}
