@@ -207,3 +207,127 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = RADIUS) -> Da
     by_print = stored(named.join(least, "root").select("fp", "component_id"), "classes")
     return rows.join(by_print, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+# --- texts of a given similarity ---------------------------------------------
+
+BANDS, BAND_SHINGLES = 20, 4
+_RNG = np.random.default_rng(SEED)
+_FACTORS = _RNG.integers(1, 1 << 63, BANDS * BAND_SHINGLES, dtype=np.uint64) | np.uint64(1)
+SKETCH_SLACK = 0.2  # how far the sketch may lie below the wanted similarity before a pair is compared in full
+
+
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """Least value of each of 80 permutations of a text's shingle hashes."""
+    least = np.full(len(_FACTORS), np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(hashes), 1024):
+        h = hashes[at:at + 1024]
+        h = h ^ (h >> np.uint64(29))
+        np.minimum(least, (h[:, None] * _FACTORS[None, :]).min(axis=0), out=least)
+    return least
+
+
+def sketches(docs: DataFrame, words: int) -> DataFrame:
+    """(doc_id, fp, bands, sketch): the whole text's fingerprint, and fingerprints of samples of four shingles each.
+
+    A sample takes the shingles that come first in four orders, so two texts of similarity s take the same one with
+    probability s**4, and then have equal fingerprints of it.
+    """
+
+    def make():
+        def work(batch):
+            rows = {"doc_id": batch.column("doc_id"), "fp": [], "bands": [], "sketch": []}
+            for text in batch.column("text").to_pylist():
+                hashes = shingle_hashes(text, words)
+                least = sketch(hashes)
+                rows["fp"].append(fingerprint(hashes))
+                octets = least.astype("<u8").tobytes()
+                step = 8 * BAND_SHINGLES
+                rows["bands"].append([xxhash.xxh64_intdigest(octets[i:i + step], i) - (1 << 63)
+                                      for i in range(0, len(octets), step)])
+                rows["sketch"].append((least & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes())
+            return rows
+
+        return work
+
+    return per_batch(texts_of(docs), make, "doc_id long, fp long, bands array<long>, sketch binary")
+
+
+def _agreement(left: str, right: str, schema: str):
+    """Share of equal sketch values of each row's two sketches, before the other columns."""
+    arrow = arrow_schema(schema)
+
+    def run(batches):
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(n).to_pylist()), "<u4").reshape(batch.num_rows, -1) for n in (left, right))
+            columns = [batch.column("a"), batch.column("b"), pa.array((a == b).mean(axis=1) if batch.num_rows else [], pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+
+    return run
+
+
+def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(doc_id, component_id) of every document that is linked to another; component_id is the smallest of its group.
+
+    Documents are linked if their sets of shingles have a Jaccard similarity of at least ``similarity``, which is computed
+    in full for each link; texts without a word are alike. Candidates are fingerprints within three bits of each other
+    (``fingerprint_links``), and documents that share the fingerprint of a sample of shingles: within such an entry each is
+    held against one, drawn anew for each of the 20 samples, so entries give no more candidates than they have rows.
+    Rows without doc_id are left out; repeated rows are one document (of two texts under one id, one is taken).
+    """
+    made = stored(sketches(docs.filter("doc_id IS NOT NULL"), words).dropDuplicates(["doc_id"]), "sketches")
+    prints = made.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    prints = stored(prints, "distinct")
+    near = fingerprint_links(prints.select("fp"))
+    whole = made.join(prints, "fp").select(F.col("doc_id").alias("a"), F.col("least").alias("b"))
+    across = near.join(prints.select(F.col("fp").alias("a"), F.col("least").alias("la")), "a").join(
+        prints.select(F.col("fp").alias("b"), F.col("least").alias("lb")), "b").select(
+        F.col("la").alias("a"), F.col("lb").alias("b"))
+    banded = made.select("doc_id", F.posexplode("bands").alias("band", "value"))
+    drawn = F.min(F.struct(F.xxhash64("doc_id", "band").alias("h"), F.col("doc_id").alias("id")))
+    heads = banded.groupBy("band", "value").agg(drawn.alias("head"), F.count("*").alias("n")).filter("n > 1")
+    sampled = banded.join(heads, ["band", "value"]).select(F.col("doc_id").alias("a"), F.col("head.id").alias("b"))
+    pairs = whole.unionByName(across).unionByName(sampled).filter("a <> b").select(
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    # The sketch drops what is far from similar; the rest is compared in full.
+    both = pairs.join(made.select(F.col("doc_id").alias("a"), F.col("sketch").alias("sa")), "a").join(
+        made.select(F.col("doc_id").alias("b"), F.col("sketch").alias("sb")), "b").select("a", "b", "sa", "sb")
+    ddl = "a long, b long, agreement double"
+    likely = stored(both.mapInArrow(_agreement("sa", "sb", ddl), ddl).filter(
+        F.col("agreement") >= similarity - SKETCH_SLACK).select("a", "b"), "likely")
+    named = likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    texts = stored(texts_of(docs).join(named, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+    compared = likely.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a").join(
+        texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
+
+    def make():
+        def work(batch):
+            kept: dict[str, list] = {"a": [], "b": []}
+            rows = zip(*[batch.column(n).to_pylist() for n in ("a", "b", "ta", "tb")])
+            for a, b, ta, tb in rows:
+                x, y = set(shingles(ta, words)), set(shingles(tb, words))
+                common = len(x & y)
+                if common >= similarity * (len(x) + len(y) - common):
+                    kept["a"].append(a)
+                    kept["b"].append(b)
+            return kept
+
+        return work
+
+    return components(per_batch(compared, make, "a long, b long")).select(
+        F.col("node").alias("doc_id"), F.col("root").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The rows of docs less all but the smallest doc_id of each group of similar texts; repeated rows stay once.
+
+    Rows without doc_id stay as they are.
+    """
+    groups = similar_groups(docs, words, similarity)
+    gone = groups.filter("component_id < doc_id").select(F.col("doc_id").alias("_gone"))
+    rest = docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    twice = docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 AND doc_id IS NOT NULL").select(
+        F.col("doc_id").alias("_twice"))
+    again = F.col("doc_id") == F.col("_twice")
+    return rest.join(twice, again, "left_anti").unionByName(
+        rest.join(twice, again, "left_semi").dropDuplicates(["doc_id"]))
