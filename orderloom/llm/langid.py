@@ -214,4 +214,8 @@ def identify(docs: DataFrame) -> DataFrame:
 def keep_identified(docs: DataFrame) -> DataFrame:
     """The rows of docs whose language is identified, with their own columns; rejected ones go."""
     model = fit(docs.filter(~held_out(F.col("doc_id"))))
-    return predict(docs, model).filter(~F.col("rejected")).select(*docs.columns)
+    # Under numbered names, so that no column clashes with what is predicted.
+    places = [c if c == "text" else f"_{i}" for i, c in enumerate(docs.columns)]
+    rows = docs.select(*[F.col(f"`{c}`").alias(p) for c, p in zip(docs.columns, places)])
+    return predict(rows, model).filter(~F.col("rejected")).select(
+        *[F.col(p).alias(c) for c, p in zip(docs.columns, places)])
