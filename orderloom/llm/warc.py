@@ -12,6 +12,7 @@ throughout. A key with very many captures is cut between times and ids, too.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import re
 from bisect import bisect_right
@@ -82,11 +83,16 @@ def records(rows: DataFrame) -> DataFrame:
     return rows.select(F.concat(head, block).alias("value"))
 
 
-def write_archives(pages: DataFrame, out: str, file_bytes: int = FILE_BYTES) -> None:
-    """Write a record per page (page_id, url, html) to files of about ``file_bytes`` in the folder ``out``."""
-    size = pages.select(F.sum(F.octet_length("html") + 600)).first()[0] or 0
-    rows = records(page_rows(pages)).repartition(max(1, -(-size // file_bytes)))
-    rows.write.option("lineSep", RECORD_END).text(out)
+def write_archives(pages: DataFrame, out: str, file_bytes: int = FILE_BYTES, compression: str = "gzip") -> None:
+    """Write a record per page (page_id, url, html) to files of about ``file_bytes`` at most in the folder ``out``.
+
+    Pages are written where the search for equal payloads left them, so their texts are shuffled once. A file is
+    compressed as a whole (``compression`` may be "none"); sizes and places count its uncompressed bytes.
+    """
+    size, n = pages.select(F.sum(F.coalesce(F.octet_length("html"), F.lit(0)) + 600), F.count("*")).first()
+    per_file = max(1, int(file_bytes * n / size)) if n else 1
+    rows = records(page_rows(pages))
+    rows.write.option("lineSep", RECORD_END).option("maxRecordsPerFile", per_file).text(out, compression=compression)
 
 
 def url_key(url: str) -> str:
@@ -140,7 +146,7 @@ def sort_key(c: tuple) -> tuple:
 
 def sorted_runs(spark: SparkSession, out: str) -> DataFrame:
     """The captures of every file in order, a run each, with the run's number of the capture."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(out).select("path", "content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt*").load(out).select("path", "content")
     schema = arrow_schema(CAPTURES + ", seq long")
 
     def run(batches):
@@ -148,6 +154,8 @@ def sorted_runs(spark: SparkSession, out: str) -> DataFrame:
             for i in range(batch.num_rows):
                 path, content = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
                 name = path.rsplit("/", 1)[-1]
+                if name.endswith(".gz"):
+                    content = gzip.decompress(content)
                 found = sorted((capture(content, name, r) for r in parse(content)), key=sort_key)
                 for s in range(0, len(found), 5000):
                     part = found[s:s + 5000]
