@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from .. import fixed
 from ..sources.schemas import INVOICES, MART
-from .standins import RUN_TS, ctes
+from .standins import RUN_TS, SOME_MONTHS, ctes
 
 _SQL_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP"}
 _RUN = f"TIMESTAMP '{RUN_TS:%Y-%m-%d %H:%M:%S}'"
@@ -370,7 +370,7 @@ def _invoices() -> str:
         "aff_id": "aff_no", "trx_sourc_cd": "trx_sourc_cd", "cntry_id": "bus_entty_no",
         "org_ord_id": "coalesce(min(CAST(orgnl_ord_no AS BIGINT)), 0)", "ord_dt": "ord_dt", "atm_update_dt": _RUN,
         "ord_bus_natr_cd": "coalesce(min(nullif(trim(ord_bus_natr_cd), '')), '1')", "vol_account_id": "ibo_no",
-        "invoice_cd": "orgnl_ref_txt", "ord_mo_yr_id": "ym",
+        "invoice_cd": "left(orgnl_ref_txt, 240)", "ord_mo_yr_id": "ym",
     }
     return ctes("invoice_txn", "invoice_customer") + f""",
 ranked AS (
@@ -382,13 +382,15 @@ named AS (
   FROM ranked t LEFT JOIN (SELECT * FROM invoice_customer WHERE aff_no IN (570, 30)) c ON t.bns_cust_id = c.bns_cust_id
   WHERE r = 1 AND orgnl_ref_txt IS NOT NULL)
 SELECT {_typed(INVOICES, cols)}
-FROM named GROUP BY aff_no, trx_sourc_cd, bus_entty_no, ord_dt, ibo_no, orgnl_ref_txt, ym"""
+FROM named GROUP BY aff_no, trx_sourc_cd, bus_entty_no, ord_dt, ibo_no, left(orgnl_ref_txt, 240), ym"""
 
 
 def conform_queries() -> dict[str, str]:
     parts = {1: _source1(), 2: _source2(), 3: _source3(), 4: _source4()}
     queries = {f"conform_source{n}": f"{ctes(*tables)}{body}\nSELECT * FROM out{n}" for n, (tables, body) in parts.items()}
     everything = ctes(*[t for tables, _ in parts.values() for t in tables]) + "".join(body for _, body in parts.values())
+    listed = ", ".join(map(str, SOME_MONTHS))
+    queries |= {f"{name}_months": f"SELECT * FROM ({sql}) WHERE ord_mo_yr_id IN ({listed})" for name, sql in queries.items()}
     queries["conform_all"] = everything + "\n" + "\nUNION ALL\n".join(f"SELECT * FROM out{n}" for n in parts)
     queries["history_star"] = _history()
     queries["invoice_earliest"] = _invoices()
@@ -471,14 +473,13 @@ view_v AS (
         f"SELECT mnth_rnk, '{t}' AS src, {t} AS src_mo_yr_id, ord_mo_yr_id FROM view_v" for t in EVENT_TAGS
     )
     q["plan_months"] = events + view("event_state") + f" SELECT * FROM ({stacked}) WHERE mnth_rnk <= {fixed.DAY_RUN_MONTHS}"
-    q["plan_months_night"] = events + view("event_state") + f"""
-SELECT * FROM ({stacked}) WHERE mnth_rnk <= {fixed.RUN_MONTHS}"""
+    q["plan_months_night"] = events + view("event_state") + f" SELECT * FROM ({stacked})"
     q["months_wanted"] = events + view("event_state") + f"""
 SELECT max(mnth_rnk) AS by_night, least({fixed.DAY_RUN_MONTHS}, max(mnth_rnk)) AS by_day FROM view_v"""
     q["pending_age_mark_purge"] = events + """,
 aged AS (SELECT src, ord_mo_yr_id, CASE WHEN updt_on_last_run_flg > 0 THEN updt_on_last_run_flg + 1 ELSE updt_on_last_run_flg END
          AS updt_on_last_run_flg FROM event_state)""" + view("aged") + f""",
-planned AS (SELECT * FROM ({stacked}) WHERE mnth_rnk <= {fixed.RUN_MONTHS} AND src_mo_yr_id > 0),
+planned AS (SELECT * FROM ({stacked}) WHERE src_mo_yr_id > 0),
 marked AS (
   SELECT a.src, a.ord_mo_yr_id, CASE WHEN p.src IS NOT NULL THEN 1 ELSE a.updt_on_last_run_flg END AS updt_on_last_run_flg
   FROM aged a LEFT JOIN planned p ON a.src = p.src AND a.ord_mo_yr_id = p.src_mo_yr_id)

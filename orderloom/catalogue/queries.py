@@ -19,7 +19,7 @@ from ..plans.source2 import conform_source2
 from ..plans.source4 import conform_source4
 from ..session import configure, working_path
 from ..sources import publish
-from .standins import RUN_TS, Standins
+from .standins import RUN_TS, SOME_MONTHS, Standins
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -61,6 +61,7 @@ class _WithInvoices(dict):
 
 # At sf scale every month is conformed in one job; a run passes the months it rebuilds.
 ALL_MONTHS = None
+SOURCE_PLANS = ("conform_source1", "conform_source2", "conform_source3", "conform_source4")
 
 
 def _register_plans() -> None:
@@ -76,6 +77,13 @@ def _register_plans() -> None:
         make.__name__ = name
         registered(make)
 
+        if name in SOURCE_PLANS:
+            def some(t, plan=plan):
+                return plan(_WithInvoices(t), SOME_MONTHS, RUN_TS)
+
+            some.__name__ = f"{name}_months"
+            registered(some)
+
 
 _register_plans()
 

@@ -17,6 +17,8 @@ from ..session import working_path
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 RUN_TS = dt.datetime(2022, 7, 29, 21, 30)
+# Neighbours and a gap.
+SOME_MONTHS = (202105, 202106, 202109)
 
 
 def _case(column: str, values, default: str = "NULL") -> str:

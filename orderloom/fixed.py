@@ -9,11 +9,10 @@ SOURCE_TAGS = ("EU_AS400", "EU_ATLAS", "EU_HYBR_EOM", "EU_HYBR_NON_EOM")
 # Earliest order month that a change may re-open.
 REOPEN_FLOOR = 202102
 
-# Months always rebuilt, months rebuilt by a day run, months rebuilt by one run at most,
-# and the hours of the runs that clear the whole backlog.
+# Months always rebuilt, months rebuilt by a day run, and the hours of the runs that clear
+# the whole backlog.
 ALWAYS_MONTHS = 2
 DAY_RUN_MONTHS = 3
-RUN_MONTHS = 4
 NIGHT_HOURS = (22, 23)
 
 # Affiliates by source system. The moving ones leave source 1 after LAST_MONTH_OLD

@@ -141,12 +141,13 @@ def _ntz(moment: dt.datetime) -> Column:
 def in_months(ts: Column | str, months: Months | int, slack_days: int = 0) -> Column:
     """Timestamp lies in one of the months, as ranges that reach the file scan.
 
-    ``slack_days`` widens every range on both ends, for a coarse test before an exact one.
+    ``slack_days`` widens every range on both ends, for a coarse test before an exact one. None takes every month, and
+    like any list no row without a timestamp.
     """
     months = as_months(months)
     ts = col(ts)
     if months is None:
-        return F.lit(True)
+        return ts.isNotNull()
     test = F.lit(False)
     for first, after in _runs(months):
         test = test | (
@@ -156,17 +157,26 @@ def in_months(ts: Column | str, months: Months | int, slack_days: int = 0) -> Co
 
 
 def key_in_months(day: Column | str, months: Months | int) -> Column:
-    """Day key lies in one of the months, as ranges that reach the file scan."""
+    """Day key lies in one of the months: ranges that reach the file scan, then the exact test.
+
+    A list gives what its months give one by one: a key between two neighbouring months (day 0, day 50) belongs to
+    neither. None takes every key whose month is 1 to 12 and whose day is 1 to 31.
+    """
     months = as_months(months)
     day = col(day)
+    is_day = (day % 100).between(1, 31)
     if months is None:
-        return F.lit(True)
+        return day.isNotNull() & is_day & (month_of_day_key(day) % 100).between(1, 12)
     test = F.lit(False)
     for first, after in _runs(months):
         test = test | ((day >= first * 100 + 1) & (day <= previous_month(after) * 100 + 31))
-    return test
+    return test & is_day & month_of_day_key(day).isin(*months)
 
 
 def month_in(ym: Column | str, months: Months | int) -> Column:
+    """Month key is one of the months, as a range that reaches the file scan and the exact test; None: any real month."""
     months = as_months(months)
-    return F.lit(True) if months is None else col(ym).isin(*months)
+    ym = col(ym)
+    if months is None:
+        return ym.isNotNull() & (ym % 100).between(1, 12)
+    return ym.between(months[0], months[-1]) & ym.isin(*months) if months else F.lit(False)

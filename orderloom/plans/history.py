@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed
-from ..functions.dates import Months, as_months, day_from_key, month_from_counter, month_range, sql_ts
+from ..functions.dates import Months, day_from_key, month_from_counter, month_in, month_range, sql_ts
 from ..functions.text import base_item_code
 from ..operators.joins import match, role_join
 from ..operators.shape import conform
@@ -24,13 +24,7 @@ def history_months() -> tuple[int, ...]:
 
 
 def _fact(fact: DataFrame, months: Months, countries) -> DataFrame:
-    months = as_months(months)
-    kept = fact.filter(F.col("oper_cntry_key_no").isin(*countries))
-    if months is None:
-        return kept
-    if months == month_range(months[0], months[-1]):
-        return kept.filter(F.col("ord_mo_yr_key_no").between(months[0], months[-1]))
-    return kept.filter(F.col("ord_mo_yr_key_no").isin(*months))
+    return fact.filter(F.col("oper_cntry_key_no").isin(*countries) & month_in("ord_mo_yr_key_no", months))
 
 
 def _detail(src: Mapping[str, DataFrame], months: Months, countries) -> DataFrame:

@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions.dates import Months, day_key, in_months, month_key, previous_month
-from ..functions.text import blank_to_null, greatest_or_null, to_long
+from ..functions.text import blank_to_null, cut, greatest_or_null, to_long
 from ..operators.groups import earliest_per_key
 from ..operators.joins import match
 from ..operators.shape import conform
-from ..sources.schemas import INVOICES
+from ..sources.schemas import INVOICE_WIDTHS, INVOICES
 
 
 def _order_invoices(txn: DataFrame) -> DataFrame:
@@ -27,7 +27,7 @@ def extract_invoices(src: Mapping[str, DataFrame], months: Months, run_ts: dt.da
     """Invoice rows of the months. Reads invoice_txn, invoice_customer.
 
     Within a month the earliest transactions of an invoice and customer count, all of them
-    if several share the day; equal invoice rows then fold to one.
+    if several share the day; rows equal after the invoice's text is cut to its width then fold to one.
     """
     month = month_key("ord_dt")
     txn = (
@@ -43,7 +43,8 @@ def extract_invoices(src: Mapping[str, DataFrame], months: Months, run_ts: dt.da
     named = match(first, customers, {"bns_cust_id": "c_id"}, "left")
     folded = named.groupBy(
         F.col("aff_no").alias("aff_id"), "trx_sourc_cd", F.col("bus_entty_no").alias("cntry_id"), "ord_dt",
-        "vol_account_id", F.col("orgnl_ref_txt").alias("invoice_cd"), F.col("ym").alias("ord_mo_yr_id"),
+        "vol_account_id", cut("orgnl_ref_txt", INVOICE_WIDTHS["invoice_cd"]).alias("invoice_cd"),
+        F.col("ym").alias("ord_mo_yr_id"),
     ).agg(
         F.coalesce(F.min(to_long("orgnl_ord_no")), F.lit(0)).alias("org_ord_id"),
         F.coalesce(F.min(blank_to_null("ord_bus_natr_cd")), F.lit("1")).alias("ord_bus_natr_cd"),

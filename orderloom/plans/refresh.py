@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import fixed
 from ..functions.dates import as_months, counter_from_month, month_from_counter
 from ..operators.shape import split_too_wide, stack
 from ..session import cut_lineage
@@ -37,24 +38,30 @@ def grouped(df: DataFrame, country: str = "oper_cntry_id") -> DataFrame:
 
 @dataclass
 class Run:
-    """What one rebuild did: rows per month, the new control state and the report."""
+    """What one rebuild did: rows per month, the new control state, the report, and changes under keys that are no month."""
 
     months: tuple[int, ...]
     counts: DataFrame | None
     state: DataFrame
     report: DataFrame
+    strange: DataFrame
 
 
-def daily_rebuild(src: Sources, state: DataFrame, path: str, run_ts: dt.datetime) -> Run:
+def daily_rebuild(
+    src: Sources, state: DataFrame, path: str, run_ts: dt.datetime, day_months: int = fixed.DAY_RUN_MONTHS,
+    most: int | None = None, floor: int = fixed.REOPEN_FLOOR,
+) -> Run:
     """Detect, rank, rebuild, publish, mark done, report, purge.
 
     Every published month is rebuilt from all four sources, so a source without changes
     keeps its rows. The control state is the only thing the driver looks at, and of that at
-    most one row per rank and source.
+    most one row per rank and source. A night run rebuilds every pending month, a day run the
+    newest ``day_months``; ``most`` bounds either. Changes before ``floor`` re-open nothing.
     """
-    detected = cut_lineage(control.detect(state, control.changed_months(src, run_ts)))
+    changed = control.changed_months(src, run_ts, floor)
+    detected = cut_lineage(control.detect(state, control.real_months(changed)))
     view = control.pending_view(detected)
-    chosen = control.plan_months(view, run_ts.hour)
+    chosen = control.plan_months(view, run_ts.hour, day_months=day_months, most=most)
     plan = cut_lineage(chosen)
     months = as_months(r[0] for r in plan.select("ord_mo_yr_id").distinct().collect()) or ()
     counts = publish(grouped(conform_all(src, months, run_ts)), path, months) if months else None
@@ -62,7 +69,7 @@ def daily_rebuild(src: Sources, state: DataFrame, path: str, run_ts: dt.datetime
     marked = cut_lineage(control.mark_done(detected, done))
     report = control.status_report(marked)
     final = control.purge(marked, view, run_ts.hour)
-    return Run(months, counts, cut_lineage(final), report)
+    return Run(months, counts, cut_lineage(final), report, control.strange_months(changed))
 
 
 def invoice_refresh(
@@ -84,10 +91,19 @@ def invoice_refresh(
     return publish(grouped(rows, "cntry_id"), path, months)
 
 
-def history_load(src: Sources, path: str, run_ts: dt.datetime, months: Iterable[int] | None = None, **kw) -> None:
-    """Append the history months to the mart, in one job and one write."""
-    months = history_months() if months is None else months
-    append_months(grouped(conform_history(src, months, run_ts, **kw)), path)
+def history_load(
+    src: Sources, path: str, run_ts: dt.datetime, months: Iterable[int] | None = None, append: bool = False, **kw
+) -> DataFrame | None:
+    """Publish the history months to the mart, in one job and one write; a rerun replaces what it wrote.
+
+    ``append`` adds to what the months hold instead, so a rerun of it adds the rows again.
+    """
+    months = history_months() if months is None else as_months(months)
+    rows = grouped(conform_history(src, months, run_ts, **kw))
+    if append:
+        append_months(rows, path)
+        return None
+    return publish(rows, path, months)
 
 
 def refresh_offsets(

@@ -65,4 +65,4 @@ class Sources(Mapping):
 
 def read_month(df: DataFrame, months, date_col: str) -> DataFrame:
     """Rows of the given months (None: all), as a range on the timestamp column."""
-    return df.filter(in_months(date_col, months))
+    return df if months is None else df.filter(in_months(date_col, months))

@@ -150,3 +150,25 @@ def test_month_filters_agree_with_the_month_key(spark):
     assert column(spark, N, days[:4], dates.in_months("c", (202012, 202103))) == [True, False, False, True]
     assert column(spark, I, [20201231, 20210101, 20210231, 20210301], dates.key_in_months("c", 202101)) == [False, True, False, False]
     assert column(spark, N, days[:2], dates.in_months("c", None)) == [True, True]
+
+
+def test_a_list_of_months_is_its_months_one_by_one(spark):
+    keys = [20210100, 20210101, 20210131, 20210150, 20210200, 20210228, 20210301, 20211301, 20210001, 20210399, None]
+    frame = spark.createDataFrame([(k,) for k in keys], "k int")
+
+    def kept(months):
+        return sorted(r[0] for r in frame.filter(dates.key_in_months("k", months)).collect())
+
+    for months in ((202101,), (202101, 202102), (202101, 202103), (202101, 202102, 202103)):
+        assert kept(months) == sorted(k for m in months for k in kept((m,)))
+    assert kept((202101, 202102)) == [20210101, 20210131, 20210228]
+    assert kept(None) == [20210101, 20210131, 20210228, 20210301]
+    months = spark.createDataFrame([(k,) for k in (200811, 200812, 200813, 200901, 200903, None)], "k int")
+    for listed in ((200812, 200901), (200812, 200901, 200903)):
+        assert sorted(r[0] for r in months.filter(dates.month_in("k", listed)).collect()) == list(listed)
+    assert months.filter(dates.month_in("k", None)).count() == 4
+
+
+def test_no_timestamp_is_in_no_month(spark):
+    frame = spark.createDataFrame([(dt.datetime(2021, 1, 1),), (None,)], "t timestamp_ntz")
+    assert frame.filter(dates.in_months("t", None)).count() == frame.filter(dates.in_months("t", (202101,))).count() == 1

@@ -4,6 +4,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from orderloom.plans import refresh
+from orderloom.plans.invoices import extract_invoices
 from orderloom.sources import publish
 from orderloom.sources.catalog import Sources
 from orderloom.sources.schemas import INVOICES, MART, SOURCES
@@ -140,3 +141,21 @@ def test_month_offsets(spark, tmp_path):
 
     counts = refresh.refresh_offsets(build, path, dt.datetime(2021, 1, 4))
     assert asked == [(202011, 202012)] and records(counts) == [(202011, 1), (202012, 1)]
+
+
+def test_long_invoice_texts_are_cut_before_they_are_grouped(spark):
+    run = dt.datetime(2021, 4, 20, 10)
+    src = {name: source(spark, name, []) for name in SOURCES}
+    src["invoice_txn"] = source(spark, "invoice_txn", [txn(ref="x" * 240 + "a"), txn(ref="x" * 240 + "b"), txn(ref="y")])
+    assert records(extract_invoices(src, (202104,), run), "invoice_cd") == [("x" * 240,), ("y",)]
+
+
+def test_history_load_again_leaves_the_same_rows(spark, tmp_path):
+    path = str(tmp_path / "mart")
+    src = {name: source(spark, name, []) for name in SOURCES}
+    src["hist_demand"] = source(spark, "hist_demand", [dict(ord_mo_yr_key_no=m, oper_cntry_key_no=5, ord_no=1, ord_ln_no=1, ibo_price_lc_amt=Decimal(1)) for m in (200709, 202002)])
+    for _ in range(2):
+        refresh.history_load(src, path, dt.datetime(2021, 1, 1))
+    assert spark.read.parquet(path).count() == 2
+    refresh.history_load(src, path, dt.datetime(2021, 1, 1), append=True)
+    assert spark.read.parquet(path).count() == 4
