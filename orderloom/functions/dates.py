@@ -138,6 +138,16 @@ def _ntz(moment: dt.datetime) -> Column:
     return F.expr(sql_ts(moment))
 
 
+def day_start(day: dt.date) -> Column:
+    """The first moment of a day as a literal."""
+    return _ntz(dt.datetime(day.year, day.month, day.day))
+
+
+def month_start(ym: int, slack_days: int = 0) -> Column:
+    """The first moment of a month as a literal, moved by some days."""
+    return _ntz(_first_day(ym, slack_days))
+
+
 def in_months(ts: Column | str, months: Months | int, slack_days: int = 0) -> Column:
     """Timestamp lies in one of the months, as ranges that reach the file scan.
 

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed
-from ..functions.dates import Months, day_key, in_months, month_key, previous_month
-from ..functions.text import blank_to_null, cut, greatest_or_null, to_long
+from ..functions.dates import Months, day_start, in_months, month_key, previous_month
+from ..functions.text import blank_to_null, cut, to_long
 from ..operators.groups import earliest_per_key
 from ..operators.joins import match
 from ..operators.shape import conform
@@ -64,11 +66,14 @@ def months_to_reload(txn: DataFrame, run_ts: dt.datetime) -> DataFrame:
 
     An invoice that lacks one of its three stamps has no latest stamp.
     """
-    touched = greatest_or_null("trx_creat_dtm", "audit_creat_dtm", "audit_chng_dtm")
-    today = run_ts.year * 10000 + run_ts.month * 100 + run_ts.day
+    stamps = ("trx_creat_dtm", "audit_creat_dtm", "audit_chng_dtm")
+    today = run_ts.date()
+    # The latest of three stamps is of the day: none is missing or later, and one is of it. As ranges these reach the scan.
+    none_later = reduce(and_, [F.col(s) < day_start(today + dt.timedelta(days=1)) for s in stamps])
+    one_today = reduce(or_, [F.col(s) >= day_start(today) for s in stamps])
     return (
         _order_invoices(txn)
-        .filter(day_key(touched) == today)
+        .filter(none_later & one_today)
         .select(month_key("ord_dt").alias("ord_mo_yr_id"))
         .distinct()
         .filter(recent_enough(F.col("ord_mo_yr_id"), run_ts))
