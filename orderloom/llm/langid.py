@@ -126,7 +126,7 @@ def train(texts: list[str], langs: list[str], seed: int = 7) -> Model:
     for _ in range(EPOCHS):
         for i in rng.permutation(fitted):
             text, target = usable[i]
-            words = text[:100_000].split()
+            words = text.split()
             begin = int(rng.integers(0, max(1, len(words) - 2)))
             piece = " ".join(words[begin:begin + int(rng.integers(2, 25))])
             for buckets, share in (whole[i], features(piece)):
