@@ -11,7 +11,7 @@ _RUN = f"TIMESTAMP '{RUN_TS:%Y-%m-%d %H:%M:%S}'"
 
 
 def _typed(schema, given: dict[str, str]) -> str:
-    """Select list of a schema; money as decimal first, then as double; absent columns NULL."""
+    """Select list of a schema; numbers as decimal first, then as double; absent columns NULL."""
     unknown = set(given) - set(schema.names)
     assert not unknown, unknown
     parts = []
@@ -19,7 +19,7 @@ def _typed(schema, given: dict[str, str]) -> str:
         value = given.get(f.name, "NULL")
         kind = f.dataType.simpleString()
         if kind.startswith("decimal"):
-            parts.append(f"CAST(CAST({value} AS DECIMAL(18,2)) AS DOUBLE) AS {f.name}")
+            parts.append(f"CAST(CAST({value} AS DECIMAL(38,6)) AS DOUBLE) AS {f.name}")
         else:
             parts.append(f"CAST({value} AS {_SQL_TYPES[kind]}) AS {f.name}")
     return ",\n  ".join(parts)
@@ -182,23 +182,23 @@ s2_all AS (
     return ["src2_header", "src2_line", "invoices2"], body + f",\nout2 AS (SELECT {_typed(MART, cols)} FROM s2_all)"
 
 
-def _cents(x: str) -> str:
-    return f"CAST(CAST({x} AS DECIMAL(18,2)) * 100 AS HUGEINT)"
+def _millionths(x: str) -> str:
+    return f"CAST(CAST({x} AS DECIMAL(38,6)) * 1000000 AS HUGEINT)"
 
 
 def _share(amount: str, part: str, whole: str) -> str:
-    """amount * part / whole to the cent, half away from zero, in whole cents."""
-    product = f"({_cents(amount)} * {_cents(part)})"
-    bottom = _cents(whole)
+    """amount * part / whole to the cent, half away from zero, in whole millionths."""
+    product = f"({_millionths(amount)} * {_millionths(part)})"
+    bottom = _millionths(whole)
     return (
-        f"CASE WHEN {bottom} <> 0 THEN CAST((abs({product}) * 2 + abs({bottom})) // (abs({bottom}) * 2) AS BIGINT)"
+        f"CASE WHEN {bottom} <> 0 THEN CAST((abs({product}) * 2 + abs({bottom}) * 10000) // (abs({bottom}) * 20000) AS BIGINT)"
         f" * sign({product}) * sign({bottom}) / 100.0 END"
     )
 
 
 def _source3() -> tuple[list[str], str]:
     rounding = f"fee_code IN ({_list(fixed.ROUNDING_FEES)})"
-    amount, tax = ("coalesce(CAST({} AS DECIMAL(18,2)), 0)".format(c) for c in ("fee_amount", "fee_tax_total_amount"))
+    amount, tax = ("coalesce(CAST({} AS DECIMAL(38,6)), 0)".format(c) for c in ("fee_amount", "fee_tax_total_amount"))
     body = f""",
 s3_place AS (
   SELECT DISTINCT {_ym("order_date_time")} AS ym, sales_order_id, delivery_postal_code, delivery_iso_country_code,
@@ -210,13 +210,13 @@ s3_ord AS (
          coalesce(h.group_order_id, CAST(h.sales_order_id AS BIGINT)) AS comb,
          count(h.sales_order_id) OVER (PARTITION BY {_ym("h.order_date_time")}, h.amway_sales_entity,
                coalesce(h.group_order_id, CAST(h.sales_order_id AS BIGINT))) AS n_comb,
-         CAST(h.total_order_value AS DECIMAL(18,2)) - CAST(h.total_tax_amount AS DECIMAL(18,2)) AS net_value
+         CAST(h.total_order_value AS DECIMAL(38,6)) - CAST(h.total_tax_amount AS DECIMAL(38,6)) AS net_value
   FROM src3_header h LEFT JOIN s3_place p
     ON h.sales_order_id = p.sales_order_id AND h.amway_sales_entity = p.amway_sales_entity AND p.ym = {_ym("h.order_date_time")}
   WHERE h.affiliate_code = '030'),
 s3_ln AS (
-  SELECT *, CAST(line_price AS DECIMAL(18,2)) AS price,
-         sum(CAST(line_price AS DECIMAL(18,2))) OVER (PARTITION BY sales_order_id, sale_country_code) AS price_total
+  SELECT *, CAST(line_price AS DECIMAL(38,6)) AS price,
+         sum(CAST(line_price AS DECIMAL(38,6))) OVER (PARTITION BY sales_order_id, sale_country_code) AS price_total
   FROM src3_line WHERE affiliate_code = '030'),
 s3_ship AS (
   SELECT sales_order_id, sale_country_code, order_line_id, max(fulfilled_date) AS shipped
@@ -574,9 +574,9 @@ LEFT JOIN src1_line r ON m.ord = r.ord AND m.ref_ln = r.ord_ln AND m.intgrt_cntr
 LEFT JOIN st ON m.ord = st.ord AND m.ord_ln = st.ref_ln AND m.intgrt_cntry_cd = st.cc"""
     q["order_fees"] = ctes("src3_fees") + f"""
 SELECT sale_country_code, sales_order_id,
-       CAST(sum(CAST(fee_amount AS DECIMAL(18,2))) - sum(coalesce(CAST(fee_tax_total_amount AS DECIMAL(18,2)), 0)) AS DOUBLE) AS fee_total,
+       CAST(sum(CAST(fee_amount AS DECIMAL(38,6))) - sum(coalesce(CAST(fee_tax_total_amount AS DECIMAL(38,6)), 0)) AS DOUBLE) AS fee_total,
        CAST(sum(CASE WHEN fee_code IN ({_list(fixed.ROUNDING_FEES)}) THEN 0
-                     ELSE CAST(fee_amount AS DECIMAL(18,2)) - coalesce(CAST(fee_tax_total_amount AS DECIMAL(18,2)), 0) END) AS DOUBLE) AS delivery_fee
+                     ELSE CAST(fee_amount AS DECIMAL(38,6)) - coalesce(CAST(fee_tax_total_amount AS DECIMAL(38,6)), 0) END) AS DOUBLE) AS delivery_fee
 FROM src3_fees GROUP BY ALL"""
     q["month_filter"] = ctes("hd") + f" SELECT ord, dt FROM hd WHERE {_ym('dt')} IN (202012, 202101, 202103, 202208)"
     q["day_key_filter"] = ctes("src1_header") + """

@@ -43,6 +43,8 @@ _VOL2 = ("CASE WHEN cust % 11 = 0 THEN '570' WHEN cust % 2 = 0 THEN '570' || cas
 _DAY = "year({0}) * 10000 + month({0}) * 100 + day({0})"
 _YM = "cast(year({0}) * 100 + month({0}) as int)"
 _CODE = "lpad(cast(part as string), 5, '0') || CASE rf WHEN 'R' THEN 'RU' WHEN 'A' THEN 'A1' ELSE '' END"
+# Amounts of four decimals, as the source tables declare no scale.
+_FINE = "cast({0} * cast(1.25 as decimal(3,2)) as decimal(18,4))"
 _HIST_KEY = _by_position("{0}", fixed.HISTORY_COUNTRY_KEYS[:24])
 
 SQL = {
@@ -150,7 +152,7 @@ SQL = {
                CASE WHEN ls = 'O' THEN ' ' ELSE 'F' END AS item_disp_cd,
                CASE (ln - 1) % 3 WHEN 0 THEN 'MODEL' WHEN 1 THEN 'OPTION' ELSE 'STD' END AS item_type,
                """ + _CODE + """ AS ord_item,
-               price AS unit_sell_price, qty AS ord_qty, tax AS extend_pv_amt, price AS extend_bv_amt,
+               """ + _FINE.format("price") + """ AS unit_sell_price, qty AS ord_qty, tax AS extend_pv_amt, price AS extend_bv_amt,
                cast(qty - 1 as decimal(18,2)) AS shp_qty, prio AS shp_priority
         FROM {lh}
     """,
@@ -185,7 +187,7 @@ SQL = {
                CASE WHEN seg = 'MACHINERY' THEN 'false' ELSE 'true' END AS payment_required,
                CASE WHEN seg = 'BUILDING' THEN NULL ELSE 'PAID' END AS payment_status,
                CASE WHEN status = 'F' THEN 'none' WHEN status = 'O' THEN 'R-' || cast(ord - 1 as string) END AS original_order_id,
-               cast(total as string) AS total_order_value,
+               cast(""" + _FINE.format("total") + """ as string) AS total_order_value,
                cast(cast(cust % 100 as decimal(18,2)) as string) AS total_tax_amount,
                CASE prio WHEN '1-URGENT' THEN ' AmwayDefaultRetailPriceGroup' WHEN '2-HIGH' THEN 'AmwayDefaultEmployeePriceGroup'
                          WHEN '3-MEDIUM' THEN 'AmwayDefaultABOPriceGroup' WHEN '4-NOT SPECIFIED' THEN 'other' END AS order_price_list,
@@ -203,7 +205,7 @@ SQL = {
     "src3_line": """
         SELECT iso AS sale_country_code, cast(ord as string) AS sales_order_id, cast(ln as string) AS order_line_id,
                CASE WHEN ls = 'O' THEN 'B' || lpad(cast(supp % 7 as string), 4, '0') || 'EN' ELSE NULL END AS bundle_item_id,
-               ' ' || """ + _CODE + """ AS base_item_id, cast(price as string) AS line_price,
+               ' ' || """ + _CODE + """ AS base_item_id, cast(""" + _FINE.format("price") + """ as string) AS line_price,
                qty AS line_pv_amount, tax AS line_bv_amount,
                CASE WHEN rf = 'N' THEN NULL ELSE qty END AS shipped_quantity, CASE WHEN rf = 'A' THEN NULL ELSE tax END AS pending_quantity,
                qty AS ordered_quantity, CASE WHEN rf = 'R' THEN NULL ELSE tax END AS cancelled_quantity,
@@ -218,7 +220,7 @@ SQL = {
     "src3_fees": """
         SELECT cast(ord as string) AS sales_order_id, iso AS sale_country_code,
                CASE rf WHEN 'A' THEN 'netRoundOff_increase' WHEN 'R' THEN 'delivery' ELSE 'handling' END AS fee_code,
-               cast(qty as string) AS fee_amount, CASE WHEN rf = 'R' THEN NULL ELSE cast(tax as string) END AS fee_tax_total_amount,
+               cast(""" + _FINE.format("qty") + """ as string) AS fee_amount, CASE WHEN rf = 'R' THEN NULL ELSE cast(tax as string) END AS fee_tax_total_amount,
                aff AS affiliate_code
         FROM {l3} WHERE ls = 'F'
     """,
@@ -262,7 +264,7 @@ SQL = {
                cast(ln as string) AS ord_ln_no, cast(ln - (ln - 1) % 3 as string) AS ref_ln_no, ls AS item_disp_desc,
                CASE WHEN ls = 'O' THEN 'B' || lpad(cast(supp % 3 as string), 4, '0') || 'EN' ELSE NULL END AS ord_cd,
                """ + _CODE + """ || ' ' AS item_id,
-               CASE WHEN rf = 'N' THEN NULL ELSE cast(price as string) END AS adj_item_price_amt, cast(price as double) AS tot_pv_amt,
+               CASE WHEN rf = 'N' THEN NULL ELSE cast(""" + _FINE.format("price") + """ as string) END AS adj_item_price_amt, cast(""" + _FINE.format("price") + """ as double) AS tot_pv_amt,
                CASE WHEN rf = 'N' THEN NULL ELSE cast(qty as string) END AS adj_item_price_pv_amt, cast(qty as double) AS item_pv_amt,
                CASE WHEN rf = 'A' THEN NULL ELSE cast(qty as string) END AS adj_item_price_bv_amt, cast(tax as double) AS item_bv_amt,
                CASE WHEN rf = 'A' THEN '2' ELSE NULL END AS compnt_qty, cast(qty as double) AS item_qty_amt,

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
+NUMBER = "decimal(38,6)"  # amounts and quantities whose scale the tables do not declare
 
 
 def col(c: Column | str) -> Column:
@@ -123,14 +124,14 @@ def ratio(a: Column | str, b: Column | str, default=None) -> Column:
 
 
 def share_of(amount: Column, part: Column, whole: Column) -> Column:
-    """amount * part / whole for money, rounded half away from zero to the cent.
+    """amount * part / whole, rounded half away from zero to the cent.
 
-    Worked in whole cents, so no intermediate quotient is rounded.
+    Worked in whole millionths, so nothing but the result is rounded. amount * part may have 25 digits before the point.
     """
-    cents = [(c.cast(MONEY) * 100).cast("decimal(18,0)") for c in (amount, part, whole)]
-    product = cents[0] * cents[1]
-    bottom = F.abs(cents[2])
-    sign = F.signum(product.cast("double")) * F.signum(cents[2].cast("double"))
-    doubled = (F.abs(product).cast("decimal(36,0)") * 2 + bottom).cast("decimal(38,0)")
-    whole_cents = F.when(cents[2] != 0, F.call_function("div", doubled, (bottom * 2).cast("decimal(20,0)")))
+    units = [(c.cast(NUMBER) * 1_000_000).cast("decimal(38,0)") for c in (amount, part, whole)]
+    product = units[0] * units[1]
+    bottom = F.abs(units[2]) * 10_000  # of a cent
+    sign = F.signum(product.cast("double")) * F.signum(units[2].cast("double"))
+    over = F.abs(product) % bottom
+    whole_cents = F.when(units[2] != 0, F.call_function("div", F.abs(product), bottom) + (over >= bottom - over).cast("int"))
     return (whole_cents * sign.cast("int") / 100).cast(MONEY)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions.dates import Months, day_key, in_months, month_key, sql_ts
-from ..functions.text import MONEY, base_item_code, digits_to_long, recode, share_of, to_long, try_to_long
+from ..functions.text import NUMBER, base_item_code, digits_to_long, recode, share_of, to_long, try_to_long
 from ..operators.groups import with_group
 from ..operators.joins import attach, match
 from ..operators.shape import conform
@@ -66,7 +66,7 @@ def _orders(header: DataFrame, consignment: DataFrame, months: Months) -> DataFr
         "CASE WHEN payment_required = 'true' THEN 'Y' ELSE 'N' END AS pay_req_flag",
         "CASE WHEN payment_status = 'PAID' THEN 'true' ELSE 'false' END AS ord_paid_flag",
         "org_ord_id", "has_place",
-        f"CAST(total_order_value AS {MONEY}) - CAST(total_tax_amount AS {MONEY}) AS net_value",
+        f"CAST(total_order_value AS {NUMBER}) - CAST(total_tax_amount AS {NUMBER}) AS net_value",
         "trim(order_price_list) AS price_list",
     )
 
@@ -75,8 +75,8 @@ def order_fees(fees: DataFrame) -> DataFrame:
     """Net fees of each order: all of them, and those that are not rounding differences."""
     amounts = fees.selectExpr(
         "sale_country_code", "sales_order_id", "fee_code",
-        f"coalesce(CAST(fee_amount AS {MONEY}), 0) AS amount",
-        f"coalesce(CAST(fee_tax_total_amount AS {MONEY}), 0) AS tax",
+        f"coalesce(CAST(fee_amount AS {NUMBER}), 0) AS amount",
+        f"coalesce(CAST(fee_tax_total_amount AS {NUMBER}), 0) AS tax",
     ).withColumn("is_charge", F.coalesce(~F.col("fee_code").isin(*fixed.ROUNDING_FEES), F.lit(True)))
     return amounts.groupBy("sale_country_code", "sales_order_id").agg(
         F.expr("sum(amount) - sum(tax) AS fee_total"),
@@ -94,7 +94,7 @@ def conform_source3(src: Mapping[str, DataFrame], months: Months, run_ts: dt.dat
     line = _in_scope(src["src3_line"]).withColumns({
         "ord_id": to_long("sales_order_id"),
         "ln_id": to_long("order_line_id"),
-        "price": F.col("line_price").cast(MONEY),
+        "price": F.col("line_price").cast(NUMBER),
     })
     # Lines have no date: of a choice of months, keep their orders' lines before all else.
     heads = _headers(src["src3_header"], months).select("ord_id", "iso_country_code")

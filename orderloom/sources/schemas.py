@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 _TYPES = {
     "bigint": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(), "string": T.StringType(),
-    "timestamp_ntz": T.TimestampNTZType(), "decimal(18,2)": T.DecimalType(18, 2),
+    "timestamp_ntz": T.TimestampNTZType(), "decimal(38,6)": T.DecimalType(38, 6),  # numbers of undeclared scale
 }
 
 
@@ -26,11 +26,11 @@ MART = _schema("""
     account_id bigint, account_type_ord string,
     vol_account_id bigint, ord_account_id bigint, shp_account_id bigint,
     ord_canc_flag string, ord_shp_flag string, pay_req_flag string, ord_paid_flag string,
-    org_ord_id bigint, ord_type_cd string, drop_cd string, delivery_fee_net decimal(18,2),
+    org_ord_id bigint, ord_type_cd string, drop_cd string, delivery_fee_net decimal(38,6),
     ord_ln_id bigint, ref_ln_id bigint, ord_ln_disp_cd string,
     ord_item_cd string, shp_item_cd string, ord_item_base_cd string, shp_item_base_cd string,
-    adj_ln_lc_net decimal(18,2), adj_ln_pv decimal(18,2), adj_ln_bv decimal(18,2),
-    ord_qty decimal(18,2), shp_qty decimal(18,2),
+    adj_ln_lc_net decimal(38,6), adj_ln_pv decimal(38,6), adj_ln_bv decimal(38,6),
+    ord_qty decimal(38,6), shp_qty decimal(38,6),
     delivery_mode_cd string, consultant_cd string, update_dt timestamp_ntz
 """)
 
@@ -50,7 +50,7 @@ SOURCES = {
     "src1_header": _schema("""
         ord bigint, comb_ord bigint, ord_curcy string, comb_ord_flg string, inv_nbr string,
         ord_type string, drop_cd string, whse string, ord_whse string, ord_dt int, ord_tm int,
-        dlvr_dt int, ord_src string, ord_hndlg_price decimal(18,2), ord_pay_stat string,
+        dlvr_dt int, ord_src string, ord_hndlg_price decimal(38,6), ord_pay_stat string,
         ctl_aff string, intgrt_ctl_aff string, cntry string, intgrt_cntry_cd string,
         vol_distb bigint, ord_distb bigint, shp_distb bigint, shp_adr bigint, ord_canc string,
         ord_shp string, pay_req string, orgnl_ord bigint, distb_ord_nbr string,
@@ -58,8 +58,8 @@ SOURCES = {
     """),
     "src1_line": _schema("""
         ord bigint, ord_ln int, ln_type string, ref_ln int, item_type string, item_disp string,
-        item string, item_qty decimal(18,2), item_price decimal(18,2), item_pv decimal(18,2),
-        item_bv decimal(18,2), cntry string, intgrt_cntry_cd string
+        item string, item_qty decimal(38,6), item_price decimal(38,6), item_pv decimal(38,6),
+        item_bv decimal(38,6), cntry string, intgrt_cntry_cd string
     """),
     "src1_channel": _schema("cntry_cd string, ord_type_cd string, ord_src_cd string, glbl_sales_chnl_cd string"),
     "src1_address": _schema("intgrt_aff_cd string, ctl_aff string, distb_nbr bigint, adr_seq bigint, post string"),
@@ -71,10 +71,10 @@ SOURCES = {
     """),
     "src2_line": _schema("""
         ord_no bigint, intgrt_aff_cd string, whse_cd string, act_shp_dt timestamp_ntz, vol_imc_no string,
-        ord_imc_no string, shp_imc_no string, dlvry_fee decimal(18,2), ord_ln_no int,
+        ord_imc_no string, shp_imc_no string, dlvry_fee decimal(38,6), ord_ln_no int,
         oracle_line_id bigint, item_disp_cd string, item_type string, ord_item string,
-        unit_sell_price decimal(18,2), ord_qty decimal(18,2), extend_pv_amt decimal(18,2),
-        extend_bv_amt decimal(18,2), shp_qty decimal(18,2), shp_priority string
+        unit_sell_price decimal(38,6), ord_qty decimal(38,6), extend_pv_amt decimal(38,6),
+        extend_bv_amt decimal(38,6), shp_qty decimal(38,6), shp_priority string
     """),
     "src3_header": _schema("""
         iso_country_code string, sales_order_id string, affiliate_code string, amway_sales_entity string,
@@ -90,9 +90,9 @@ SOURCES = {
     """),
     "src3_line": _schema("""
         sale_country_code string, sales_order_id string, order_line_id string, bundle_item_id string,
-        base_item_id string, line_price string, line_pv_amount decimal(18,2), line_bv_amount decimal(18,2),
-        shipped_quantity decimal(18,2), pending_quantity decimal(18,2), ordered_quantity decimal(18,2),
-        cancelled_quantity decimal(18,2), demand_location string, fulfillment_type string, affiliate_code string
+        base_item_id string, line_price string, line_pv_amount decimal(38,6), line_bv_amount decimal(38,6),
+        shipped_quantity decimal(38,6), pending_quantity decimal(38,6), ordered_quantity decimal(38,6),
+        cancelled_quantity decimal(38,6), demand_location string, fulfillment_type string, affiliate_code string
     """),
     "src3_fulfilment": _schema(
         "sales_order_id string, sale_country_code string, order_line_id bigint, fulfilled_date timestamp_ntz"
@@ -112,7 +112,7 @@ SOURCES = {
         dlvry_addr_given_nm string, bill_imc_no string, bill_imc_type_cd string, ord_imc_no string,
         shp_imc_no string, ord_canc_flg string, ord_shp_flg string, pay_req_flg string,
         ord_pay_stat_cd string, orgnl_ord_no string, ord_type_cd string, drop_cd string,
-        dlvry_actual_cost_curcy_amt decimal(18,2), dlvry_mode_cd string,
+        dlvry_actual_cost_curcy_amt decimal(38,6), dlvry_mode_cd string,
         updt_dt timestamp_ntz
     """),
     "src4_line": _schema("""
@@ -140,8 +140,8 @@ SOURCES = {
         ord_mo_yr_key_no int, oper_cntry_key_no bigint, ord_no bigint, ord_ln_no bigint, ord_dt_key_no int,
         shp_dt_key_no int, comb_ord_flg int, comb_ord_no bigint, curcy_key_no bigint, imc_key_no bigint,
         vol_imc_key_no bigint, ord_imc_key_no bigint, shp_imc_key_no bigint, ord_item_key_no bigint,
-        shp_item_key_no bigint, ibo_price_lc_amt decimal(18,2), pv_lc_amt decimal(18,2),
-        bv_lc_amt decimal(18,2), ord_qty decimal(18,2), shp_qty decimal(18,2), deliverymode string,
+        shp_item_key_no bigint, ibo_price_lc_amt decimal(38,6), pv_lc_amt decimal(38,6),
+        bv_lc_amt decimal(38,6), ord_qty decimal(38,6), shp_qty decimal(38,6), deliverymode string,
         consultant_id string
     """),
     "hist_order_code": _schema(

@@ -11,7 +11,7 @@ from orderloom.functions import dates, text
 from .helpers import frame, one
 
 S, L, I, N = T.StringType(), T.LongType(), T.IntegerType(), T.TimestampNTZType()
-D = T.DecimalType(18, 2)
+D = T.DecimalType(38, 6)
 
 
 def column(spark, kind, values, expr):
@@ -84,6 +84,7 @@ def test_ratio_of_zero(spark):
     ("30", "90", "100", "27.00"), ("70", "90", "100", "63.00"), ("1", "1", "3", "0.33"), ("1", "2", "3", "0.67"),
     ("0.01", "1", "2", "0.01"), ("-0.01", "1", "2", "-0.01"), ("5", "1", "0", None), ("5", None, "1", None),
     ("9999999999999.99", "9999999999999.98", "9999999999999.99", "9999999999999.98"),
+    ("0.004", "0.5", "0.4", "0.01"), ("12.345", "1", "1", "12.35"), ("0.0049", "1", "1", "0.00"), ("-12.345", "-1", "-1", "-12.35"),
 ])
 def test_share_is_rounded_half_away_from_zero(spark, amount, part, whole, share):
     d = {k: (None if v is None else Decimal(v), D) for k, v in dict(a=amount, p=part, w=whole).items()}

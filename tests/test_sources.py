@@ -184,6 +184,16 @@ def run3(spark, months=202104, **rows):
     return conform_source3(tables(spark, **{f"src3_{k}": v for k, v in rows.items()}), months, RUN)
 
 
+def test_amounts_keep_the_decimals_of_their_source(spark):
+    row = run2(spark, [head2()], [line2(unit_sell_price=Decimal("0.1234"), ord_qty=Decimal("2.5"), extend_pv_amt=Decimal("12.345"))]).first()
+    assert (row["adj_ln_lc_net"], row["adj_ln_pv"]) == (Decimal("0.3085"), Decimal("12.345"))
+    row = run4(spark, [head4()], [line4(adj_item_price_amt="0.004", item_pv_amt=12.345)]).first()
+    assert (row["adj_ln_lc_net"], row["adj_ln_pv"]) == (Decimal("0.004"), Decimal("12.345"))
+    thirds = [line3(line_price="0.004"), line3(order_line_id="2", line_price="0.006")]
+    got = run3(spark, header=[head3()], line=thirds, fees=[fee3()])
+    assert records(got, "ord_ln_id", "adj_ln_lc_net") == [(1, Decimal("36.00")), (2, Decimal("54.00"))]
+
+
 def test_source3_prorates_the_net_value(spark):
     two = [line3(), line3(order_line_id="2", price="70")]
     got = run3(spark, header=[head3()], line=two, fees=[fee3()])
