@@ -228,7 +228,8 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, fp, bands, sketch): the whole text's fingerprint, and fingerprints of samples of four shingles each.
+    """(doc_id, copy, fp, bands, sketch): a digest of the text's words, the whole text's fingerprint, and fingerprints of
+    samples of four shingles each.
 
     A sample takes the shingles that come first in four orders, so two texts of similarity s take the same one with
     probability s**4, and then have equal fingerprints of it.
@@ -236,10 +237,12 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
 
     def make():
         def work(batch):
-            rows = {"doc_id": batch.column("doc_id"), "fp": [], "bands": [], "sketch": []}
+            rows = {"doc_id": batch.column("doc_id"), "copy": [], "fp": [], "bands": [], "sketch": []}
             for text in batch.column("text").to_pylist():
-                hashes = shingle_hashes(text, words)
+                found = shingles(text, words)
+                hashes = np.fromiter(map(xxhash.xxh64_intdigest, found, repeat(SEED)), np.uint64, len(found))
                 least = sketch(hashes)
+                rows["copy"].append(xxhash.xxh3_128_digest(b"\n".join(found)))
                 rows["fp"].append(fingerprint(hashes))
                 octets = least.astype("<u8").tobytes()
                 step = 8 * BAND_SHINGLES
@@ -250,7 +253,7 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
 
         return work
 
-    return per_batch(texts_of(docs), make, "doc_id long, fp long, bands array<long>, sketch binary")
+    return per_batch(texts_of(docs), make, "doc_id long, copy binary, fp long, bands array<long>, sketch binary")
 
 
 def _agreement(left: str, right: str, schema: str):
@@ -266,27 +269,65 @@ def _agreement(left: str, right: str, schema: str):
     return run
 
 
+def _similar(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose sets of shingles have at least that Jaccard similarity, computed from the whole texts."""
+    compared = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a").join(
+        texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
+
+    def make():
+        def work(batch):
+            kept: dict[str, list] = {"a": [], "b": []}
+            rows = zip(*[batch.column(n).to_pylist() for n in ("a", "b", "ta", "tb")])
+            for a, b, ta, tb in rows:
+                x, y = set(shingles(ta, words)), set(shingles(tb, words))
+                common = len(x & y)
+                if common >= similarity * (len(x) + len(y) - common):
+                    kept["a"].append(a)
+                    kept["b"].append(b)
+            return kept
+
+        return work
+
+    return per_batch(compared, make, "a long, b long")
+
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs whose ends are not connected yet."""
+    for end in ("a", "b"):
+        pairs = pairs.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), end, "left")
+    return pairs.filter("coalesce(root_a, a) <> coalesce(root_b, b)").select("a", "b")
+
+
 def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """(doc_id, component_id) of every document that is linked to another; component_id is the smallest of its group.
 
     Documents are linked if their sets of shingles have a Jaccard similarity of at least ``similarity``, which is computed
-    in full for each link; texts without a word are alike. Candidates are fingerprints within three bits of each other
+    in full for each link; texts without a word are alike. Texts of the same words are one from the start, so that only
+    the smallest id of each goes on. Candidates are fingerprints within three bits of each other
     (``fingerprint_links``), and documents that share the fingerprint of a sample of shingles: within such an entry each is
-    held against one, drawn anew for each of the 20 samples, so entries give no more candidates than they have rows.
+    held against two, drawn anew for each of the 20 samples, so entries of up to three documents are complete and larger
+    ones give at most twice as many candidates as they have rows.
+
+    Of a document's candidates one is compared first; of the others only those that it is not connected to by then.
     Rows without doc_id are left out; repeated rows are one document (of two texts under one id, one is taken).
     """
-    made = stored(sketches(docs.filter("doc_id IS NOT NULL"), words).dropDuplicates(["doc_id"]), "sketches")
-    prints = made.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    prints = stored(prints, "distinct")
+    made = stored(sketches(docs.filter("doc_id IS NOT NULL"), words), "sketches")
+    ids = stored(made.groupBy("doc_id").agg(F.min("copy").alias("copy")), "ids")
+    leaders = ids.groupBy("copy").agg(F.min("doc_id").alias("leader"), F.count("*").alias("copies"))
+    same = stored(ids.join(leaders.filter("copies > 1"), "copy").filter("doc_id > leader").select("doc_id", "leader"), "same")
+    made = stored(made.join(leaders.select("copy", F.col("leader").alias("doc_id")), ["copy", "doc_id"], "left_semi")
+                  .dropDuplicates(["doc_id"]).drop("copy"), "leaders")
+    prints = stored(made.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     near = fingerprint_links(prints.select("fp"))
     whole = made.join(prints, "fp").select(F.col("doc_id").alias("a"), F.col("least").alias("b"))
     across = near.join(prints.select(F.col("fp").alias("a"), F.col("least").alias("la")), "a").join(
         prints.select(F.col("fp").alias("b"), F.col("least").alias("lb")), "b").select(
         F.col("la").alias("a"), F.col("lb").alias("b"))
     banded = made.select("doc_id", F.posexplode("bands").alias("band", "value"))
-    drawn = F.min(F.struct(F.xxhash64("doc_id", "band").alias("h"), F.col("doc_id").alias("id")))
-    heads = banded.groupBy("band", "value").agg(drawn.alias("head"), F.count("*").alias("n")).filter("n > 1")
-    sampled = banded.join(heads, ["band", "value"]).select(F.col("doc_id").alias("a"), F.col("head.id").alias("b"))
+    drawn = F.struct(F.xxhash64("doc_id", "band").alias("h"), F.col("doc_id").alias("id"))
+    heads = banded.groupBy("band", "value").agg(F.min(drawn).alias("one"), F.max(drawn).alias("two")).filter("one.id <> two.id")
+    sampled = banded.join(heads, ["band", "value"]).select(
+        F.col("doc_id").alias("a"), F.explode(F.array("one.id", "two.id")).alias("b"))
     pairs = whole.unionByName(across).unionByName(sampled).filter("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     # The sketch drops what is far from similar; the rest is compared in full.
@@ -297,25 +338,14 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8) ->
         F.col("agreement") >= similarity - SKETCH_SLACK).select("a", "b"), "likely")
     named = likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     texts = stored(texts_of(docs).join(named, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
-    compared = likely.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a").join(
-        texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
-
-    def make():
-        def work(batch):
-            kept: dict[str, list] = {"a": [], "b": []}
-            rows = zip(*[batch.column(n).to_pylist() for n in ("a", "b", "ta", "tb")])
-            for a, b, ta, tb in rows:
-                x, y = set(shingles(ta, words)), set(shingles(tb, words))
-                common = len(x & y)
-                if common >= similarity * (len(x) + len(y) - common):
-                    kept["a"].append(a)
-                    kept["b"].append(b)
-            return kept
-
-        return work
-
-    return components(per_batch(compared, make, "a long, b long")).select(
-        F.col("node").alias("doc_id"), F.col("root").alias("component_id"))
+    # One by a hash, so that the candidates of a large entry are spread over those drawn for it.
+    first = stored(likely.groupBy("a").agg(F.min_by("b", F.xxhash64("a", "b")).alias("b")), "first")
+    roots = stored(components(_similar(first, texts, words, similarity)), "roots")
+    later = stored(_apart(likely.join(first, ["a", "b"], "left_anti"), roots), "later")
+    links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(
+        _similar(later, texts, words, similarity)).unionByName(
+        same.select(F.col("doc_id").alias("a"), F.col("leader").alias("b")))
+    return components(links).select(F.col("node").alias("doc_id"), F.col("root").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
