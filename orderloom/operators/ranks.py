@@ -10,36 +10,37 @@ from pyspark.sql import functions as F
 
 from .joins import attach
 
-# Order values per block: what one task sorts at most, within one group.
+# Order values, or blocks of them, per block: what one task sorts at most, within one group.
 BLOCK = 65536
 
 
-def _rows_before(counted: DataFrame, keys: Sequence[str], order: str, out: str, block: int) -> DataFrame:
+def _rows_before(counted: DataFrame, keys: Sequence[str], order: str, out: str, block: int, span: int) -> DataFrame:
     """Add how many rows of the group have a smaller order value.
 
-    ``counted`` has one row per group and order value, with the number of rows in ``__n``.
-    A block is a run of neighbouring order values; rows before = rows of earlier blocks +
-    rows of the same block before the value.
+    ``counted`` has one row per group and order value, with the number of rows in ``__n``. ``span`` is how far
+    apart the values may lie. A block is a run of neighbouring order values; rows before = rows of earlier blocks + rows of
+    the same block before the value. Where there can be more blocks than a block has values, earlier blocks are counted
+    the same way, over runs of blocks; so no window holds more than twice ``block`` rows, dense or sparse.
     """
-    marked = counted.withColumn("__b", F.expr(f"`{order}` div {block}"))
-    in_block = W.partitionBy(*keys, "__b").orderBy(order).rowsBetween(W.unboundedPreceding, -1)
-    over_blocks = W.partitionBy(*keys).orderBy("__b").rowsBetween(W.unboundedPreceding, -1)
-    earlier = (
-        marked.groupBy(*keys, "__b").agg(F.sum("__n").alias("__m"))
-        .withColumn("__earlier", F.sum("__m").over(over_blocks))
-        .filter(F.col("__earlier").isNotNull())
-        .drop("__m")
-    )
-    local = marked.withColumn("__local", F.sum("__n").over(in_block))
+    if span <= block:
+        window = W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+        return counted.withColumn(out, F.coalesce(F.sum("__n").over(window), F.lit(0)))
+    name = f"{order}b"
+    marked = counted.withColumn(name, F.expr(f"`{order}` div {block}"))
+    in_block = W.partitionBy(*keys, name).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    blocks = marked.groupBy(*keys, name).agg(F.sum("__n").alias("__n"))
+    earlier = _rows_before(blocks, keys, name, f"{name}_earlier", block, -(-span // block)).drop("__n")
+    local = marked.withColumn(f"{name}_local", F.sum("__n").over(in_block))
     return (
-        attach(local, earlier, [*keys, "__b"])
-        .withColumn(out, F.coalesce(F.col("__local"), F.lit(0)) + F.coalesce(F.col("__earlier"), F.lit(0)))
-        .drop("__b", "__local", "__earlier")
+        attach(local, earlier, [*keys, name])
+        .withColumn(out, F.coalesce(F.col(f"{name}_local"), F.lit(0)) + F.coalesce(F.col(f"{name}_earlier"), F.lit(0)))
+        .drop(name, f"{name}_local", f"{name}_earlier")
     )
 
 
 def rank_in_group(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, weight: str | None = None, block: int = BLOCK
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, weight: str | None = None, block: int = BLOCK,
+    span: int | None = None,
 ) -> DataFrame:
     """RANK over (keys) by whole-number columns, ascending, missing last; ties share a rank.
 
@@ -47,19 +48,22 @@ def rank_in_group(
 
     Copies collapse to one counted position before anything is sorted, and positions are
     ranked column by column in blocks, so neither a hot group nor a hot tie is one task.
+    ``span`` is how far apart the values of one group may lie; each power of ``block`` in it costs a level of
+    blocks. Without it there are two, enough for 2**32; values beyond a span are ranked as well, by a longer sort.
     """
     sort_cols = [f"__o{i}" for i in range(len(order))]
     last = F.lit(2**63 - 1)
+    span = span or block * block
     rows = df.withColumns({s: F.coalesce(F.col(o).cast("bigint"), last) for s, o in zip(sort_cols, order)})
     size = F.count(F.lit(1)) if weight is None else F.sum(weight)
     positions = rows.groupBy(*keys, *sort_cols).agg(size.alias("__n"))
     *leading, final = sort_cols
-    ranked = _rows_before(positions, [*keys, *leading], final, "__before", block)
+    ranked = _rows_before(positions, [*keys, *leading], final, "__before", block, span)
     rank = F.col("__before") + 1
     for i, column in enumerate(leading):
         group = [*keys, *leading[:i]]
         counted = positions.groupBy(*group, column).agg(F.sum("__n").alias("__n"))
-        before = _rows_before(counted, group, column, f"__before{i}", block).drop("__n")
+        before = _rows_before(counted, group, column, f"__before{i}", block, span).drop("__n")
         ranked = attach(ranked, before, [*group, column])
         rank = rank + F.col(f"__before{i}")
     ranked = ranked.select(*keys, *sort_cols, rank.cast("bigint").alias(out))

@@ -112,6 +112,13 @@ def test_rank_holds_no_hot_group_in_one_task(skewed, settings):
     assert sorted(hot) == list(range(1, 40_001))
 
 
+def test_rank_of_sparse_values_sorts_no_long_list_of_blocks(spark):
+    sparse = spark.range(20_000).selectExpr("id % 2 AS k", "(id - 9000) * 1000000 AS x")
+    ranked = ranks.rank_in_group(sparse, ["k"], ["x"], "r", block=1024, span=2**36)
+    assert physical(ranked).count(" Window [") >= 4
+    assert ranked.filter("r <> (x / 1000000 + 9000 - k) / 2 + 1").count() == 0 and ranked.count() == 20_000
+
+
 def test_every_month_at_once_gives_what_single_months_give(spark):
     tables = catalogue._WithInvoices(Standins(spark, SF))
     months = (202104, 202105)
