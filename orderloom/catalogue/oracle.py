@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .. import fixed
+from ..plans.history import HISTORY_RANGE
 from ..sources.schemas import INVOICES, MART
 from .standins import RUN_TS, SOME_MONTHS, ctes
 
@@ -457,34 +458,42 @@ SELECT src, ord_mo_yr_id, CAST(updt_on_last_run_flg + CASE WHEN updt_on_last_run
 earlier AS (SELECT * FROM event_state WHERE ord_mo_yr_id < 20240130),
 changed AS (SELECT DISTINCT event_type AS src, {_day("ts")} AS ord_mo_yr_id FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-30')""" + queued("earlier")
 
-    def view(state: str) -> str:
-        names = ", ".join(f"coalesce(max(CASE WHEN src = '{t}' THEN ord_mo_yr_id END), 0) AS {t}" for t in EVENT_TAGS)
+    def view(state: str, tags=EVENT_TAGS) -> str:
+        names = ", ".join(f"coalesce(max(CASE WHEN src = '{t}' THEN ord_mo_yr_id END), 0) AS {t}" for t in tags)
         return f""",
 aged_v AS (SELECT *, dense_rank() OVER (ORDER BY ord_mo_yr_id DESC NULLS FIRST) AS rk FROM {state}),
 flagged AS (SELECT src, ord_mo_yr_id, rk, CASE WHEN rk <= 2 THEN 0 ELSE updt_on_last_run_flg END AS updt_on_last_run_flg FROM aged_v),
 wide AS (SELECT updt_on_last_run_flg, rk, {names} FROM flagged WHERE updt_on_last_run_flg = 0 GROUP BY updt_on_last_run_flg, rk),
 view_v AS (
-  SELECT {", ".join(EVENT_TAGS)}, updt_on_last_run_flg, greatest({", ".join(EVENT_TAGS)}) AS ord_mo_yr_id,
-         CAST(dense_rank() OVER (ORDER BY greatest({", ".join(EVENT_TAGS)}) DESC) AS INTEGER) AS mnth_rnk FROM wide)"""
+  SELECT {", ".join(tags)}, updt_on_last_run_flg, greatest({", ".join(tags)}) AS ord_mo_yr_id,
+         CAST(dense_rank() OVER (ORDER BY greatest({", ".join(tags)}) DESC) AS INTEGER) AS mnth_rnk FROM wide)"""
+
+    def planned_of(tags) -> str:
+        return " UNION ALL ".join(
+            f"SELECT mnth_rnk, '{t}' AS src, {t} AS src_mo_yr_id, ord_mo_yr_id FROM view_v" for t in tags
+        )
+
+    def after_run(aged: str, tags) -> str:
+        """What a night run leaves of the state: planned pairs done, old done ones forgotten."""
+        return view(aged, tags) + f""",
+planned AS (SELECT * FROM ({planned_of(tags)}) WHERE src_mo_yr_id > 0),
+marked AS (
+  SELECT a.src, a.ord_mo_yr_id, CASE WHEN p.src IS NOT NULL THEN 1 ELSE a.updt_on_last_run_flg END AS updt_on_last_run_flg
+  FROM {aged} a LEFT JOIN planned p ON a.src = p.src AND a.ord_mo_yr_id = p.src_mo_yr_id),
+left_over AS (
+  SELECT src, ord_mo_yr_id, CAST(updt_on_last_run_flg AS INTEGER) AS updt_on_last_run_flg FROM marked
+  WHERE NOT (updt_on_last_run_flg > 0 AND ord_mo_yr_id NOT IN (SELECT ord_mo_yr_id FROM view_v WHERE mnth_rnk IN (1, 2))))"""
 
     events = ctes("event_state")
     q["pending_pivot"] = events + view("event_state") + " SELECT * FROM view_v"
-    stacked = " UNION ALL ".join(
-        f"SELECT mnth_rnk, '{t}' AS src, {t} AS src_mo_yr_id, ord_mo_yr_id FROM view_v" for t in EVENT_TAGS
-    )
+    stacked = planned_of(EVENT_TAGS)
     q["plan_months"] = events + view("event_state") + f" SELECT * FROM ({stacked}) WHERE mnth_rnk <= {fixed.DAY_RUN_MONTHS}"
     q["plan_months_night"] = events + view("event_state") + f" SELECT * FROM ({stacked})"
     q["months_wanted"] = events + view("event_state") + f"""
 SELECT max(mnth_rnk) AS by_night, least({fixed.DAY_RUN_MONTHS}, max(mnth_rnk)) AS by_day FROM view_v"""
     q["pending_age_mark_purge"] = events + """,
 aged AS (SELECT src, ord_mo_yr_id, CASE WHEN updt_on_last_run_flg > 0 THEN updt_on_last_run_flg + 1 ELSE updt_on_last_run_flg END
-         AS updt_on_last_run_flg FROM event_state)""" + view("aged") + f""",
-planned AS (SELECT * FROM ({stacked}) WHERE src_mo_yr_id > 0),
-marked AS (
-  SELECT a.src, a.ord_mo_yr_id, CASE WHEN p.src IS NOT NULL THEN 1 ELSE a.updt_on_last_run_flg END AS updt_on_last_run_flg
-  FROM aged a LEFT JOIN planned p ON a.src = p.src AND a.ord_mo_yr_id = p.src_mo_yr_id)
-SELECT src, ord_mo_yr_id, CAST(updt_on_last_run_flg AS INTEGER) AS updt_on_last_run_flg FROM marked
-WHERE NOT (updt_on_last_run_flg > 0 AND ord_mo_yr_id NOT IN (SELECT ord_mo_yr_id FROM view_v WHERE mnth_rnk IN (1, 2)))"""
+         AS updt_on_last_run_flg FROM event_state)""" + after_run("aged", EVENT_TAGS) + " SELECT * FROM left_over"
     q["status_report"] = events + """,
 u AS (SELECT src, string_agg(ord_mo_yr_id::VARCHAR, ', ' ORDER BY ord_mo_yr_id DESC) AS updated
       FROM event_state WHERE updt_on_last_run_flg = 1 GROUP BY src),
@@ -500,6 +509,21 @@ touched AS (SELECT DISTINCT {_ym("ord_dt")} AS ord_mo_yr_id FROM invoice_txn
   WHERE aff_no IN (570, 30) AND trim(trx_sourc_cd) = '003' AND CAST({latest} AS DATE) = {day})"""
     q["months_to_reload"] = touched + " SELECT * FROM touched ORDER BY 1 DESC"
     q["months_to_reload_by_day"] = touched + " SELECT * FROM touched WHERE ord_mo_yr_id >= 202206 ORDER BY 1 DESC"
+
+    # --- whole runs
+    plans = conform_queries()
+    q["daily_rebuild_state"] = f"""
+WITH s0 AS (SELECT * FROM ({heads}{found(False)}{queued("pend_state")}) WHERE ord_mo_yr_id % 100 BETWEEN 1 AND 12)""" + after_run(
+        "s0", fixed.SOURCE_TAGS) + f""",
+mart AS (SELECT ord_mo_yr_id, count(*) AS n FROM ({plans["conform_all"]}) GROUP BY 1),
+rebuilt AS (SELECT v.ord_mo_yr_id, coalesce(max(n), 0) AS row_count
+            FROM view_v v LEFT JOIN mart m ON v.ord_mo_yr_id = m.ord_mo_yr_id GROUP BY 1)
+SELECT l.*, r.row_count FROM left_over l LEFT JOIN rebuilt r ON l.ord_mo_yr_id = r.ord_mo_yr_id"""
+    q["invoice_refresh_rows"] = f"""SELECT * FROM ({plans["invoice_earliest"]})
+WHERE ord_mo_yr_id IN (SELECT ord_mo_yr_id FROM ({q["months_to_reload"]}))"""
+    q["history_load_twice"] = f"""
+SELECT ord_mo_yr_id, count(*) AS n, count(DISTINCT ord_id) AS n_orders, count(*) AS written FROM ({plans["history_star"]})
+WHERE ord_mo_yr_id BETWEEN {HISTORY_RANGE[0]} AND {HISTORY_RANGE[1]} GROUP BY 1"""
     return q
 
 

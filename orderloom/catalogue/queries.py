@@ -14,11 +14,12 @@ from ..functions import dates, registry, text
 from ..operators import groups, joins, ranks, shape
 from ..plans import control, invoices, source1, source3, source_map
 from ..plans.history import conform_history
-from ..plans.refresh import conform_all
+from ..plans.refresh import conform_all, daily_rebuild, history_load, invoice_refresh
 from ..plans.source2 import conform_source2
 from ..plans.source4 import conform_source4
 from ..session import configure, working_path
 from ..sources import publish
+from ..sources.schemas import INVOICES
 from .standins import RUN_TS, SOME_MONTHS, Standins
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -457,3 +458,34 @@ def reload_roundtrip(t):
     )
     written = counts.select(F.col("ord_mo_yr_id").alias("w_ym"), F.col("row_count").alias("republished"))
     return joins.lookup(stored, written, {"ord_mo_yr_id": "w_ym"})
+
+
+@registered
+def daily_rebuild_state(t):
+    """A whole night run over the four sources: the control state it leaves, with the rows published for each month."""
+    run = daily_rebuild(_WithInvoices(t), t["pend_state"], working_path(t.spark, "mart"), RUN_TS.replace(hour=NIGHT_HOUR))
+    if run.counts is None:
+        return run.state.withColumn("row_count", F.lit(None).cast("bigint"))
+    return joins.lookup(run.state, run.counts.withColumnRenamed("ord_mo_yr_id", "p_ym"), {"ord_mo_yr_id": "p_ym"})
+
+
+@registered
+def invoice_refresh_rows(t):
+    """The invoice run: months touched on the run's day, published and read back."""
+    path = working_path(t.spark, "invoices")
+    if invoice_refresh(t, path, RUN_TS) is None:
+        return t.spark.createDataFrame([], INVOICES)
+    return publish.read_published(t.spark, path, INVOICES).drop(publish.GROUP)
+
+
+@registered
+def history_load_twice(t):
+    """The history load, repeated: rows and orders of each month, and the rows the second load wrote."""
+    path = working_path(t.spark, "history")
+    history_load(t, path, RUN_TS)
+    counts = history_load(t, path, RUN_TS)
+    stored = t.spark.read.parquet(path).groupBy("ord_mo_yr_id").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("ord_id").alias("n_orders")
+    )
+    written = counts.select(F.col("ord_mo_yr_id").alias("w_ym"), F.col("row_count").alias("written"))
+    return joins.lookup(stored, written, {"ord_mo_yr_id": "w_ym"})
