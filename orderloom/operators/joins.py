@@ -72,16 +72,16 @@ def in_force(
     """Value of each key in force at one or more points: that of its latest start <= the point.
 
     A start that is missing counts as later than every point, so it is never in force. On a
-    tie the greater value wins. The points are a list in the query, so every dimension row is
-    spread over the points it has started by; nothing is cross-joined.
+    tie the greater value wins. The points are a list in the query: each is a maximum over its
+    key's rows, combined before they are shuffled, and only the results are spread over points.
     """
     points = [at] if isinstance(at, int) else sorted(set(at))
-    spread = dim.withColumn(
-        out_at,
-        F.explode(F.filter(F.array(*[F.lit(p) for p in points]), lambda p: p >= F.col(effective))),
-    )
-    last = F.max(F.struct(F.col(effective).alias("k"), F.col(value).alias("v")))
-    return spread.groupBy(*keys, out_at).agg(last.getField("v").alias(value))
+    start = F.struct(F.col(effective).alias("k"), F.col(value).alias("v"))
+    latest = [F.max(F.when(F.col(effective) <= p, start)).alias(f"__p{i}") for i, p in enumerate(points)]
+    by_point = F.array(*[F.struct(F.lit(p).alias("at"), F.col(f"__p{i}").alias("last")) for i, p in enumerate(points)])
+    spread = dim.groupBy(*keys).agg(*latest).select(*keys, F.explode(by_point).alias("__p"))
+    return spread.filter("__p.last IS NOT NULL").select(
+        *keys, F.col("__p.at").alias(out_at), F.col("__p.last.v").alias(value))
 
 
 def as_of(

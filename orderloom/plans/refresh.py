@@ -86,7 +86,7 @@ def invoice_refresh(
         return None
     rows = extract_invoices(src, months, run_ts)
     if reject_path is not None:
-        rows, wide = split_too_wide(rows, INVOICE_WIDTHS)
+        rows, wide = split_too_wide(cut_lineage(rows), INVOICE_WIDTHS)
         wide.write.mode("overwrite").parquet(reject_path)
     return publish(grouped(rows, "cntry_id"), path, months)
 

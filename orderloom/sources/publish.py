@@ -116,7 +116,8 @@ def replace_table(df: DataFrame, path: str) -> None:
 def tolerant_load(df: DataFrame, casts: dict[str, str], path: str, reject_path: str) -> tuple[int, int]:
     """Load the rows that fit their types, keep the others with the reason; returns both counts.
 
-    The counts are observed while writing, so nothing is computed twice for them.
+    The counts are observed while writing. ``df`` is evaluated once for each side: a scan is read twice, anything dearer is
+    better stored first.
     """
     good, bad = split_rejects(df, casts)
     seen = []
