@@ -93,6 +93,19 @@ def test_groups_of_similar_texts(spark):
     assert {r.doc_id for r in simhash.one_of_each(frame).collect()} == set(wanted.values())
 
 
+def test_groups_of_many_copies(spark):
+    base = prose(41, 150).split()
+    made = {i: base for i in range(100, 150)}
+    for i in range(40):
+        made[i] = base[:3 * i] + ["x%d" % i] + base[3 * i + 1:]
+    made |= {200 + i: prose(300 + i, 90).split() for i in range(10)} | {300 + i: prose(300 + i, 90).split() for i in range(5)}
+    frame = spark.createDataFrame([(k, "  ".join(v)) for k, v in made.items()], "doc_id long, text string")
+    sets = {k: set(simhash.shingles(" ".join(v), 5)) for k, v in made.items()}
+    wanted = united(made, [(a, b) for a in sets for b in sets if b < a and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])])
+    got = {r.doc_id: r.component_id for r in simhash.similar_groups(frame).collect()}
+    assert {k: got.get(k, k) for k in made} == wanted
+
+
 def test_one_of_each_over_rough_rows(spark):
     docs = documents(spark)
     kept = simhash.one_of_each(docs)
