@@ -228,8 +228,8 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, copy, fp, bands, sketch): a digest of the text's words, the whole text's fingerprint, and fingerprints of
-    samples of four shingles each.
+    """(doc_id, copy, fp, bands, sketch, size): a digest of the text's words, the whole text's fingerprint, fingerprints of
+    samples of four shingles each, and the number of shingles.
 
     A sample takes the shingles that come first in four orders, so two texts of similarity s take the same one with
     probability s**4, and then have equal fingerprints of it.
@@ -237,7 +237,7 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
 
     def make():
         def work(batch):
-            rows = {"doc_id": batch.column("doc_id"), "copy": [], "fp": [], "bands": [], "sketch": []}
+            rows = {"doc_id": batch.column("doc_id"), "copy": [], "fp": [], "bands": [], "sketch": [], "size": []}
             for text in batch.column("text").to_pylist():
                 found = shingles(text, words)
                 hashes = np.fromiter(map(xxhash.xxh64_intdigest, found, repeat(SEED)), np.uint64, len(found))
@@ -249,11 +249,12 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
                 rows["bands"].append([xxhash.xxh64_intdigest(octets[i:i + step], i) - (1 << 63)
                                       for i in range(0, len(octets), step)])
                 rows["sketch"].append((least & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes())
+                rows["size"].append(len(found))
             return rows
 
         return work
 
-    return per_batch(texts_of(docs), make, "doc_id long, copy binary, fp long, bands array<long>, sketch binary")
+    return per_batch(texts_of(docs), make, "doc_id long, copy binary, fp long, bands array<long>, sketch binary, size long")
 
 
 def _agreement(left: str, right: str, schema: str):
@@ -298,7 +299,127 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return pairs.filter("coalesce(root_a, a) <> coalesce(root_b, b)").select("a", "b")
 
 
-def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
+def joining_links(ids, labels, sides, drawn, sets, similarity: float) -> tuple[list[int], list[int]]:
+    """Links of at least that similarity which connect all such pairs of documents, given by the hashes of their shingles.
+
+    Documents of one label are connected already. If there are two sides, pairs are of one side and the other, else all.
+    A link joins two labels, so there are fewer links than labels.
+    """
+    flat = np.concatenate(sets)
+    _, flat = np.unique(flat, return_inverse=True)
+    sizes = np.array([len(x) for x in sets])
+    starts = np.cumsum(sizes) - sizes
+    marked = np.zeros(int(flat.max()) + 1, np.int32)
+    label = np.unique(labels, return_inverse=True)[1]
+    second = sides == 1
+    a, b = [], []
+    for x in np.flatnonzero(~second).tolist():
+        left = label != label[x]
+        if second.any():
+            left &= second
+        else:
+            left[:x] = False
+        left &= np.minimum(sizes, sizes[x]) >= similarity * np.maximum(sizes, sizes[x])
+        left = np.flatnonzero(left)
+        left = left[(drawn[left] == drawn[x]).mean(axis=1) >= similarity - SKETCH_SLACK] if len(left) else left
+        if not len(left):
+            continue
+        own = flat[starts[x]:starts[x] + sizes[x]]
+        marked[own] = 1
+        n = sizes[left]
+        places = np.arange(n.sum()) + np.repeat(starts[left] - (np.cumsum(n) - n), n)
+        common = np.add.reduceat(marked[flat[places]], np.cumsum(n) - n)
+        marked[own] = 0
+        found = left[common >= similarity * (sizes[x] + n - common)]
+        joined, one = np.unique(label[found], return_index=True)
+        a.extend([int(ids[x])] * len(joined))
+        b.extend(ids[found[one]].tolist())
+        label[np.isin(label, joined)] = label[x]
+    return a, b
+
+
+def _search_entries(similarity: float):
+    """``joining_links`` of each task of a partition sorted by task; rows are (task, side, root, doc_id, sketch, hashes)."""
+    schema = arrow_schema("a long, b long")
+
+    def close(parts):
+        rows = pa.Table.from_batches(parts)
+        side, root, ids = (rows.column(i).to_numpy() for i in (1, 2, 3))
+        drawn = np.frombuffer(b"".join(rows.column(4).to_pylist()), "<u4").reshape(len(ids), -1)
+        sets = [np.frombuffer(x, "<u8") for x in rows.column(5).to_pylist()]
+        a, b = joining_links(ids, root, side, drawn, sets, similarity)
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=schema)
+
+    def run(batches):
+        held, name = [], None
+        for batch in batches:
+            tasks = batch.column(0).to_numpy(zero_copy_only=False)
+            edges = [0, *(np.flatnonzero(tasks[1:] != tasks[:-1]) + 1).tolist(), len(tasks)]
+            for s, e in zip(edges, edges[1:]):
+                if e > s and tasks[s] != name:
+                    if held:
+                        yield close(held)
+                    held, name = [], tasks[s]
+                if e > s:
+                    held.append(batch.slice(s, e - s))
+        if held:
+            yield close(held)
+
+    return run
+
+
+def _within_entries(banded: DataFrame, roots: DataFrame, made: DataFrame, docs: DataFrame, words: int, similarity: float,
+                    block: int) -> DataFrame:
+    """Links (a, b) that connect all pairs of that similarity within the entries (band, value) of ``banded``.
+
+    Entries whose documents are connected already are left alone. In the others the documents of a root form blocks of
+    about ``block`` shingles, small roots share blocks, and each block is searched against each one that is not of the
+    same root, in a task of its own.
+    """
+    entry = ["band", "value"]
+    sized = banded.join(made.select("doc_id", "size"), "doc_id").join(roots, F.col("doc_id") == F.col("node"), "left").select(
+        *entry, "doc_id", "size", F.coalesce("root", "doc_id").alias("root"))
+    sized = stored(sized, "entries")
+    groups = stored(sized.groupBy(*entry, "root").agg(F.sum("size").alias("own"), F.count("*").alias("n")), "groups")
+    # Up to three documents have been compared one by one.
+    apart = groups.groupBy(*entry).agg(F.sum("own").alias("all"), F.sum("n").alias("rows"), F.count("*").alias("roots")).filter(
+        "roots > 1 AND rows > 3").drop("rows", "roots")
+    parts = groups.drop("n").join(apart, entry).select(
+        *entry, "root", (F.col("own") > block).alias("alone"),
+        F.ceil(F.when(F.col("own") > block, F.col("own")).otherwise(F.col("all")) / block).alias("blocks"))
+    drawn = F.pmod(F.xxhash64(F.when(F.col("alone"), F.col("doc_id")).otherwise(F.col("root"))), F.col("blocks"))
+    members = stored(sized.join(parts, [*entry, "root"]).select(
+        *entry, "doc_id", "root", F.when(F.col("alone"), F.col("root")).alias("only"), drawn.alias("part")).withColumn(
+        "block", F.xxhash64("only", F.col("only").isNull(), "part")), "members")
+    blocks = stored(members.select(*entry, "block", "only").distinct(), "blocks")
+    left, right = (blocks.select(*entry, F.col("block").alias(n), F.col("only").alias(f"only_{n}")) for n in ("x", "y"))
+    tasks = left.join(right, entry).filter(
+        "x <= y AND NOT coalesce(only_x = only_y, false)").select(
+        *entry, F.xxhash64(*entry, "x", "y").alias("task"), F.explode(F.when(
+            F.col("x") == F.col("y"), F.array(F.struct(F.col("x").alias("block"), F.lit(0).alias("side")))).otherwise(F.array(
+                F.struct(F.col("x").alias("block"), F.lit(0).alias("side")),
+                F.struct(F.col("y").alias("block"), F.lit(1).alias("side"))))).alias("p")).select(
+        *entry, F.col("p.block").alias("block"), F.col("p.side").alias("side"), "task")
+    asked = members.join(tasks, [*entry, "block"]).select("task", "side", "root", "doc_id")
+
+    def make():
+        def work(batch):
+            return {"doc_id": batch.column("doc_id"),
+                    "hashes": [np.unique(shingle_hashes(t, words)).astype("<u8").tobytes() for t in batch.column("text").to_pylist()]}
+
+        return work
+
+    texts = texts_of(docs).join(members.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    hashes = stored(per_batch(texts, make, "doc_id long, hashes binary").filter(F.length("hashes") > 0), "hashes")
+    rows = asked.join(made.select("doc_id", "sketch").join(hashes, "doc_id"), "doc_id").select(
+        "task", "side", "root", "doc_id", "sketch", "hashes")
+    return rows.repartition("task").sortWithinPartitions("task").mapInArrow(_search_entries(similarity), "a long, b long")
+
+
+ENTRY_SHINGLES = 1 << 18  # of the documents that are searched together, about
+
+
+def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, block: int = ENTRY_SHINGLES) -> DataFrame:
     """(doc_id, component_id) of every document that is linked to another; component_id is the smallest of its group.
 
     Documents are linked if their sets of shingles have a Jaccard similarity of at least ``similarity``, which is computed
@@ -319,16 +440,15 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8) ->
                   .dropDuplicates(["doc_id"]).drop("copy"), "leaders")
     prints = stored(made.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     near = fingerprint_links(prints.select("fp"))
-    whole = made.join(prints, "fp").select(F.col("doc_id").alias("a"), F.col("least").alias("b"))
     across = near.join(prints.select(F.col("fp").alias("a"), F.col("least").alias("la")), "a").join(
         prints.select(F.col("fp").alias("b"), F.col("least").alias("lb")), "b").select(
         F.col("la").alias("a"), F.col("lb").alias("b"))
-    banded = made.select("doc_id", F.posexplode("bands").alias("band", "value"))
+    banded = made.select("doc_id", F.posexplode(F.concat("bands", F.array("fp"))).alias("band", "value"))
     drawn = F.struct(F.xxhash64("doc_id", "band").alias("h"), F.col("doc_id").alias("id"))
     heads = banded.groupBy("band", "value").agg(F.min(drawn).alias("one"), F.max(drawn).alias("two")).filter("one.id <> two.id")
     sampled = banded.join(heads, ["band", "value"]).select(
         F.col("doc_id").alias("a"), F.explode(F.array("one.id", "two.id")).alias("b"))
-    pairs = whole.unionByName(across).unionByName(sampled).filter("a <> b").select(
+    pairs = across.unionByName(sampled).filter("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     # The sketch drops what is far from similar; the rest is compared in full.
     both = pairs.join(made.select(F.col("doc_id").alias("a"), F.col("sketch").alias("sa")), "a").join(
@@ -343,7 +463,11 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8) ->
     roots = stored(components(_similar(first, texts, words, similarity)), "roots")
     later = stored(_apart(likely.join(first, ["a", "b"], "left_anti"), roots), "later")
     links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(
-        _similar(later, texts, words, similarity)).unionByName(
+        _similar(later, texts, words, similarity))
+    roots = stored(components(links), "roots")
+    crowded = banded.join(heads.select("band", "value"), ["band", "value"])
+    links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(
+        _within_entries(crowded, roots, made, docs, words, similarity, block)).unionByName(
         same.select(F.col("doc_id").alias("a"), F.col("leader").alias("b")))
     return components(links).select(F.col("node").alias("doc_id"), F.col("root").alias("component_id"))
 

@@ -106,6 +106,24 @@ def test_groups_of_many_copies(spark):
     assert {k: got.get(k, k) for k in made} == wanted
 
 
+def test_groups_alike_only_through_their_base(spark):
+    base = [f"w{i}" for i in range(100)]
+    rng = np.random.default_rng(8)
+    made = {5_000: base}
+    for i in range(1_000):
+        first, second = (int(x) for x in rng.choice(np.arange(5, 95), 2, replace=False))
+        made[i] = [f"e{i}" if k == first else f"f{i}" if k == second else w for k, w in enumerate(base)]
+    frame = spark.createDataFrame([(k, " ".join(v)) for k, v in made.items()], "doc_id long, text string")
+    sets = {k: set(simhash.shingles(" ".join(v), 5)) for k, v in made.items()}
+    close = lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    wanted = united(made, [(a, b) for a in sets for b in sets if b < a and close(a, b)])
+    assert sum(r == 0 for r in wanted.values()) > 990
+    # In one block, and in many that are searched against each other.
+    for block in (1 << 18, 10_000):
+        got = {r.doc_id: r.component_id for r in simhash.similar_groups(frame, block=block).collect()}
+        assert {k: got.get(k, k) for k in made} == wanted
+
+
 def test_one_of_each_over_rough_rows(spark):
     docs = documents(spark)
     kept = simhash.one_of_each(docs)
