@@ -163,6 +163,40 @@ def test_repeated_passages_are_found_and_cut(spark):
     assert len(cut[9].split()) < 150 and passage not in cut[9]
 
 
+def test_passages_just_over_fifty_words(spark):
+    import random
+
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(1, 5)))
+    docs, at = {}, {}
+    for i in range(300):
+        passage = " ".join(word() for _ in range(51))
+        for doc_id in (i, 1_000 + i):
+            head = " ".join([*(word() for _ in range(rng.randint(20, 60))), "q"]) + " "
+            docs[doc_id] = f"{head}{passage} z{doc_id} " + " ".join(word() for _ in range(rng.randint(20, 60)))
+            at[doc_id] = len(head), len(head) + len(passage)
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    spans = chunkdedup.repeated_spans(frame).collect()
+    for r in spans:
+        assert docs[r.doc_id][r.start:r.end] in docs[r.first_doc_id]
+    for i in range(300):
+        begin, end = at[1_000 + i]
+        assert any(r.doc_id == 1_000 + i and r.start <= begin and end <= r.end for r in spans), i
+    cut = {r.doc_id: r.text for r in chunkdedup.without_repeats(frame).collect()}
+    assert all(cut[i] == docs[i] for i in range(300))
+    for i in range(1_000, 1_300):
+        assert docs[i][slice(*at[i])] not in cut[i]
+
+
+def test_spans_are_passages_of_one_document(spark):
+    docs = {i: prose(500 + i, 120) for i in range(8)}
+    pieces = [docs[i].split()[40:50] for i in range(8)]
+    docs[9] = " ".join(w for p in pieces for w in p)
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    assert chunkdedup.repeated_spans(frame).count() == 0
+    assert chunkdedup.without_repeats(frame).filter("doc_id = 9").first().text == docs[9]
+
+
 def test_cutting_over_rough_rows(spark):
     docs = documents(spark)
     out = chunkdedup.without_repeats(docs)
