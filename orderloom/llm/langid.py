@@ -156,18 +156,20 @@ def train(texts: list[str], langs: list[str], seed: int = 7) -> Model:
 def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Train on at most about ``sample_rows`` rows of (doc_id, text, lang), the same ones on every run.
 
-    Rows without language or text are left out. The sample takes as many rows of each language, by a hash of doc_id.
+    Rows without language or text are left out. The sample takes as many distinct rows of each language, by a hash of
+    doc_id and text, so the bound holds for missing and repeated ids and rows too.
     """
     rows = labelled.filter("lang IS NOT NULL AND text IS NOT NULL")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    row = F.xxhash64("doc_id", "text")
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count_distinct(row).alias("n")).collect()}
     if not counts:
         return train([], [])
     share = sample_rows / len(counts)
     wanted = F.lit(False)
-    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
+    drawn = F.pmod(row, F.lit(1 << 40))
     for lang, n in counts.items():
-        wanted = wanted | ((F.col("lang") == lang) & (drawn < min(1.0, share / n) * (1 << 20)))
-    sample = rows.filter(wanted).select("doc_id", "text", "lang").toPandas().sort_values(["doc_id", "text"])
+        wanted = wanted | ((F.col("lang") == lang) & (drawn < min(1.0, share / n) * (1 << 40)))
+    sample = rows.filter(wanted).select("doc_id", "text", "lang").dropDuplicates().toPandas().sort_values(["doc_id", "text"])
     return train(sample["text"].tolist(), sample["lang"].tolist())
 
 

@@ -94,3 +94,12 @@ def test_labels_agree(spark, folder):
     rows = got.join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").collect()
     assert np.mean([r.kept for r in rows if r.quality == 1 and not r.base_failed]) > 0.99
     assert np.mean([r.kept for r in rows if r.quality == 0]) < 0.1
+
+
+def test_sample_is_bounded_for_any_ids(spark, monkeypatch):
+    rows = [(None, f"text {i} of no id", "en") for i in range(3_000)] + [(7, f"text {i} of one id", "en") for i in range(3_000)]
+    rows += [(9, "the same row", "de")] * 3_000
+    taken = []
+    monkeypatch.setattr(langid, "train", lambda texts, langs: taken.append(list(texts)))
+    langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), 400)
+    assert 120 < len(taken[0]) < 300 and taken[0].count("the same row") == 1
