@@ -14,7 +14,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_each_operator_has_one_query():
     names = list(queries.queries())
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)]
     assert {*names, "pipeline"} <= set(entry.queries()) and set(queries.oracle_sql()) <= set(names)
 
 
