@@ -4,15 +4,24 @@ from __future__ import annotations
 
 from .. import fixed
 from ..plans.history import HISTORY_RANGE
-from ..sources.schemas import INVOICES, MART
+from ..sources.schemas import INVOICES, ITEM_BYTES, MART, MART_WIDTHS
 from .standins import RUN_TS, SOME_MONTHS, ctes
 
 _SQL_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP"}
 _RUN = f"TIMESTAMP '{RUN_TS:%Y-%m-%d %H:%M:%S}'"
 
 
-def _typed(schema, given: dict[str, str]) -> str:
-    """Select list of a schema; numbers as decimal first, then as double; absent columns NULL."""
+def _within(value: str, size: int) -> str:
+    """The whole characters within the first so many bytes."""
+    longest = f"list_max(list_filter(range(1, {size + 1}), lambda k: strlen(substr({value}, 1, CAST(k AS BIGINT))) <= {size}))"
+    return f"CASE WHEN strlen({value}) <= {size} THEN {value} ELSE substr({value}, 1, {longest}) END"
+
+
+def _typed(schema, given: dict[str, str], source: str | None = None, item_bytes: bool = False) -> str:
+    """Select list of a schema; numbers as decimal first, then as double; absent columns NULL; texts cut to the source's widths."""
+    given = given | {c: f"substr({given[c]}, 1, {n})" for c, n in MART_WIDTHS.get(source, {}).items() if c in given}
+    if item_bytes:
+        given["ord_item_cd"] = _within(given["ord_item_cd"], ITEM_BYTES["ord_item_cd"])
     unknown = set(given) - set(schema.names)
     assert not unknown, unknown
     parts = []
@@ -131,7 +140,7 @@ s1_qty AS (
         "adj_ln_lc_net": "q.item_price", "adj_ln_pv": "q.item_pv", "adj_ln_bv": "q.item_bv",
         "ord_qty": "q.o_qty", "shp_qty": "q.s_qty", "update_dt": _RUN,
     }
-    select = f"SELECT {_typed(MART, cols)}\nFROM s1_qty q LEFT JOIN s1_full o ON q.ord = o.ord AND q.cid = o.cid AND q.ym = o.ym"
+    select = f"SELECT {_typed(MART, cols, 'source1', True)}\nFROM s1_qty q LEFT JOIN s1_full o ON q.ord = o.ord AND q.cid = o.cid AND q.ym = o.ym"
     return ["src1_header", "src1_line", "src1_channel", "src1_address"], body + f",\nout1 AS ({select})"
 
 
@@ -180,7 +189,7 @@ s2_all AS (
         "shp_qty": "CASE WHEN item_type <> 'MODEL' THEN shp_qty ELSE 0 END",
         "delivery_mode_cd": "shp_priority", "update_dt": _RUN,
     }
-    return ["src2_header", "src2_line", "invoices2"], body + f",\nout2 AS (SELECT {_typed(MART, cols)} FROM s2_all)"
+    return ["src2_header", "src2_line", "invoices2"], body + f",\nout2 AS (SELECT {_typed(MART, cols, 'source2')} FROM s2_all)"
 
 
 def _millionths(x: str) -> str:
@@ -262,7 +271,7 @@ s3_all AS (
         "delivery_mode_cd": "fulfillment_type", "update_dt": _RUN,
     }
     tables = ["src3_header", "src3_consignment", "src3_line", "src3_fulfilment", "src3_fees", "src3_invoice"]
-    return tables, body + f",\nout3 AS (SELECT {_typed(MART, cols)} FROM s3_all)"
+    return tables, body + f",\nout3 AS (SELECT {_typed(MART, cols, 'source3', True)} FROM s3_all)"
 
 
 def _source4() -> tuple[list[str], str]:
@@ -354,7 +363,7 @@ det AS (
         "shp_qty": "d.shp_qty", "delivery_mode_cd": "d.deliverymode", "consultant_cd": "d.consultant_id", "update_dt": _RUN,
     }
     return ctes(*tables) + body + f"""
-SELECT {_typed(MART, cols)}
+SELECT {_typed(MART, cols, "history")}
 FROM hist_demand d
 LEFT JOIN hist_country c ON d.oper_cntry_key_no = c.cntry_key_no
 LEFT JOIN (SELECT DISTINCT curcy_cd, curcy_key_no FROM hist_currency) cu ON d.curcy_key_no = cu.curcy_key_no
@@ -473,10 +482,10 @@ view_v AS (
             f"SELECT mnth_rnk, '{t}' AS src, {t} AS src_mo_yr_id, ord_mo_yr_id FROM view_v" for t in tags
         )
 
-    def after_run(aged: str, tags) -> str:
-        """What a night run leaves of the state: planned pairs done, old done ones forgotten."""
+    def after_run(aged: str, tags, most: int = 10**9) -> str:
+        """What a night run of at most so many ranks leaves of the state: planned pairs done, old done ones forgotten."""
         return view(aged, tags) + f""",
-planned AS (SELECT * FROM ({planned_of(tags)}) WHERE src_mo_yr_id > 0),
+planned AS (SELECT * FROM ({planned_of(tags)}) WHERE src_mo_yr_id > 0 AND mnth_rnk <= {most}),
 marked AS (
   SELECT a.src, a.ord_mo_yr_id, CASE WHEN p.src IS NOT NULL THEN 1 ELSE a.updt_on_last_run_flg END AS updt_on_last_run_flg
   FROM {aged} a LEFT JOIN planned p ON a.src = p.src AND a.ord_mo_yr_id = p.src_mo_yr_id),
@@ -520,7 +529,17 @@ rebuilt AS (SELECT v.ord_mo_yr_id, coalesce(max(n), 0) AS row_count
             FROM view_v v LEFT JOIN mart m ON v.ord_mo_yr_id = m.ord_mo_yr_id GROUP BY 1)
 SELECT l.*, r.row_count FROM left_over l LEFT JOIN rebuilt r ON l.ord_mo_yr_id = r.ord_mo_yr_id"""
     q["invoice_refresh_rows"] = f"""SELECT * FROM ({plans["invoice_earliest"]})
+WHERE ord_mo_yr_id IN (SELECT ord_mo_yr_id FROM ({q["months_to_reload_by_day"]}))"""
+    q["invoice_refresh_night"] = f"""SELECT * REPLACE (CAST(atm_update_dt + INTERVAL '1' HOUR AS TIMESTAMP) AS atm_update_dt) FROM ({plans["invoice_earliest"]})
 WHERE ord_mo_yr_id IN (SELECT ord_mo_yr_id FROM ({q["months_to_reload"]}))"""
+    q["daily_run_state"] = f"""
+WITH s0 AS (SELECT * FROM ({heads}{found(False)}{queued("pend_state")}) WHERE ord_mo_yr_id % 100 BETWEEN 1 AND 12)""" + after_run(
+        "s0", fixed.SOURCE_TAGS, 2) + " SELECT * FROM left_over"
+    q["control_overlap"] = events + view("event_state") + f""",
+planned AS (SELECT src, src_mo_yr_id FROM ({stacked}) WHERE mnth_rnk <= {fixed.DAY_RUN_MONTHS} AND src_mo_yr_id > 0 AND src IN ('click', 'view', 'signup')),
+marked AS (SELECT e.src, e.ord_mo_yr_id, CASE WHEN p.src IS NOT NULL THEN 1 ELSE updt_on_last_run_flg END AS f
+           FROM event_state e LEFT JOIN planned p ON e.src = p.src AND e.ord_mo_yr_id = p.src_mo_yr_id)
+SELECT src, ord_mo_yr_id, CAST(CASE WHEN f > 0 THEN f + 1 ELSE f END AS INTEGER) AS updt_on_last_run_flg, true AS refused, 3 AS version FROM marked"""
     q["history_load_twice"] = f"""
 SELECT ord_mo_yr_id, count(*) AS n, count(DISTINCT ord_id) AS n_orders, count(*) AS written FROM ({plans["history_star"]})
 WHERE ord_mo_yr_id BETWEEN {HISTORY_RANGE[0]} AND {HISTORY_RANGE[1]} GROUP BY 1"""
@@ -612,6 +631,57 @@ kept AS (SELECT {_ym("dt")} AS ord_mo_yr_id, total FROM hd
 SELECT ord_mo_yr_id, count(*) AS n, CAST(sum(total) AS DOUBLE) AS total,
        CASE WHEN ord_mo_yr_id = 202103 THEN count(*) END AS republished
 FROM kept GROUP BY ord_mo_yr_id"""
+    q |= publish_queries(groups)
+    q["invoice_fan_out"] = ctes("src3_line", "src3_invoice") + f""",
+i AS (SELECT sale_country_code, sales_order_id, CAST(order_line_id AS BIGINT) AS ln, count(*) AS n FROM src3_invoice GROUP BY ALL),
+l AS (SELECT coalesce(n, 1) AS n, i.n AS found FROM src3_line s LEFT JOIN i ON s.sale_country_code = i.sale_country_code
+      AND s.sales_order_id = i.sales_order_id AND CAST(s.order_line_id AS BIGINT) = i.ln WHERE s.affiliate_code IN ({_list(fixed.SRC3_AFFILIATES)}))
+SELECT count(*) AS rows_before, CAST(sum(n) AS BIGINT) AS rows_after, coalesce(max(found), 0) AS greatest_fan_out FROM l"""
+    q["role_one_pass"] = ctes("li") + """
+SELECT ord, ln, CAST(li.part AS BIGINT) AS part, CAST(CASE WHEN ln % 3 > 0 THEN supp END AS BIGINT) AS other, li.part + 10000000 AS none,
+       a.p_name AS name, a.p_size AS size, b.p_name AS other_name, c.p_size AS no_size
+FROM li LEFT JOIN part a ON li.part = a.p_partkey LEFT JOIN part b ON ln % 3 > 0 AND li.supp = b.p_partkey
+LEFT JOIN part c ON li.part + 10000000 = c.p_partkey"""
+    q["as_of_starts"] = ctes("lh", "hd") + """,
+s AS (SELECT nat, CAST(dt AS DATE) AS start, max(ord) AS last_ord FROM hd GROUP BY ALL)
+SELECT p.ord, p.ln, s.last_ord FROM lh p ASOF LEFT JOIN s ON p.nat = s.nat AND CAST(p.dt AS DATE) >= s.start"""
+    return q
+
+
+def publish_queries(group_of: str) -> dict[str, str]:
+    """What publishing leaves; ``group_of`` is the country group of ``nat * 10``."""
+    q: dict[str, str] = {}
+    rows = ctes("hd") + f""",
+o AS (SELECT ord, status, total, nat * 10 AS cntry, {_ym("dt")} AS ord_mo_yr_id, {group_of} AS cntry_grp FROM hd)"""
+    per_month = "SELECT '{0}' AS seen, ord_mo_yr_id, count(*) AS n, CAST(sum({1}) AS DOUBLE) AS total FROM o WHERE {2} GROUP BY ord_mo_yr_id"
+    q["publish_exchange"] = rows + " " + " UNION ALL ".join([
+        per_month.format("before", "total", "true"), per_month.format("old", "total", "true"),
+        per_month.format("after", "CASE WHEN ord_mo_yr_id = 202103 THEN 2 * total ELSE total END",
+                         "ord_mo_yr_id <> 202104 AND (ord_mo_yr_id <> 202103 OR status = 'F')")])
+    q["publish_validated"] = rows + f""",
+f AS (SELECT ord, ord_mo_yr_id, cntry_grp AS own, CASE WHEN ord % 97 = 0 THEN 'AFF_480' ELSE cntry_grp END AS cntry_grp FROM o),
+w AS (SELECT *, nullif(concat_ws('; ', CASE WHEN ord_mo_yr_id NOT IN ({_list(SOME_MONTHS)}) THEN 'another month' END,
+             CASE WHEN own <> cntry_grp THEN 'another country group' END), '') AS reject_reason FROM f)
+SELECT ord, ord_mo_yr_id, cntry_grp, reject_reason, count(reject_reason) OVER () AS n_aside FROM w"""
+    q["publish_counts"] = rows + """,
+m AS (SELECT CAST(y * 100 + m AS INTEGER) AS ym FROM range(2016, 2023) a(y), range(1, 13) b(m) WHERE y * 100 + m <= 202208 OR y * 100 + m = 202212)
+SELECT ym AS ord_mo_yr_id, count(ord) AS row_count, 1 AS of_run FROM m LEFT JOIN o ON ord_mo_yr_id = ym GROUP BY ym
+UNION ALL
+SELECT ym, count(ord), 2 FROM m LEFT JOIN o ON ord_mo_yr_id = ym AND status = 'F' WHERE ym IN (202103, 202104) GROUP BY ym"""
+    q["view_refresh"] = rows + """
+SELECT ord_mo_yr_id, status, count(*) AS n, CAST(sum(total) AS DOUBLE) AS total, count(DISTINCT cntry) AS n_countries,
+       ord_mo_yr_id = 202103 OR ord_mo_yr_id >= 202206 AS refreshed
+FROM o WHERE ord_mo_yr_id <> 202104 AND (ord_mo_yr_id <> 202103 OR status = 'F') GROUP BY ord_mo_yr_id, status"""
+    q["month_statistics"] = rows + """,
+p AS (SELECT * FROM o WHERE ord_mo_yr_id IN (202104, 202105, 202106, 202205, 202206, 202207))
+SELECT 'ord_mo_yr_id=' || ord_mo_yr_id || '/cntry_grp=' || cntry_grp AS what, CAST(NULL AS DOUBLE) AS least, CAST(NULL AS DOUBLE) AS greatest, count(*) AS n
+FROM p GROUP BY ALL
+UNION ALL SELECT 'ord', min(ord), max(ord), 0 FROM p UNION ALL SELECT 'total', min(total), max(total), 0 FROM p"""
+    q["tolerant_load"] = ctes("src1_line") + """,
+c AS (SELECT ord, ord_ln, trim(item) AS given, TRY_CAST(trim(item) AS INTEGER) AS code FROM src1_line)
+SELECT ord, ord_ln, code, CASE WHEN code IS NULL THEN given END AS code_given, CASE WHEN code IS NULL AND given IS NOT NULL THEN 'code is not int' END AS reject_reason,
+       count(*) FILTER (code IS NOT NULL OR given IS NULL) OVER () AS n_good, count(*) FILTER (code IS NULL AND given IS NOT NULL) OVER () AS n_bad FROM c"""
+    q["reload_staging"] = rows + " SELECT ord, status, CAST(total AS DOUBLE) AS total FROM o WHERE status = 'F'"
     return q
 
 

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,12 +15,12 @@ from ..functions import dates, registry, text
 from ..operators import groups, joins, ranks, shape
 from ..plans import control, invoices, source1, source3, source_map
 from ..plans.history import conform_history
-from ..plans.refresh import conform_all, daily_rebuild, history_load, invoice_refresh
+from ..plans.refresh import conform_all, daily_rebuild, daily_run, history_load, invoice_refresh, refresh_offsets
 from ..plans.source2 import conform_source2
 from ..plans.source4 import conform_source4
 from ..session import configure, working_path
-from ..sources import publish
-from ..sources.schemas import INVOICES
+from ..sources import publish, state, versions, views
+from ..sources.schemas import INVOICES, PENDING
 from .standins import RUN_TS, SOME_MONTHS, Standins
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -445,21 +446,195 @@ def ymm_roundtrip(t):
 
 # --- publishing ------------------------------------------------------------
 
+def _orders_by_month(t) -> DataFrame:
+    return t["hd"].selectExpr("ord", "status", "CAST(total AS DECIMAL(18, 2)) AS total", "nat * 10 AS cntry", "dt").select(
+        "ord", "status", "total", "cntry", dates.month_key("dt").alias("ord_mo_yr_id"), publish.country_group("cntry").alias("cntry_grp"))
+
+
+EVERY_MONTH = dates.month_range(201601, 202208)
+AGAIN = (202103, 202104)
+
+
+def _per_month(df: DataFrame, tag: str) -> DataFrame:
+    return df.groupBy("ord_mo_yr_id").agg(F.count(F.lit(1)).alias("n"), F.sum("total").alias("total")).select(F.lit(tag).alias("seen"), "*")
+
+
 @registered
 def reload_roundtrip(t):
     """Publish every month, republish two with fewer rows or none, read the table back."""
     rows = t["hd"].selectExpr("status", "total", "dt").withColumn("ord_mo_yr_id", dates.month_key("dt")).drop("dt")
     path, by_month = working_path(t.spark, "reload"), ("ord_mo_yr_id",)
-    publish.publish(rows, path, dates.month_range(201601, 202208), by_month)
+    publish.publish(rows, path, EVERY_MONTH, by_month)
     again = rows.filter((F.col("ord_mo_yr_id") == 202103) & (F.col("status") == "F"))
-    counts = publish.publish(again, path, (202103, 202104), by_month)
-    stored = t.spark.read.parquet(path).groupBy("ord_mo_yr_id").agg(
+    counts = publish.publish(again, path, AGAIN, by_month).counts
+    stored = publish.read_table(t.spark, path).groupBy("ord_mo_yr_id").agg(
         F.count(F.lit(1)).alias("n"), F.sum("total").alias("total")
     )
     written = counts.select(F.col("ord_mo_yr_id").alias("w_ym"), F.col("row_count").alias("republished"))
     return joins.lookup(stored, written, {"ord_mo_yr_id": "w_ym"})
 
 
+@registered
+def publish_exchange(t):
+    """What readers see: before an exchange of two months, while its rows are written but not yet in, after it, and of the old version."""
+    rows, path, by_month = _orders_by_month(t), working_path(t.spark, "exchange"), ("ord_mo_yr_id",)
+    first = publish.publish(rows, path, EVERY_MONTH, by_month)
+    again = rows.filter((F.col("ord_mo_yr_id") == AGAIN[0]) & (F.col("status") == "F")).withColumn("total", (F.col("total") * 2).cast("decimal(18,2)"))
+    # A run that died: its rows are all there, its manifest is not.
+    publish.deal(again.withColumn(publish.REASON, F.lit(None).cast("string")), path, by_month, "died")
+    seen = [_per_month(publish.read_table(t.spark, path), "before")]
+    publish.publish(again, path, AGAIN, by_month)
+    seen += [_per_month(publish.read_table(t.spark, path), "after"), _per_month(publish.read_table(t.spark, path, first.version), "old")]
+    return shape.stack(seen)
+
+
+@registered
+def publish_validated(t):
+    """Rows an exchange does not take: of another month, or filed under another country group; with what it took."""
+    rows, path = _orders_by_month(t), working_path(t.spark, "validated")
+    misfiled = rows.withColumn("cntry_grp", F.when(F.col("ord") % 97 == 0, F.lit("AFF_480")).otherwise(F.col("cntry_grp")))
+    done = publish.publish(misfiled, path, SOME_MONTHS, reason=publish.in_its_group("cntry"))
+    kept = publish.read_table(t.spark, path).withColumn("reject_reason", F.lit(None).cast("string"))
+    both = kept.unionByName(publish.kept_aside(t.spark, path, done.version))
+    return both.select("ord", "ord_mo_yr_id", "cntry_grp", "reject_reason", F.lit(done.aside).cast("bigint").alias("n_aside"))
+
+
+@registered
+def publish_counts(t):
+    """Rows per month that a run wrote, asked for after a later run replaced some of them."""
+    rows, path, by_month = _orders_by_month(t), working_path(t.spark, "counts"), ("ord_mo_yr_id",)
+    first = publish.publish(rows, path, (*EVERY_MONTH, 202212), by_month)
+    later = publish.publish(rows.filter(F.col("ord_mo_yr_id").isin(*AGAIN) & (F.col("status") == "F")), path, AGAIN, by_month)
+    then = publish.month_counts(t.spark, path, first.version).withColumn("of_run", F.lit(1))
+    return then.unionByName(publish.month_counts(t.spark, path, later.version).withColumn("of_run", F.lit(2)))
+
+
+def _month_view(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("ord_mo_yr_id", "status").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("total").alias("total"), F.countDistinct("cntry").alias("n_countries"))
+
+
+@registered
+def view_refresh(t):
+    """A stored view after months were replaced, emptied and added, brought up to date from these months alone."""
+    rows, path, view = _orders_by_month(t), working_path(t.spark, "base"), working_path(t.spark, "view")
+    by_month = ("ord_mo_yr_id",)
+    publish.publish(rows.filter("ord_mo_yr_id < 202206"), path, EVERY_MONTH, by_month)
+    views.refresh_view(t.spark, path, view, _month_view)
+    publish.publish(rows.filter((F.col("ord_mo_yr_id") == AGAIN[0]) & (F.col("status") == "F")), path, AGAIN, by_month)
+    publish.publish(rows.filter("ord_mo_yr_id >= 202206"), path, dates.month_range(202206, 202208), by_month)
+    done = views.refresh_view(t.spark, path, view, _month_view)
+    fresh = done.counts.select(F.col("ord_mo_yr_id").alias("r_ym"), F.lit(True).alias("refreshed"))
+    return joins.lookup(publish.read_table(t.spark, view), fresh, {"ord_mo_yr_id": "r_ym"}, default={"refreshed": False})
+
+
+@registered
+def month_statistics(t):
+    """The month-offset refresh up to its statistics: rows of each partition and bounds of columns, as the catalog tells them."""
+    rows, path, name = _orders_by_month(t), working_path(t.spark, "offsets"), f"offsets_{uuid.uuid4().hex}"
+
+    def build(months):
+        return rows.filter(F.col("ord_mo_yr_id").isin(*months))
+
+    try:
+        for ts in (RUN_TS, RUN_TS + dt.timedelta(days=7)):
+            refresh_offsets(build, path, ts, offsets=(14, 15, 2, 1), partition_cols=("ord_mo_yr_id", "cntry_grp"), table=name,
+                            columns=("ord", "total"))
+        parts = views.partition_rows(t.spark, name).selectExpr("`partition` AS what", "CAST(NULL AS DOUBLE) AS least", "CAST(NULL AS DOUBLE) AS greatest", "row_count AS n")
+        bounds = views.column_bounds(t.spark, name, ("ord", "total")).selectExpr(
+            "`column` AS what", "CAST(least AS DOUBLE) AS least", "CAST(greatest AS DOUBLE) AS greatest", "missing AS n")
+        return parts.unionByName(bounds)
+    finally:
+        t.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+@registered
+def tolerant_load(t):
+    """Item codes loaded as numbers and those that are none, dealt in one pass, with both counts."""
+    codes = t["src1_line"].selectExpr("ord", "ord_ln", "trim(item) AS code")
+    good, bad = working_path(t.spark, "good"), working_path(t.spark, "bad")
+    n_good, n_bad = publish.tolerant_load(codes, {"code": "int"}, good, bad)
+    both = t.spark.read.parquet(good).unionByName(t.spark.read.parquet(bad))
+    return both.withColumns({"n_good": F.lit(n_good).cast("bigint"), "n_bad": F.lit(n_bad).cast("bigint")})
+
+
+@registered
+def reload_staging(t):
+    """A staging table truncated and reloaded: only the second load's rows are left."""
+    rows, path = _orders_by_month(t), working_path(t.spark, "staging")
+    publish.replace_table(rows, path)
+    publish.replace_table(rows.filter("status = 'F'"), path)
+    return t.spark.read.parquet(path).select("ord", "status", "total")
+
+
+@registered
+def control_overlap(t):
+    """Control state after two runs that started from one version: the one that was late is refused and repeats on the other's."""
+    path, schema = working_path(t.spark, "control"), PENDING
+    seen = t["event_state"].select("src", "ord_mo_yr_id", "updt_on_last_run_flg")
+    state.change_state(t.spark, path, schema, lambda held: shape.conform(seen, schema))
+    late_version, late = state.read_state(t.spark, path, schema)
+    view = control.pending_view(late, EVENT_TAGS)
+    planned = control.plan_months(view, DAY_HOUR, tags=EVENT_TAGS).filter(F.col("src_mo_yr_id") > 0)
+    mine = planned.selectExpr("src", "src_mo_yr_id AS ord_mo_yr_id")
+    state.change_state(t.spark, path, schema, lambda held: control.mark_done(held, mine.filter("src IN ('click', 'view')")))
+
+    def step(held):
+        return control.age(control.mark_done(held, mine.filter("src = 'signup'")))
+
+    try:
+        state.write_state(step(late), path, late_version)
+        refused = False
+    except versions.Taken:
+        refused = True
+    version, final = state.change_state(t.spark, path, schema, step)
+    return final.withColumns({"refused": F.lit(refused), "version": F.lit(version)})
+
+
+@registered
+def invoice_fan_out(t):
+    """How the invoices of source 3 multiply its lines, counted while the plan runs."""
+    seen = Observation()
+    source3.conform_source3(_WithInvoices(t), ALL_MONTHS, RUN_TS, seen).write.format("noop").mode("overwrite").save()
+    names = ("rows_before", "rows_after", "greatest_fan_out")
+    return t.spark.createDataFrame([tuple(joins.fan_out(seen)[n] for n in names)], ", ".join(f"{n} bigint" for n in names))
+
+
+@registered
+def role_one_pass(t):
+    """Parts looked up in two roles and a missing one, with the dimension joined once."""
+    lines = t["li"].selectExpr("ord", "ln", "CAST(part AS BIGINT) AS part", "CAST(CASE WHEN ln % 3 > 0 THEN supp END AS BIGINT) AS other", "part + 10000000 AS none")
+    dim = t["part"].selectExpr("CAST(p_partkey AS BIGINT) AS p_partkey", "p_name", "p_size")
+    return joins.role_join(lines, dim, "p_partkey", {
+        "part": {"p_name": "name", "p_size": "size"}, "other": {"p_name": "other_name"}, "none": {"p_size": "no_size"}}, one_pass=True)
+
+
+@registered
+def as_of_starts(t):
+    """For each line the status of the last order that its customer's nation placed up to the line's order day: many starts a key."""
+    points = t["lh"].select("ord", "ln", "nat", F.to_date("dt").alias("day"))
+    starts = t["hd"].select("nat", F.to_date("dt").alias("start"), F.col("ord").alias("start_ord"))
+    return joins.as_of(points, starts, ["nat"], "day", "start", "start_ord", "last_ord", block=64).select("ord", "ln", "last_ord")
+
+
+@registered
+def invoice_refresh_night(t):
+    """The invoice run at night, which takes every month touched, whatever its age."""
+    path = working_path(t.spark, "invoices")
+    if invoice_refresh(t, path, RUN_TS.replace(hour=NIGHT_HOUR)) is None:
+        return t.spark.createDataFrame([], INVOICES)
+    return publish.read_published(t.spark, path, INVOICES).drop(publish.GROUP)
+
+
+@registered
+def daily_run_state(t):
+    """A night run whose control state is a versioned table: the state it leaves, after the state of a run before it."""
+    path, mart = working_path(t.spark, "control"), working_path(t.spark, "mart")
+    state.change_state(t.spark, path, PENDING, lambda held: shape.conform(t["pend_state"], PENDING))
+    run = daily_run(_WithInvoices(t), path, mart, RUN_TS.replace(hour=NIGHT_HOUR), most=2)
+    return run.state
+
+
 @registered
 def daily_rebuild_state(t):
     """A whole night run over the four sources: the control state it leaves, with the rows published for each month."""
@@ -483,8 +658,8 @@ def history_load_twice(t):
     """The history load, repeated: rows and orders of each month, and the rows the second load wrote."""
     path = working_path(t.spark, "history")
     history_load(t, path, RUN_TS)
-    counts = history_load(t, path, RUN_TS)
-    stored = t.spark.read.parquet(path).groupBy("ord_mo_yr_id").agg(
+    counts = history_load(t, path, RUN_TS).counts
+    stored = publish.read_table(t.spark, path).groupBy("ord_mo_yr_id").agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("ord_id").alias("n_orders")
     )
     written = counts.select(F.col("ord_mo_yr_id").alias("w_ym"), F.col("row_count").alias("written"))

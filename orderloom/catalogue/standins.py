@@ -86,7 +86,7 @@ SQL = {
                CASE WHEN prio = '1-URGENT' THEN 'Y' WHEN prio = '5-LOW' THEN NULL ELSE 'N' END AS comb_ord_flg,
                'I' || cast(ord as string) AS inv_nbr,
                CASE WHEN status = 'F' THEN 'EMP' ELSE status END AS ord_type,
-               seg AS drop_cd, 'W' || cast(cust % 7 as string) AS whse, 'V' || cast(cust % 5 as string) AS ord_whse,
+               CASE WHEN cust % 31 = 0 THEN repeat(seg, 40) ELSE seg END AS drop_cd, 'W' || cast(cust % 7 as string) AS whse, 'V' || cast(cust % 5 as string) AS ord_whse,
                cast(""" + _DAY.format("dt") + """ as int) AS ord_dt,
                cast((ord % 24) * 10000 + (ord % 60) * 100 + cust % 60 as int) AS ord_tm,
                CASE WHEN status = 'P' THEN 0 ELSE cast(""" + _DAY.format("(dt + INTERVAL '5' DAY)") + """ as int) END AS dlvr_dt,
@@ -153,7 +153,7 @@ SQL = {
                CASE (ln - 1) % 3 WHEN 0 THEN 'MODEL' WHEN 1 THEN 'OPTION' ELSE 'STD' END AS item_type,
                """ + _CODE + """ AS ord_item,
                """ + _FINE.format("price") + """ AS unit_sell_price, qty AS ord_qty, tax AS extend_pv_amt, price AS extend_bv_amt,
-               cast(qty - 1 as decimal(18,2)) AS shp_qty, prio AS shp_priority
+               cast(qty - 1 as decimal(18,2)) AS shp_qty, CASE WHEN part % 29 = 0 THEN repeat(prio, 40) ELSE prio END AS shp_priority
         FROM {lh}
     """,
     "invoices2": """
@@ -204,7 +204,8 @@ SQL = {
     """,
     "src3_line": """
         SELECT iso AS sale_country_code, cast(ord as string) AS sales_order_id, cast(ln as string) AS order_line_id,
-               CASE WHEN ls = 'O' THEN 'B' || lpad(cast(supp % 7 as string), 4, '0') || 'EN' ELSE NULL END AS bundle_item_id,
+               CASE WHEN ls <> 'O' THEN NULL WHEN part % 53 = 0 THEN 'B' || repeat('é', 700)
+                    ELSE 'B' || lpad(cast(supp % 7 as string), 4, '0') || 'EN' END AS bundle_item_id,
                ' ' || """ + _CODE + """ AS base_item_id, cast(""" + _FINE.format("price") + """ as string) AS line_price,
                qty AS line_pv_amount, tax AS line_bv_amount,
                CASE WHEN rf = 'N' THEN NULL ELSE qty END AS shipped_quantity, CASE WHEN rf = 'A' THEN NULL ELSE tax END AS pending_quantity,
@@ -226,7 +227,7 @@ SQL = {
     """,
     "src3_invoice": """
         SELECT h.iso AS sale_country_code, cast(l.l_orderkey as string) AS sales_order_id,
-               cast(l.l_linenumber as string) AS order_line_id, 'N' || cast(l.l_partkey as string) AS invoice_number
+               cast(l.l_linenumber as string) AS order_line_id, CASE WHEN l.l_partkey % 23 = 0 THEN 'N' || repeat('é', 300) ELSE 'N' || cast(l.l_partkey as string) END AS invoice_number
         FROM {lineitem} l JOIN {h3} h ON l.l_orderkey = h.ord WHERE l.l_returnflag = 'A'
     """,
     # --- source 4

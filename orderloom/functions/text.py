@@ -33,6 +33,16 @@ def cut(c: Column | str, n: int) -> Column:
     return F.substring(col(c), 1, n)
 
 
+def cut_bytes(c: Column | str, n: int) -> Column:
+    """The whole characters that lie within the first n bytes of the text in UTF-8."""
+    octets = col(c).cast("binary")
+    # A character that the border cuts begins at most three bytes before it; the byte after a whole one continues nothing.
+    ends = F.when(F.octet_length(octets) <= n, n)
+    for end in (n, n - 1, n - 2, n - 3):
+        ends = ends.when(~F.hex(F.substring(octets, end + 1, 1)).between("80", "BF"), end)
+    return F.when(F.octet_length(octets) <= n, col(c)).otherwise(F.decode(F.substr(octets, F.lit(1), ends), "UTF-8"))
+
+
 def to_long(c: Column | str) -> Column:
     """Text to whole number, rounding a fraction; blank is missing, other text an error."""
     return blank_to_null(c).cast("decimal(38,0)").cast("bigint")

@@ -8,10 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .joins import attach
-
-# Order values, or blocks of them, per block: what one task sorts at most, within one group.
-BLOCK = 65536
+from .joins import BLOCK, attach
 
 
 def _rows_before(counted: DataFrame, keys: Sequence[str], order: str, out: str, block: int, span: int) -> DataFrame:

@@ -13,7 +13,7 @@ from ..functions.dates import Months, day_from_key, month_from_counter, month_in
 from ..functions.text import base_item_code
 from ..operators.joins import match, role_join
 from ..operators.shape import conform
-from ..sources.schemas import MART
+from ..sources.schemas import MART, MART_WIDTHS
 
 HISTORY_RANGE = tuple(month_from_counter(n) for n in fixed.HISTORY_MONTHS)
 
@@ -99,4 +99,5 @@ def conform_history(
             f"{sql_ts(run_ts)} AS update_dt",
         ),
         MART,
+        MART_WIDTHS["history"],
     )

@@ -6,15 +6,18 @@ import datetime as dt
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions.dates import as_months, counter_from_month, month_from_counter
-from ..operators.shape import split_too_wide, stack
+from ..operators.joins import fan_out
+from ..operators.shape import stack, too_wide
 from ..session import cut_lineage
-from ..sources.publish import GROUP, MONTH, append_months, country_group, publish
-from ..sources.schemas import INVOICE_WIDTHS
+from ..sources.publish import GROUP, MONTH, Published, country_group, in_its_group, kept_aside, publish
+from ..sources.schemas import INVOICE_WIDTHS, PENDING
+from ..sources.state import change_state
+from ..sources.views import refresh_view, register_table
 from . import control
 from .history import conform_history, history_months
 from .invoices import extract_invoices, months_to_reload
@@ -27,9 +30,9 @@ Sources = Mapping[str, DataFrame]
 CONFORM = (conform_source1, conform_source2, conform_source3, conform_source4)
 
 
-def conform_all(src: Sources, months: Iterable[int] | None, run_ts: dt.datetime) -> DataFrame:
-    """Mart rows of all four sources."""
-    return stack([plan(src, months, run_ts) for plan in CONFORM])
+def conform_all(src: Sources, months: Iterable[int] | None, run_ts: dt.datetime, seen: Observation | None = None) -> DataFrame:
+    """Mart rows of all four sources; ``seen`` observes how source 3's invoices multiply its lines."""
+    return stack([plan(src, months, run_ts, **({"seen": seen} if plan is conform_source3 else {})) for plan in CONFORM])
 
 
 def grouped(df: DataFrame, country: str = "oper_cntry_id") -> DataFrame:
@@ -38,20 +41,45 @@ def grouped(df: DataFrame, country: str = "oper_cntry_id") -> DataFrame:
 
 @dataclass
 class Run:
-    """What one rebuild did: rows per month, the new control state, the report, and changes under keys that are no month."""
+    """What one rebuild did: what it published, the new control state, the report, and changes under keys that are no month.
+
+    ``fan_out`` says how source 3's invoices multiplied its lines.
+    """
 
     months: tuple[int, ...]
-    counts: DataFrame | None
+    published: Published | None
     state: DataFrame
     report: DataFrame
     strange: DataFrame
+    fan_out: dict[str, int] | None = None
+
+    @property
+    def counts(self) -> DataFrame | None:
+        """Rows per month as the run wrote them."""
+        return self.published and self.published.counts
+
+
+def _rebuild(
+    src: Sources, detected: DataFrame, path: str, run_ts: dt.datetime, day_months: int, most: int | None
+) -> tuple[Published | None, tuple[int, ...], DataFrame, DataFrame, dict[str, int] | None]:
+    """Rank, rebuild and publish the months that wait; also the view they were taken from and the pairs that are done."""
+    view = control.pending_view(detected)
+    plan = cut_lineage(control.plan_months(view, run_ts.hour, day_months=day_months, most=most))
+    months = as_months(r[0] for r in plan.select("ord_mo_yr_id").distinct().collect()) or ()
+    done = plan.filter(F.col("src_mo_yr_id") > 0).select("src", F.col("src_mo_yr_id").alias("ord_mo_yr_id"))
+    if not months:
+        return None, (), view, done, None
+    seen = Observation()
+    rows = grouped(conform_all(src, months, run_ts, seen))
+    published = publish(rows, path, months, reason=in_its_group("oper_cntry_id"))
+    return published, months, view, done, fan_out(seen)
 
 
 def daily_rebuild(
     src: Sources, state: DataFrame, path: str, run_ts: dt.datetime, day_months: int = fixed.DAY_RUN_MONTHS,
     most: int | None = None, floor: int = fixed.REOPEN_FLOOR,
 ) -> Run:
-    """Detect, rank, rebuild, publish, mark done, report, purge.
+    """Detect, rank, rebuild, publish, mark done, report, purge; the control state is a frame, and so is the new one.
 
     Every published month is rebuilt from all four sources, so a source without changes
     keeps its rows. The control state is the only thing the driver looks at, and of that at
@@ -60,60 +88,89 @@ def daily_rebuild(
     """
     changed = control.changed_months(src, run_ts, floor)
     detected = cut_lineage(control.detect(state, control.real_months(changed)))
-    view = control.pending_view(detected)
-    chosen = control.plan_months(view, run_ts.hour, day_months=day_months, most=most)
-    plan = cut_lineage(chosen)
-    months = as_months(r[0] for r in plan.select("ord_mo_yr_id").distinct().collect()) or ()
-    counts = publish(grouped(conform_all(src, months, run_ts)), path, months) if months else None
-    done = plan.filter(F.col("src_mo_yr_id") > 0).select("src", F.col("src_mo_yr_id").alias("ord_mo_yr_id"))
+    published, months, view, done, fanned = _rebuild(src, detected, path, run_ts, day_months, most)
     marked = cut_lineage(control.mark_done(detected, done))
-    report = control.status_report(marked)
     final = control.purge(marked, view, run_ts.hour)
-    return Run(months, counts, cut_lineage(final), report, control.strange_months(changed))
+    return Run(months, published, cut_lineage(final), control.status_report(marked), control.strange_months(changed), fanned)
+
+
+def daily_run(
+    src: Sources, control_path: str, path: str, run_ts: dt.datetime, day_months: int = fixed.DAY_RUN_MONTHS,
+    most: int | None = None, floor: int = fixed.REOPEN_FLOOR,
+) -> Run:
+    """The same with the control state in a versioned table that overlapping runs share.
+
+    A run changes the state twice: it queues and ages before the dear work, and marks and purges after it, each time on the newest
+    version. So neither of two overlapping runs loses what the other queued or marked.
+    """
+    spark = src["src1_header"].sparkSession
+    changed = cut_lineage(control.real_months(control.changed_months(src, run_ts, floor)))
+    _, detected = change_state(spark, control_path, PENDING, lambda held: control.detect(held, changed))
+    published, months, view, done, fanned = _rebuild(src, detected, path, run_ts, day_months, most)
+    _, marked = change_state(spark, control_path, PENDING, lambda held: control.mark_done(held, done))
+    _, final = change_state(spark, control_path, PENDING, lambda held: control.purge(held, view, run_ts.hour))
+    strange = control.strange_months(control.changed_months(src, run_ts, floor))
+    return Run(months, published, final, control.status_report(marked), strange, fanned)
 
 
 def invoice_refresh(
     src: Sources, path: str, run_ts: dt.datetime, reject_path: str | None = None
-) -> DataFrame | None:
-    """Reload every month with an invoice touched today, all in one job; rows per month.
+) -> Published | None:
+    """Reload every month with an invoice touched today, all in one job.
 
     With a ``reject_path``, rows whose texts exceed the declared widths go there with the
-    reason and the load goes on without them; otherwise every row is loaded.
+    reason and the load goes on without them; otherwise every row is loaded. The rows are made once.
     """
     found = months_to_reload(src["invoice_txn"], run_ts)
     months = as_months(r[0] for r in found.collect() if r[0] is not None)
     if not months:
         return None
-    rows = extract_invoices(src, months, run_ts)
+    rows = grouped(extract_invoices(src, months, run_ts), "cntry_id")
+    wide = None if reject_path is None else F.nullif(too_wide(INVOICE_WIDTHS), F.lit(""))
+    done = publish(rows, path, months, reason=wide)
     if reject_path is not None:
-        rows, wide = split_too_wide(cut_lineage(rows), INVOICE_WIDTHS)
-        wide.write.mode("overwrite").parquet(reject_path)
-    return publish(grouped(rows, "cntry_id"), path, months)
+        # Only what the write put aside is read again.
+        kept_aside(rows.sparkSession, path, done.version).write.mode("overwrite").parquet(reject_path)
+    return done
 
 
 def history_load(
     src: Sources, path: str, run_ts: dt.datetime, months: Iterable[int] | None = None, append: bool = False, **kw
-) -> DataFrame | None:
+) -> Published:
     """Publish the history months to the mart, in one job and one write; a rerun replaces what it wrote.
 
     ``append`` adds to what the months hold instead, so a rerun of it adds the rows again.
     """
     months = history_months() if months is None else as_months(months)
-    rows = grouped(conform_history(src, months, run_ts, **kw))
-    if append:
-        append_months(rows, path)
-        return None
-    return publish(rows, path, months)
+    return publish(grouped(conform_history(src, months, run_ts, **kw)), path, months, add=append)
+
+
+@dataclass
+class Offsets:
+    """What a month-offset refresh did: the months it published, those its catalog table took up, its view's refresh."""
+
+    published: Published
+    registered: tuple[int, ...] | None = None
+    view: Published | None = None
 
 
 def refresh_offsets(
     build: Callable[[tuple[int, ...]], DataFrame], path: str, run_ts: dt.datetime, offsets: Iterable[int] = (2, 1),
-    partition_cols: Iterable[str] = (MONTH,),
-) -> DataFrame:
-    """Rebuild the months that lie the given numbers of months before the run, and publish them.
-
-    ``build`` makes the rows of a list of months; what it selects is the caller's.
+    partition_cols: Iterable[str] = (MONTH,), table: str | None = None, columns: Iterable[str] = (),
+    view: tuple[str, Callable[[DataFrame], DataFrame]] | None = None,
+) -> Offsets:
+    """Rebuild the months that lie the given numbers of months before the run: publish them, then statistics, then the view.
+
+    ``build`` makes the rows of a list of months; what it selects is the caller's. ``table`` names a catalog table over the
+    published months, with statistics of its partitions and of ``columns``. ``view`` is a path and what makes a
+    stored view's rows of the published ones.
     """
     now = counter_from_month(run_ts.year * 100 + run_ts.month)
     months = as_months(month_from_counter(now - o) for o in offsets)
-    return publish(build(months), path, months, partition_cols)
+    rows = build(months)
+    done = Offsets(publish(rows, path, months, partition_cols))
+    if table is not None:
+        done.registered = register_table(rows.sparkSession, table, path, tuple(columns))
+    if view is not None:
+        done.view = refresh_view(rows.sparkSession, path, *view)
+    return done

@@ -14,7 +14,7 @@ from ..functions.text import base_item_code, cut, first_filled, to_long
 from ..operators.groups import value_from_row
 from ..operators.joins import attach, lookup, match
 from ..operators.shape import conform
-from ..sources.schemas import MART
+from ..sources.schemas import ITEM_BYTES, MART, MART_WIDTHS
 
 
 def _headers(header: DataFrame, months: Months) -> DataFrame:
@@ -146,4 +146,5 @@ def conform_source1(src: Mapping[str, DataFrame], months: Months, run_ts: dt.dat
             f"{sql_ts(run_ts)} AS update_dt",
         ),
         MART,
+        MART_WIDTHS["source1"], ITEM_BYTES,
     )

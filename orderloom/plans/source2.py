@@ -15,7 +15,7 @@ from ..operators.groups import value_from_row
 from ..operators.joins import attach, match
 from ..operators.ranks import rank_in_group
 from ..operators.shape import conform
-from ..sources.schemas import MART
+from ..sources.schemas import MART, MART_WIDTHS
 
 
 def to_mart_clock(ts: Column | str) -> Column:
@@ -127,4 +127,5 @@ def conform_source2(src: Mapping[str, DataFrame], months: Months, run_ts: dt.dat
             f"{sql_ts(run_ts)} AS update_dt",
         ),
         MART,
+        MART_WIDTHS["source2"],
     )

@@ -5,16 +5,16 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions.dates import Months, day_key, in_months, month_key, sql_ts
 from ..functions.text import NUMBER, base_item_code, digits_to_long, recode, share_of, to_long, try_to_long
 from ..operators.groups import with_group
-from ..operators.joins import attach, match
+from ..operators.joins import among_keys, attach, attach_observed, match
 from ..operators.shape import conform
-from ..sources.schemas import MART
+from ..sources.schemas import ITEM_BYTES, MART, MART_WIDTHS
 
 
 def _in_scope(df: DataFrame) -> DataFrame:
@@ -84,8 +84,10 @@ def order_fees(fees: DataFrame) -> DataFrame:
     )
 
 
-def conform_source3(src: Mapping[str, DataFrame], months: Months, run_ts: dt.datetime) -> DataFrame:
-    """Mart rows of source 3.
+def conform_source3(
+    src: Mapping[str, DataFrame], months: Months, run_ts: dt.datetime, seen: Observation | None = None
+) -> DataFrame:
+    """Mart rows of source 3. ``seen`` observes how far the invoices, several of which may belong to a line, multiply the lines.
 
     Reads src3_header, src3_consignment, src3_line, src3_fulfilment, src3_fees, src3_invoice.
     """
@@ -101,22 +103,30 @@ def conform_source3(src: Mapping[str, DataFrame], months: Months, run_ts: dt.dat
     ours = {"ord_id": "ord_id", "sale_country_code": "iso_country_code"}
     lines = line if months is None else match(line, heads, ours, "left_semi")
 
+    def of_ours(child: DataFrame) -> DataFrame:
+        """Rows of a child table that may belong to an order of the months, before anything is grouped."""
+        if months is None:
+            return child
+        numbered = child.withColumn("__ord", try_to_long("sales_order_id"))
+        return among_keys(numbered, heads, {"__ord": "ord_id", "sale_country_code": "iso_country_code"}).drop("__ord")
+
     shipped = (
-        src["src3_fulfilment"]
+        of_ours(src["src3_fulfilment"])
         .filter(F.col("sale_country_code").isin(*fixed.SRC3_FULFILMENT_COUNTRIES))
         .groupBy(*order, F.col("order_line_id").alias("ln_id"))
         .agg(F.max("fulfilled_date").alias("shp_dt"))
     )
     line_key = [*order, "ln_id"]
     full = attach(lines, shipped.dropna(subset=line_key), line_key)
-    invoices = src["src3_invoice"].withColumn("ln_id", try_to_long("order_line_id")).selectExpr(
+    invoices = of_ours(src["src3_invoice"]).withColumn("ln_id", try_to_long("order_line_id")).selectExpr(
         *order, "ln_id", "invoice_number AS inv_cd"
     )
-    full = attach(full, invoices.dropna(subset=line_key), line_key)
+    invoices = invoices.dropna(subset=line_key)
+    full = attach(full, invoices, line_key) if seen is None else attach_observed(full, invoices, line_key, seen)
 
     # Everything known per order meets at order grain; the lines are joined to it once, last.
     per_order = lines.groupBy(*order, "ord_id").agg(F.sum("price").alias("price_total"))
-    per_order = attach(per_order, order_fees(_in_scope(src["src3_fees"])).dropna(subset=order), order)
+    per_order = attach(per_order, order_fees(of_ours(_in_scope(src["src3_fees"]))).dropna(subset=order), order)
     per_order = match(per_order, orders, {"ord_id": "h_ord", "sale_country_code": "h_cntry"}, "inner")
     full = attach(full.drop("ord_id"), per_order, order, "inner")
 
@@ -151,4 +161,5 @@ def conform_source3(src: Mapping[str, DataFrame], months: Months, run_ts: dt.dat
             f"{sql_ts(run_ts)} AS update_dt",
         ),
         MART,
+        MART_WIDTHS["source3"], ITEM_BYTES,
     )

@@ -14,7 +14,7 @@ from ..functions.text import (
     base_item_code, blank_to_null, join_text, pad_name, sql_list, text_number, to_long, try_to_long,
 )
 from ..operators.groups import first_of_group
-from ..operators.joins import attach, match
+from ..operators.joins import among_keys, attach, match
 from ..operators.shape import conform
 from ..sources.schemas import MART
 
@@ -111,7 +111,11 @@ def conform_source4(src: Mapping[str, DataFrame], months: Months, run_ts: dt.dat
     lines = first_of_group(lines, ["ym", "cntry", "ord_no", "item"], "ord_ln_no", quantity, "ordered")
 
     # The narrow lines meet the shipments first, the many order columns come in last.
-    shipped = attach(lines, _last_shipments(src["src4_consignment"]), ["intgrt_cntry_cd", "ord_id"])
+    consignment = src["src4_consignment"]
+    if months is not None:
+        numbered = consignment.withColumn("__ord", try_to_long("ord_no"))
+        consignment = among_keys(numbered, orders.select("h_ord"), {"__ord": "h_ord"}).drop("__ord")
+    shipped = attach(lines, _last_shipments(consignment), ["intgrt_cntry_cd", "ord_id"])
     full = match(shipped, orders, {"ord_id": "h_ord", "l_cntry_id": "oper_cntry_id", "ym": "ord_mo_yr_id"}, "inner")
     shp_dt = F.expr(f"""
         CASE WHEN intgrt_cntry_cd IN ({sql_list(fixed.SRC4_CONSIGNMENT_COUNTRIES)}) OR ym >= {fixed.FIRST_MONTH_NEW}

@@ -43,6 +43,18 @@ INVOICES = _schema("""
 # Declared widths of the invoice table's texts.
 INVOICE_WIDTHS = {"trx_sourc_cd": 3, "ord_bus_natr_cd": 3, "invoice_cd": 240}
 
+# Widths the plans cut the mart's texts to, by source: in characters, and for the ordered item in bytes.
+_WIDE = 240
+MART_WIDTHS = {
+    "source1": dict.fromkeys(("inv_cd", "ord_channel", "whse_cd", "ord_whse_cd", "shp_postal_cd", "ord_type_cd", "drop_cd",
+                              "ord_ln_disp_cd", "shp_item_cd"), _WIDE),
+    "source2": dict.fromkeys(("ord_channel", "whse_cd", "shp_postal_cd", "ord_type_cd", "ord_ln_disp_cd", "delivery_mode_cd",
+                              "ord_item_cd", "shp_item_cd", "ord_item_base_cd", "shp_item_base_cd"), _WIDE),
+    "source3": dict.fromkeys(("inv_cd", "ord_channel", "whse_cd", "ord_whse_cd", "shp_postal_cd", "delivery_mode_cd", "shp_item_cd"), _WIDE),
+    "history": {"inv_cd": _WIDE},
+}
+ITEM_BYTES = {"ord_item_cd": 960}
+
 PENDING = _schema("src string, ord_mo_yr_id int, updt_on_last_run_flg int")
 
 # Columns the plans read from each source table.
