@@ -22,10 +22,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, per_batch, texts_of
+from .common import arrow_schema, drop_stored, per_batch, stored, texts_of
 from .libids import library_ids
 
 BLOCK_IDS = 262_144
+# Ids of a shard at most, about; and how few are worth a shard of their own while there are fewer shards than partitions.
+SHARD_IDS, SPREAD_IDS = 1 << 26, 1 << 22
+# Shards whose places are sent to every task that reads blocks.
+SENT_SHARDS = 250_000
 SCHEMA = ("shard int, block int, first long, n_ids long, width int, doc_ids array<long>, starts array<long>, "
           "packed binary")
 
@@ -60,36 +64,54 @@ def unpack(packed: bytes, width: int, start: int, count: int) -> np.ndarray:
     return whole.view(">u4").ravel().astype(np.uint32)
 
 
-def _blocks(path: str, end_id: int, block_ids: int):
-    """Blocks of one shard, from its documents in order."""
-    schema = arrow_schema(SCHEMA)
+def _narrow(size: int) -> str:
+    """Numpy type that ids below ``size`` travel in."""
+    return "<u2" if size <= 1 << 16 else "<u4"
 
-    def block(shard, number, first, width, doc_ids, lengths, parts):
-        ids = np.frombuffer(b"".join(parts), "<u4")
+
+def _encoded(docs: DataFrame, path: str, end_id: int) -> DataFrame:
+    """(doc_id, place, n_ids, ids): the ids of every text and its end, narrow; places tell rows of one doc_id apart."""
+
+    def make():
+        words = library_ids(path)
+        kind, end = _narrow(max(words.size, end_id + 1)), np.array([end_id], "<u4").tobytes()
+
+        def work(batch):
+            ids = [np.frombuffer(words.encode(text.as_py()) + end, "<u4").astype(kind) for text in batch.column(1)]
+            return {"doc_id": batch.column(0), "place": batch.column(2), "n_ids": [len(i) for i in ids], "ids": [i.tobytes() for i in ids]}
+
+        return work
+
+    rows = texts_of(docs).withColumn("place", F.monotonically_increasing_id())
+    return per_batch(rows, make, "doc_id long, place long, n_ids long, ids binary")
+
+
+def _blocks(size: int, block_ids: int):
+    """Blocks of one shard, from its documents' ids in order."""
+    schema, kind, width = arrow_schema(SCHEMA), _narrow(size), width_of(size)
+
+    def block(shard, number, first, doc_ids, lengths, parts):
+        ids = np.frombuffer(b"".join(parts), kind)
         starts = np.concatenate([[0], np.cumsum(lengths[:-1])]).astype(np.int64)
         row = {"shard": [shard], "block": [number], "first": [first], "n_ids": [len(ids)], "width": [width],
                "doc_ids": [doc_ids], "starts": [starts.tolist()], "packed": [pack(ids, width)]}
         return pa.RecordBatch.from_arrays([pa.array(row[f.name], f.type) for f in schema], schema=schema)
 
     def run(batches):
-        words = library_ids(path)
-        width = width_of(max(words.size, end_id + 1))
-        end = np.array([end_id], "<u4").tobytes()
         shard, number, first = TaskContext.get().partitionId(), 0, 0
         doc_ids, lengths, parts, held = [], [], [], 0
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = words.encode(text) + end
-                if held and held + len(ids) // 4 > block_ids:
-                    yield block(shard, number, first, width, doc_ids, lengths, parts)
+            for doc_id, n, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                if held and held + n > block_ids:
+                    yield block(shard, number, first, doc_ids, lengths, parts)
                     number, first = number + 1, first + held
                     doc_ids, lengths, parts, held = [], [], [], 0
                 doc_ids.append(doc_id)
-                lengths.append(len(ids) // 4)
-                parts.append(ids)
-                held += len(ids) // 4
+                lengths.append(n)
+                parts.append(ids.as_py())
+                held += n
         if held:
-            yield block(shard, number, first, width, doc_ids, lengths, parts)
+            yield block(shard, number, first, doc_ids, lengths, parts)
 
     return run
 
@@ -100,12 +122,20 @@ def write_ids(docs: DataFrame, out: str, path: str, end_id: int, shards: int | N
 
     Missing texts are empty (the end id alone). Rows without doc_id come first; rows of one doc_id lie side by side. A text
     larger than a block makes a block of its own. Other columns are ignored; an empty table makes an empty folder.
+    Texts are encoded where they are read; only their ids, two bytes each where the vocabulary allows, are stored and
+    dealt to the shards, whose number follows from the ids there are unless it is given.
     """
     spark = docs.sparkSession
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = ["doc_id", F.xxhash64("text")]
-    rows = texts_of(docs).repartitionByRange(shards, *order).sortWithinPartitions(*order)
-    rows.mapInArrow(_blocks(path, end_id, block_ids), SCHEMA).write.parquet(out)
+    rows = stored(_encoded(docs, path, end_id), "encoded", "zstd")
+    if shards is None:
+        total = rows.agg(F.sum("n_ids")).first()[0] or 0
+        some = min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // SPREAD_IDS))
+        shards = max(1, some, -(-total // SHARD_IDS))
+    size = max(library_ids(path).size, end_id + 1)
+    # Places break ties, so rows that share an id, or have none, are dealt to several shards as well.
+    ordered = rows.repartitionByRange(shards, "doc_id", "place").sortWithinPartitions("doc_id", "place").select("doc_id", "n_ids", "ids")
+    ordered.mapInArrow(_blocks(size, block_ids), SCHEMA).write.option("compression", "zstd").parquet(out)
+    drop_stored(rows)
 
 
 def read_blocks(spark, out: str) -> DataFrame:
@@ -114,8 +144,8 @@ def read_blocks(spark, out: str) -> DataFrame:
     # One row a shard, so the unpartitioned window holds as many rows as there are files.
     totals = blocks.groupBy("shard").agg(F.sum("n_ids").alias("ids"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    base = totals.select("shard", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("base"))
-    return blocks.join(base, "shard")
+    base = stored(totals.select("shard", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("base")), "bases")
+    return blocks.join(F.broadcast(base) if base.count() <= SENT_SHARDS else base, "shard")
 
 
 def read_ids(spark, out: str) -> DataFrame:
