@@ -20,11 +20,12 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, stored, texts_of
+from ..operators.joins import among_keys
+from .common import arrow_schema, drop_stored, stored, texts_of
 
 WINDOW = 16
-CUT_BITS = 5
-LEAST, MOST = 16, 128
+CUT_BITS = 7
+LEAST, MOST = 32, 512
 MIN_WORDS = 16
 ANCHOR_RUNS = 35
 SLICE = 1 << 20
@@ -186,10 +187,12 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     texts have no spans and count nowhere; repeated rows are one
     document; of two texts under one id each is held against the documents of smaller ids. Other columns are ignored.
     """
-    found = chunks(docs)
+    found = stored(chunks(docs), "chunks")
     kind = ["d1", "d2", "anchor"]
+    # Digests and ids alone are grouped; places follow for digests that repeat.
     first = found.groupBy(*kind).agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last_doc_id"))
-    repeats = found.join(first.filter("first_doc_id < last_doc_id").drop("last_doc_id"), kind).filter("doc_id > first_doc_id")
+    first = stored(first.filter("first_doc_id < last_doc_id").drop("last_doc_id"), "repeated")
+    repeats = among_keys(found, first, {"d1": "d1", "d2": "d2"}).join(first, kind).filter("doc_id > first_doc_id")
     order = Window.partitionBy("doc_id", "text_hash", "anchor").orderBy("start")
     once = repeats.select("doc_id", "text_hash", "start", "end", "words", "anchor", "first_doc_id",
                           F.lag("start").over(order).alias("same"), F.lag("end").over(order).alias("before"))
@@ -199,6 +202,8 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     seeds = once.withColumn("run", run).withColumn("n", F.sum("words").over(whole)).filter(F.col("anchor") | (F.col("n") >= min_words))
     seeds = stored(seeds.groupBy("doc_id", "text_hash", "first_doc_id").agg(
         F.collect_list(F.struct("start", "end")).alias("seeds")), "seeds")
+    drop_stored(found)
+    drop_stored(first)
     named = seeds.select(F.explode(F.array("doc_id", "first_doc_id")).alias("doc_id")).distinct()
     texts = stored(texts_of(docs).filter("text <> ''").join(named, "doc_id", "left_semi").withColumn(
         "text_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "text_hash"]), "texts")
