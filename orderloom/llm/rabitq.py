@@ -160,7 +160,8 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
 
     ``vectors`` has vec_id and embedding. Vectors that are missing, zero or hold a missing or non-finite component, rows
     without id, and vectors of another dimension than most take no part. Copies of a row (same id and vector) count
-    once. score is the Euclidean distance in double precision; ties go to the smaller id. Other columns are ignored.
+    once; vectors under one id are candidates of their own, and none of them is its own query's neighbour. Every query visits lists
+    that hold k others, if there are as many. score is the Euclidean distance in double precision; ties go to the smaller id. Other columns are ignored.
     """
     spark = vectors.sparkSession
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -181,7 +182,8 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
     made = fit(sample, int(min(1024, total**0.5)), k)
     index = spark.sparkContext.broadcast(made)  # at most 1024 centroids and one rotation
 
-    def assign(visits: int):
+    def assign(visits: int, sizes: np.ndarray | None = None, least: int = 0):
+        """Lists each vector goes to: its ``visits`` nearest ones, and further ones until they hold ``least`` vectors."""
         schema = arrow_schema("vec_id long, v array<double>, lists array<int>")
 
         def run(batches):
@@ -190,10 +192,13 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
                 for at in range(0, batch.num_rows, 2048):
                     part = batch.slice(at, 2048)
                     v = part.column(1).flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, -1)
-                    order = np.argsort(squared(v, centroids), axis=1)[:, :visits].astype(np.int32)
+                    order = np.argsort(squared(v, centroids), axis=1).astype(np.int32)
+                    taken = np.full(len(order), visits)
+                    if sizes is not None:
+                        taken = np.maximum(taken, (np.cumsum(sizes[order], axis=1) < least).sum(axis=1) + 1)
                     yield pa.RecordBatch.from_arrays(
                         [part.column(0), part.column(1).cast(schema.field(1).type),
-                         pa.array(list(order), schema.field(2).type)], schema=schema)
+                         pa.array([o[:n] for o, n in zip(order, taken)], schema.field(2).type)], schema=schema)
 
         return run
 
@@ -202,9 +207,14 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
     filed = stored(filed, "filed")
     # A list larger than a block is dealt over several; their number is a row a list.
     blocks = filed.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    counts = np.zeros(len(made.centroids), np.int64)
+    for r in filed.groupBy("list").count().collect():
+        counts[r["list"]] = r["count"]
+    # A query is no neighbour of its own, under however many vectors its id stands.
+    own = once.groupBy("vec_id").count().agg(F.max("count")).first()[0]
     held = filed.join(blocks, "list").select(
         "list", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("role"), "vec_id", "v")
-    asked = good.filter(F.col("vec_id") % every == 0).dropDuplicates(["vec_id", "v"]).mapInArrow(assign(made.visits), ddl)
+    asked = good.filter(F.col("vec_id") % every == 0).dropDuplicates(["vec_id", "v"]).mapInArrow(assign(made.visits, counts, k + own), ddl)
     visits = asked.select("vec_id", "v", F.explode("lists").alias("list")).join(blocks, "list").select(
         "list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("role"), "vec_id", "v")
     rows = held.unionByName(visits).repartition("list", "block").sortWithinPartitions("list", "block", "role")

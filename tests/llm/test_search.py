@@ -139,3 +139,16 @@ def test_bounds_hold():
     low, high = rabitq.bounds(*rabitq.encode(v, c, rotation), q, c, rotation)
     true = ((v - q) ** 2).sum(1)
     assert ((low <= true) & (true <= high)).mean() > 0.99
+
+
+def test_outliers_find_as_many_neighbours_as_there_are(spark):
+    rng = np.random.default_rng(4)
+    dense = rng.normal(size=(1500, 8)) * 0.01
+    far = rng.normal(size=(40, 8)) * 100
+    rows = [(i + 1, v.tolist()) for i, v in enumerate(dense)] + [(100 * (i + 1) + 100_000, v.tolist()) for i, v in enumerate(far)]
+    rows += [(100_100, (far[0] + 1).tolist()), (100_100, (far[0] + 2).tolist())]
+    got = rabitq.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    found = {}
+    for r in got:
+        found.setdefault(r.query_id, []).append(r.vec_id)
+    assert all(len(v) == 10 and q not in v for q, v in found.items() if q != 100_100) and len(found) == 55 and 100_100 not in found[100_100]
