@@ -475,13 +475,25 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, blo
 def one_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """The rows of docs less all but the smallest doc_id of each group of similar texts; repeated rows stay once.
 
-    Rows without doc_id stay as they are.
+    Different texts under one id are documents of their own: one of them goes by the id, the others count as larger than
+    every id below 2**62 and are told by 62 bits of a hash. Rows without doc_id stay as they are.
     """
-    groups = similar_groups(docs, words, similarity)
+    doc_id, text = F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit(""))
+    digests = docs.filter("doc_id IS NOT NULL").groupBy(doc_id.alias("_id")).agg(
+        F.min(F.xxhash64(text)).alias("_one"), F.max(F.xxhash64(text)).alias("_other"), F.count("*").alias("_n"))
+    shared = stored(digests.filter("_n > 1").select("_id", "_one", "_n", (F.col("_one") < F.col("_other")).alias("_differ")), "shared")
+    named = docs.withColumn("_key", doc_id)
+    if not shared.filter("_differ").isEmpty():
+        other = F.col("_differ") & (F.xxhash64(text) != F.col("_one"))
+        own = F.xxhash64(doc_id, text).bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+        named = docs.join(shared, doc_id == F.col("_id"), "left").withColumn(
+            "_key", F.when(other, own).otherwise(doc_id)).select(*[F.col(f"`{c}`") for c in docs.columns], "_key")
+    groups = similar_groups(named.select(F.col("_key").alias("doc_id"), text.alias("text")), words, similarity)
     gone = groups.filter("component_id < doc_id").select(F.col("doc_id").alias("_gone"))
-    rest = docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
-    twice = docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 AND doc_id IS NOT NULL").select(
-        F.col("doc_id").alias("_twice"))
-    again = F.col("doc_id") == F.col("_twice")
+    rest = named.join(gone, F.col("_key") == F.col("_gone"), "left_anti")
+    if shared.isEmpty():
+        return rest.drop("_key")
+    twice = shared.select(F.col("_id").alias("_twice"))
+    again = doc_id == F.col("_twice")
     return rest.join(twice, again, "left_anti").unionByName(
-        rest.join(twice, again, "left_semi").dropDuplicates(["doc_id"]))
+        rest.join(twice, again, "left_semi").dropDuplicates(["_key"])).drop("_key")

@@ -206,3 +206,16 @@ def test_cutting_over_rough_rows(spark):
     assert by_id[3].text == texts()[3]
     assert chunkdedup.without_repeats(nothing(spark)).count() == 0
     assert chunkdedup.repeated_spans(nothing(spark)).count() == 0
+
+
+def test_different_texts_of_one_id_all_stay(spark):
+    a, b, c = prose(1, 80), prose(2, 80), prose(3, 80)
+    rows = [(1, a, "x"), (1, b, "x"), (1, a, "x"), (2, c, "y"), (3, a + " more", "z"), (4, b + " more", "z"), (None, a, "n"), (5, None, "e"), (5, "", "e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = simhash.one_of_each(docs)
+    assert got.columns == docs.columns
+    kept = sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
+    # Of the id 1 one text goes by the id and the other counts as large, so one of the documents 3 and 4 is the smaller copy.
+    assert (None, a) in kept and (2, c) in kept and {t for i, t in kept if i == 1} <= {a, b}
+    assert sum(t in (a, a + " more") for i, t in kept if i) == 1 and sum(t in (b, b + " more") for i, t in kept if i) == 1
+    assert sum(not t for _, t in kept) == 1 and len(kept) == 5
