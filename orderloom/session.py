@@ -23,6 +23,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # Wide mart projections outgrow what HotSpot compiles; past its limit leave whole-stage code.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Python gets and keeps texts in pieces of bounded size, whatever their length.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
     # Line tables carry no month, only their headers do.
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
 }
