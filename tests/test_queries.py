@@ -31,6 +31,12 @@ def test_query_equals_its_sql(spark, con, name):
     assert check.compare(known.queries()[name](spark, SF), con, oracle.oracle_sql()[name]) == ""
 
 
+@pytest.mark.parametrize("name", ["invoice_refresh_rows", "invoice_refresh_night", "control_overlap", "daily_run_state"])
+def test_runs_equal_their_sql_where_day_and_night_differ(spark, name):
+    folder = "/root/testdata/sf0.01"
+    assert check.compare(known.queries()[name](spark, folder), check.connect(folder), oracle.oracle_sql()[name]) == ""
+
+
 def test_entry_gives_mart_rows(spark):
     df = entry.entry(spark)
     assert df.columns[0] == "oper_aff_id" and len(df.columns) == 46 and df.limit(1).count() == 1
