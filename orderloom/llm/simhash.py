@@ -215,6 +215,7 @@ BANDS, BAND_SHINGLES = 20, 4
 _RNG = np.random.default_rng(SEED)
 _FACTORS = _RNG.integers(1, 1 << 63, BANDS * BAND_SHINGLES, dtype=np.uint64) | np.uint64(1)
 SKETCH_SLACK = 0.2  # how far the sketch may lie below the wanted similarity before a pair is compared in full
+ROUNDING = 1e-6  # left to fractions of a number of shingles
 
 
 def sketch(hashes: np.ndarray) -> np.ndarray:
@@ -299,19 +300,23 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return pairs.filter("coalesce(root_a, a) <> coalesce(root_b, b)").select("a", "b")
 
 
-def joining_links(ids, labels, sides, drawn, sets, similarity: float) -> tuple[list[int], list[int]]:
+def joining_links(ids, labels, sides, places, sets, similarity: float) -> tuple[list[int], list[int]]:
     """Links of at least that similarity which connect all such pairs of documents, given by the hashes of their shingles.
 
     Documents of one label are connected already. If there are two sides, pairs are of one side and the other, else all.
+    ``places`` says where in each document's order the shingle stands that brings all of them together (from 1): a pair that
+    has it as the first in common shares no more than what follows, and is left to another shingle where that is too little.
     A link joins two labels, so there are fewer links than labels.
     """
     flat = np.concatenate(sets)
     _, flat = np.unique(flat, return_inverse=True)
     sizes = np.array([len(x) for x in sets])
+    follow = sizes - places + 1
     starts = np.cumsum(sizes) - sizes
     marked = np.zeros(int(flat.max()) + 1, np.int32)
     label = np.unique(labels, return_inverse=True)[1]
     second = sides == 1
+    share = similarity / (1 + similarity)
     a, b = [], []
     for x in np.flatnonzero(~second).tolist():
         left = label != label[x]
@@ -319,16 +324,15 @@ def joining_links(ids, labels, sides, drawn, sets, similarity: float) -> tuple[l
             left &= second
         else:
             left[:x] = False
-        left &= np.minimum(sizes, sizes[x]) >= similarity * np.maximum(sizes, sizes[x])
+        left &= np.minimum(follow, follow[x]) >= share * (sizes + sizes[x]) - ROUNDING
         left = np.flatnonzero(left)
-        left = left[(drawn[left] == drawn[x]).mean(axis=1) >= similarity - SKETCH_SLACK] if len(left) else left
         if not len(left):
             continue
         own = flat[starts[x]:starts[x] + sizes[x]]
         marked[own] = 1
         n = sizes[left]
-        places = np.arange(n.sum()) + np.repeat(starts[left] - (np.cumsum(n) - n), n)
-        common = np.add.reduceat(marked[flat[places]], np.cumsum(n) - n)
+        at = np.arange(n.sum()) + np.repeat(starts[left] - (np.cumsum(n) - n), n)
+        common = np.add.reduceat(marked[flat[at]], np.cumsum(n) - n)
         marked[own] = 0
         found = left[common >= similarity * (sizes[x] + n - common)]
         joined, one = np.unique(label[found], return_index=True)
@@ -339,15 +343,14 @@ def joining_links(ids, labels, sides, drawn, sets, similarity: float) -> tuple[l
 
 
 def _search_entries(similarity: float):
-    """``joining_links`` of each task of a partition sorted by task; rows are (task, side, root, doc_id, sketch, hashes)."""
+    """``joining_links`` of each task of a partition sorted by task; rows are (task, side, root, doc_id, place, hashes)."""
     schema = arrow_schema("a long, b long")
 
     def close(parts):
         rows = pa.Table.from_batches(parts)
-        side, root, ids = (rows.column(i).to_numpy() for i in (1, 2, 3))
-        drawn = np.frombuffer(b"".join(rows.column(4).to_pylist()), "<u4").reshape(len(ids), -1)
-        sets = [np.frombuffer(x, "<u8") for x in rows.column(5).to_pylist()]
-        a, b = joining_links(ids, root, side, drawn, sets, similarity)
+        side, root, ids, places = (rows.column(i).to_numpy() for i in (1, 2, 3, 4))
+        sets = [np.frombuffer(x, "<i8") for x in rows.column(5).to_pylist()]
+        a, b = joining_links(ids, root, side, places, sets, similarity)
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=schema)
 
     def run(batches):
@@ -368,51 +371,85 @@ def _search_entries(similarity: float):
     return run
 
 
-def _within_entries(banded: DataFrame, roots: DataFrame, made: DataFrame, docs: DataFrame, words: int, similarity: float,
-                    block: int) -> DataFrame:
+def meeting_places(sets: DataFrame, similarity: float) -> DataFrame:
+    """(shingle, doc_id, root, size, place): where documents (doc_id, root, shingles) of two roots meet if they are similar.
+
+    A document's shingles are ordered by how many documents have them, those that one root alone has before all others. Two
+    documents of n and m shingles that are similar share s / (1 + s) of n + m, so the first that they share stands early enough
+    in both; a document is filed under no later one, and under none of its root alone. What is made of a common passage
+    and more than a fifth of its own is in no entry, however many have the passage.
+    """
+    spread = sets.select("doc_id", "root", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle"))
+    common = spread.groupBy("shingle").agg(
+        F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("most")).filter("least < most")
+    ordered = spread.join(common.select("shingle", "n"), "shingle").groupBy("doc_id", "root", "size").agg(
+        F.array_sort(F.collect_list(F.struct("n", "shingle"))).alias("known"))
+    alone = F.col("size") - F.size("known")
+    early = (F.col("size") - F.ceil(F.col("size") * similarity - ROUNDING) - alone + 1).cast("int")
+    filed = stored(ordered.withColumn("early", early).filter("early > 0").select(
+        "doc_id", "root", "size", alone.alias("alone"), F.posexplode(F.slice("known", F.lit(1), F.col("early"))).alias("k", "e")).select(
+        F.col("e.shingle").alias("shingle"), "doc_id", "root", "size", (F.col("alone") + F.col("k") + 1).alias("place")), "filed")
+    smallest = filed.groupBy("shingle").agg(
+        F.min("size").alias("smallest"), F.min("root").alias("least"), F.max("root").alias("most")).filter("least < most")
+    enough = similarity / (1 + similarity) * (F.col("size") + F.col("smallest")) - ROUNDING
+    return filed.join(smallest.select("shingle", "smallest"), "shingle").filter(F.col("size") - F.col("place") + 1 >= enough).drop("smallest")
+
+
+def _within_entries(banded: DataFrame, roots: DataFrame, docs: DataFrame, words: int, similarity: float, block: int) -> DataFrame:
     """Links (a, b) that connect all pairs of that similarity within the entries (band, value) of ``banded``.
 
-    Entries whose documents are connected already are left alone. In the others the documents of a root form blocks of
+    Entries whose documents are connected already are left alone. The documents of the others meet by the shingles that
+    ``meeting_places`` files them under. Of those that meet, the documents of a root form blocks of
     about ``block`` shingles, small roots share blocks, and each block is searched against each one that is not of the
     same root, in a task of its own.
     """
     entry = ["band", "value"]
-    sized = banded.join(made.select("doc_id", "size"), "doc_id").join(roots, F.col("doc_id") == F.col("node"), "left").select(
-        *entry, "doc_id", "size", F.coalesce("root", "doc_id").alias("root"))
-    sized = stored(sized, "entries")
-    groups = stored(sized.groupBy(*entry, "root").agg(F.sum("size").alias("own"), F.count("*").alias("n")), "groups")
+    rooted = stored(banded.join(roots, F.col("doc_id") == F.col("node"), "left").select(
+        *entry, "doc_id", F.coalesce("root", "doc_id").alias("root")), "entries")
     # Up to three documents have been compared one by one.
-    apart = groups.groupBy(*entry).agg(F.sum("own").alias("all"), F.sum("n").alias("rows"), F.count("*").alias("roots")).filter(
-        "roots > 1 AND rows > 3").drop("rows", "roots")
-    parts = groups.drop("n").join(apart, entry).select(
-        *entry, "root", (F.col("own") > block).alias("alone"),
+    apart = rooted.groupBy(*entry).agg(F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("most")).filter(
+        "least < most AND n > 3")
+    asked = rooted.join(apart.select(*entry), entry, "left_semi").select("doc_id", "root").distinct()
+
+    def make():
+        def work(batch):
+            return {"doc_id": batch.column("doc_id"), "root": batch.column("root"),
+                    "shingles": [np.unique(shingle_hashes(t, words)).view(np.int64) for t in batch.column("text").to_pylist()]}
+
+        return work
+
+    texts = texts_of(docs).join(asked, "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "root", "text")
+    sets = stored(per_batch(texts, make, "doc_id long, root long, shingles array<long>").filter(F.size("shingles") > 0), "sets")
+    met = stored(meeting_places(sets, similarity), "met")
+    groups = stored(met.groupBy("shingle", "root").agg(F.sum("size").alias("own")), "groups")
+    apart = groups.groupBy("shingle").agg(F.sum("own").alias("all"), F.count("*").alias("roots")).filter("roots > 1").drop("roots")
+    parts = groups.join(apart, "shingle").select(
+        "shingle", "root", (F.col("own") > block).alias("alone"),
         F.ceil(F.when(F.col("own") > block, F.col("own")).otherwise(F.col("all")) / block).alias("blocks"))
     drawn = F.pmod(F.xxhash64(F.when(F.col("alone"), F.col("doc_id")).otherwise(F.col("root"))), F.col("blocks"))
-    members = stored(sized.join(parts, [*entry, "root"]).select(
-        *entry, "doc_id", "root", F.when(F.col("alone"), F.col("root")).alias("only"), drawn.alias("part")).withColumn(
+    members = stored(met.join(parts, ["shingle", "root"]).select(
+        "shingle", "doc_id", "root", "place", F.when(F.col("alone"), F.col("root")).alias("only"), drawn.alias("part")).withColumn(
         "block", F.xxhash64("only", F.col("only").isNull(), "part")), "members")
-    blocks = stored(members.select(*entry, "block", "only").distinct(), "blocks")
-    left, right = (blocks.select(*entry, F.col("block").alias(n), F.col("only").alias(f"only_{n}")) for n in ("x", "y"))
-    tasks = left.join(right, entry).filter(
+    blocks = members.select("shingle", "block", "only").distinct()
+    left, right = (blocks.select("shingle", F.col("block").alias(n), F.col("only").alias(f"only_{n}")) for n in ("x", "y"))
+    tasks = left.join(right, "shingle").filter(
         "x <= y AND NOT coalesce(only_x = only_y, false)").select(
-        *entry, F.xxhash64(*entry, "x", "y").alias("task"), F.explode(F.when(
+        "shingle", F.xxhash64("shingle", "x", "y").alias("task"), F.explode(F.when(
             F.col("x") == F.col("y"), F.array(F.struct(F.col("x").alias("block"), F.lit(0).alias("side")))).otherwise(F.array(
                 F.struct(F.col("x").alias("block"), F.lit(0).alias("side")),
                 F.struct(F.col("y").alias("block"), F.lit(1).alias("side"))))).alias("p")).select(
-        *entry, F.col("p.block").alias("block"), F.col("p.side").alias("side"), "task")
-    asked = members.join(tasks, [*entry, "block"]).select("task", "side", "root", "doc_id")
+        "shingle", F.col("p.block").alias("block"), F.col("p.side").alias("side"), "task")
 
-    def make():
-        def work(batch):
-            return {"doc_id": batch.column("doc_id"),
-                    "hashes": [np.unique(shingle_hashes(t, words)).astype("<u8").tobytes() for t in batch.column("text").to_pylist()]}
-
-        return work
-
-    texts = texts_of(docs).join(members.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    hashes = stored(per_batch(texts, make, "doc_id long, hashes binary").filter(F.length("hashes") > 0), "hashes")
-    rows = asked.join(made.select("doc_id", "sketch").join(hashes, "doc_id"), "doc_id").select(
-        "task", "side", "root", "doc_id", "sketch", "hashes")
+    def packed(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([np.asarray(x, "<i8").tobytes() for x in batch.column(1).to_pylist()], pa.binary())],
+                schema=narrow)
+
+    narrow = arrow_schema("doc_id long, hashes binary")
+    hashes = sets.select("doc_id", "shingles").mapInArrow(packed, "doc_id long, hashes binary")
+    rows = members.join(tasks, ["shingle", "block"]).join(hashes, "doc_id").select(
+        "task", "side", "root", "doc_id", "place", "hashes")
     return rows.repartition("task").sortWithinPartitions("task").mapInArrow(_search_entries(similarity), "a long, b long")
 
 
@@ -429,7 +466,9 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, blo
     held against two, drawn anew for each of the 20 samples, so entries of up to three documents are complete and larger
     ones give at most twice as many candidates as they have rows.
 
-    Of a document's candidates one is compared first; of the others only those that it is not connected to by then.
+    Of a document's candidates one is compared first; of the others only those that it is not connected to by then. The
+    documents of entries that are not all connected by then are searched whole, by the shingles that two similar ones
+    must share (``meeting_places``).
     Rows without doc_id are left out; repeated rows are one document (of two texts under one id, one is taken).
     """
     made = stored(sketches(docs.filter("doc_id IS NOT NULL"), words), "sketches")
@@ -467,7 +506,7 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, blo
     roots = stored(components(links), "roots")
     crowded = banded.join(heads.select("band", "value"), ["band", "value"])
     links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(
-        _within_entries(crowded, roots, made, docs, words, similarity, block)).unionByName(
+        _within_entries(crowded, roots, docs, words, similarity, block)).unionByName(
         same.select(F.col("doc_id").alias("a"), F.col("leader").alias("b")))
     return components(links).select(F.col("node").alias("doc_id"), F.col("root").alias("component_id"))
 

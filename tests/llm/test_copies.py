@@ -124,6 +124,34 @@ def test_groups_alike_only_through_their_base(spark):
         assert {k: got.get(k, k) for k in made} == wanted
 
 
+def test_similar_sets_of_two_roots_meet(spark):
+    rng = np.random.default_rng(12)
+    made = []
+    for family in range(12):
+        base = rng.choice(4_000, rng.integers(4, 90), replace=False) + 10_000 * (family % 4)
+        for _ in range(rng.integers(2, 14)):
+            kept = base[rng.random(len(base)) > rng.choice([0.0, 0.06, 0.15])]
+            made.append(sorted({*kept.tolist(), *rng.integers(0, 1 << 40, rng.integers(0, 8)).tolist(), family}))
+    common = list(range(100_000, 100_070))
+    made += [[*common, *range(10**9 + 100 * i, 10**9 + 100 * i + 30)] for i in range(30)]
+    roots = [int(r) for r in rng.integers(0, len(made) // 2, len(made))]
+    frame = spark.createDataFrame([(i, r, m) for i, (r, m) in enumerate(zip(roots, made))], "doc_id long, root long, shingles array<long>")
+    entries = {}
+    for r in simhash.meeting_places(frame, 0.8).collect():
+        assert r.root == roots[r.doc_id] and r.size == len(made[r.doc_id])
+        entries.setdefault(r.shingle, {})[r.doc_id] = r.place
+    # A passage that thirty have, beside as many shingles of their own as keep them unlike, brings none of them together.
+    assert not any(i >= len(made) - 30 for e in entries.values() for i in e)
+    sets, close = [set(m) for m in made], 0
+    for b in range(len(made)):
+        for a in range(b):
+            if roots[a] != roots[b] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                close += 1
+                least = 0.8 / 1.8 * (len(made[a]) + len(made[b])) - simhash.ROUNDING
+                assert any(min(len(made[i]) - e[i] + 1 for i in (a, b)) >= least for e in entries.values() if a in e and b in e)
+    assert close > 50
+
+
 def test_one_of_each_over_rough_rows(spark):
     docs = documents(spark)
     kept = simhash.one_of_each(docs)
