@@ -2,9 +2,14 @@
 
 A text's subwords are the 2-, 3- and 4-byte windows of its lower-cased UTF-8 form, within words (a blank marks a word's ends), hashed
 to buckets. The text is the average of its buckets' embeddings; a linear softmax scores the languages. Embeddings and
-softmax are trained by stochastic gradient descent in numpy on a bounded sample of labelled rows. A fifth of that sample
-is left out of training; on it the softmax is calibrated (one temperature), and the score below which a prediction is
-rejected is the ``ALPHA`` quantile of its scores, so that about that share of texts like the labelled ones is rejected at most.
+softmax are trained by stochastic gradient descent in numpy on a bounded sample of labelled rows.
+
+A fifth of that sample is left out of training and calibrates what is rejected. One temperature is fitted to whole texts and
+to short pieces of them, with targets smoothed by Laplace's rule, so it has a finite best value where no mistake is made. A
+prediction is rejected for a score below those of that language's own texts and pieces, where predicted rightly (the ``ALPHA``
+quantile), or for its novelty: the share of the text's subwords that no training text of the predicted language has. Novelty
+is rejected from halfway between what the language's own texts reach and what texts of the other languages have at least;
+these stand for the languages that nobody labelled.
 """
 
 from __future__ import annotations
@@ -24,7 +29,9 @@ DIMENSIONS = 16
 EPOCHS = 6
 RATE = 0.4
 ALPHA = 0.001
-CERTAIN = 0.9  # never rejected from this score on
+FOREIGN = 0.01  # quantile of the novelty of other languages' texts
+PIECES = 4  # short pieces of each held-out text
+KINDS = 1 << 20  # subwords told apart for novelty; their last bits are the bucket
 SLICE = 1 << 20  # bytes handled at once
 UNKNOWN = "und"
 
@@ -36,7 +43,7 @@ _BLANK[128:] = np.arange(128, 256)
 
 
 def subwords(text: str) -> list[np.ndarray]:
-    """Bucket numbers of all subwords of a text, in slices."""
+    """Numbers of all subwords of a text, in slices; the bucket is their remainder by ``BUCKETS``."""
     data = np.frombuffer(f" {text.lower()} ".encode(), np.uint8)
     slices = []
     for at in range(0, len(data), SLICE):
@@ -58,7 +65,7 @@ def subwords(text: str) -> list[np.ndarray]:
                 fits = letter[:-1] | letter[1:]
             else:
                 fits = fits_inside(letter, n)
-            found.append((h[fits] >> np.uint32(7)) & np.uint32(BUCKETS - 1))
+            found.append((h[fits] >> np.uint32(7)) & np.uint32(KINDS - 1))
         slices.append(np.concatenate(found) if found else np.zeros(0, np.uint32))
     return slices
 
@@ -78,28 +85,40 @@ def softmax(z: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Languages, the product of embeddings and softmax weights by bucket, biases, temperature and least score."""
+    """Languages, the product of embeddings and softmax weights by bucket, biases, temperature; by language the least score,
+    the most novelty and a bit for each subword that its training texts have."""
 
     languages: list[str]
     weights: np.ndarray
     bias: np.ndarray
     temperature: float = 1.0
-    least: float = 0.0
+    least: np.ndarray | None = None
+    most: np.ndarray | None = None
+    seen: np.ndarray | None = None
 
-    def logits(self, text: str) -> np.ndarray:
+    def logits(self, found: list[np.ndarray]) -> np.ndarray:
         total, n = np.zeros(len(self.languages)), 0
-        for h in subwords(text):
-            total += np.bincount(h, minlength=BUCKETS) @ self.weights if len(h) > 2 * BUCKETS else self.weights[h].sum(axis=0, dtype=np.float64)
+        for h in found:
+            at = h & np.uint32(BUCKETS - 1)
+            total += np.bincount(at, minlength=BUCKETS) @ self.weights if len(h) > 2 * BUCKETS else self.weights[at].sum(axis=0, dtype=np.float64)
             n += len(h)
         return total / max(n, 1) + self.bias
 
+    def novelty(self, found: list[np.ndarray], language: int) -> float:
+        """Share of subwords that the language's training texts don't have."""
+        bits = self.seen[language]
+        known = sum(int(((bits[h >> np.uint32(3)] >> (h & np.uint32(7)).astype(np.uint8)) & 1).sum()) for h in found)
+        return 1 - known / max(sum(map(len, found)), 1)
+
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """(language, score, rejected); ``und`` with score 0 where there is no letter or nothing was learned."""
         if not text or not self.languages or not has_letter(text):
             return UNKNOWN, 0.0, True
-        p = softmax(self.logits(text) / self.temperature)
+        found = subwords(text)
+        p = softmax(self.logits(found) / self.temperature)
         best = int(p.argmax())
-        return self.languages[best], float(p[best]), bool(p[best] < self.least)
+        rejected = p[best] < self.least[best] or self.novelty(found, best) > self.most[best]
+        return self.languages[best], float(p[best]), bool(rejected)
 
 
 def train(texts: list[str], langs: list[str], seed: int = 7) -> Model:
@@ -115,7 +134,7 @@ def train(texts: list[str], langs: list[str], seed: int = 7) -> Model:
 
     def features(text: str):
         h = np.concatenate(subwords(text))
-        buckets, counts = np.unique(h, return_counts=True)
+        buckets, counts = np.unique(h & np.uint32(BUCKETS - 1), return_counts=True)
         return buckets, (counts / max(len(h), 1)).astype(np.float32)
 
     whole = {i: features(usable[i][0]) for i in fitted}
@@ -143,16 +162,51 @@ def train(texts: list[str], langs: list[str], seed: int = 7) -> Model:
                 # Scaled up, as an average spreads a step over all subwords of a text.
                 table[buckets] -= np.outer(np.minimum(rate * 20 * share, rate), back)
     model = Model(languages, (table @ out).astype(np.float32), bias.astype(np.float64))
-    logits = np.array([model.logits(usable[i][0]) for i in held])
-    targets = np.array([usable[i][1] for i in held])
-    grid = np.geomspace(0.05, 20, 60)
-    loss = [-np.log(softmax(logits / t)[np.arange(len(targets)), targets] + 1e-12).mean() for t in grid]
-    model.temperature = float(grid[int(np.argmin(loss))])
-    scores = softmax(logits / model.temperature).max(axis=1)
-    model.least = min(CERTAIN, float(np.quantile(scores, ALPHA)))
+    calibrate(model, [usable[i] for i in fitted], [usable[i] for i in held], rng)
     return model
 
 
+def calibrate(model: Model, fitted: list[tuple[str, int]], held: list[tuple[str, int]], rng: np.random.Generator) -> None:
+    """Set the model's temperature and what it rejects, from texts (text, language) learned from and held-out ones."""
+    kinds = len(model.languages)
+    seen = np.zeros((kinds, KINDS), bool)
+    for text, g in fitted:
+        for h in subwords(text):
+            seen[g, h] = True
+    model.seen = np.packbits(seen, axis=1, bitorder="little")
+    found = [subwords(t) for t, _ in held]
+    pieces = []
+    for text, _ in held:
+        words = text.split()
+        for _ in range(PIECES):
+            begin = int(rng.integers(0, max(1, len(words) - 2)))
+            pieces.append(subwords(" ".join(words[begin:begin + int(rng.integers(2, 25))])))
+    logits = np.array([model.logits(f) for f in found])
+    shorter = np.array([model.logits(f) for f in pieces])
+    targets = np.array([g for _, g in held])
+    if kinds > 1:
+        wrong = 1 / (2 * len(held) + 2)
+        goal = np.full((len(held), kinds), wrong / (kinds - 1))
+        goal[np.arange(len(held)), targets] = 1 - wrong
+        goal = np.concatenate([goal, goal.repeat(PIECES, axis=0)])
+        every = np.concatenate([logits, shorter])
+        grid = np.geomspace(0.05, 20, 60)
+        loss = [-(goal * np.log(softmax(every / t) + 1e-300)).sum(axis=1).mean() for t in grid]
+        model.temperature = float(grid[int(np.argmin(loss))])
+    p, pieced = softmax(logits / model.temperature), softmax(shorter / model.temperature)
+    right = p.argmax(axis=1) == targets
+    model.least, model.most = np.zeros(kinds), np.ones(kinds)
+    for g in range(kinds):
+        own = right & (targets == g)
+        if not own.any():
+            continue
+        short = pieced[(pieced.argmax(axis=1) == g) & (targets.repeat(PIECES) == g), g]
+        model.least[g] = np.quantile(np.concatenate([p[own, g], short]), ALPHA)
+        other = [model.novelty(f, g) for f, t in zip(found, targets) if t != g]
+        reached = np.quantile([model.novelty(found[i], g) for i in np.flatnonzero(own)], 1 - ALPHA)
+        model.most[g] = max(reached, (reached + (np.quantile(other, FOREIGN) if other else 1.0)) / 2)
+
+
 def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Train on at most about ``sample_rows`` rows of (doc_id, text, lang), the same ones on every run.
 

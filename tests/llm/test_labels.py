@@ -4,6 +4,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from orderloom.llm import langid, weakrules
@@ -39,6 +40,36 @@ def test_held_out_texts_by_language(spark):
     assert np.mean([r.rejected for r in got]) < 0.02
 
 
+def letters(rng, alphabet):
+    return [" ".join("".join(rng.choice(list(alphabet), rng.integers(2, 9))) for _ in range(rng.integers(5, 80))) for _ in range(100)]
+
+
+@pytest.mark.parametrize("draw", [1, 2, 3])
+@pytest.mark.parametrize("unlabelled", ["en", "de", "es", "fr"])
+def test_texts_of_no_learned_language_are_rejected(unlabelled, draw):
+    docs = pd.read_parquet("/root/testdata/sf0.1/documents.parquet")
+    docs = docs[docs.text.notna() & docs.lang.notna()].sample(frac=1, random_state=draw)
+    learned, rest = docs[docs.lang != unlabelled], docs[docs.lang == unlabelled]
+    model = langid.train(learned.text[:2_000].tolist(), learned.lang[:2_000].tolist())
+    assert 0.05 < model.temperature < 20
+    rng = np.random.default_rng(draw)
+    rejected = lambda texts: np.mean([model.predict(t)[2] for t in texts])
+    assert rejected(rest.text[:200]) >= 0.9
+    assert rejected(letters(rng, "абвгдежзиклмнопрстуфхцчшщыьэюя")) >= 0.9
+    assert rejected(letters(rng, "abcdefghijklmnopqrstuvwxyz")) >= 0.9
+    assert rejected(learned.text[2_000:4_000]) <= 0.01
+
+
+def test_novelty_is_the_share_of_subwords_not_learned():
+    model = langid.train(["the cat sat on the mat"] * 30 + ["der hund lag auf dem dach"] * 30, ["en"] * 30 + ["de"] * 30)
+    en, de = model.languages.index("en"), model.languages.index("de")
+    assert model.novelty(langid.subwords("the cat sat"), en) == 0.0
+    found = langid.subwords("the cat sat")
+    known = set(np.concatenate(langid.subwords("der hund lag auf dem dach")).tolist())
+    assert model.novelty(found, de) == pytest.approx(np.mean([h not in known for h in np.concatenate(found).tolist()]))
+    assert langid.train(["only one language here"] * 30, ["en"] * 30).predict("only one language")[0] == "en"
+
+
 def test_identified_rows_keep_their_columns(spark):
     docs = documents(spark)
     kept = langid.keep_identified(docs)
