@@ -119,6 +119,59 @@ def test_accuracies_are_recovered():
     assert (verdicts == good).mean() > 0.97
 
 
+def plain_verdicts(votes, rounds=3000):
+    """The same estimate over single texts, a loop a text and a rule; votes are 1, -1 and 0."""
+    p = [0.1 ** sum(v < 0 for v in row) for row in votes]
+    for _ in range(rounds):
+        share = (sum(p) + 9) / (len(p) + 10)
+        chances = []
+        for j in range(len(votes[0])):
+            voted = [(q, row[j] < 0) for q, row in zip(p, votes) if row[j]]
+            g = (sum(q for q, b in voted if b) + 2) / (sum(q for q, _ in voted) + 200)
+            chances.append((g, max(g, (sum(1 - q for q, b in voted if b) + 0.04) / (sum(1 - q for q, _ in voted) + 0.1))))
+        before, p = p, []
+        for row in votes:
+            good, bad = share, 1 - share
+            for v, (g, b) in zip(row, chances):
+                if v:
+                    good, bad = good * (g if v < 0 else 1 - g), bad * (b if v < 0 else 1 - b)
+            p.append(good / (good + bad))
+        if max(abs(a - b) for a, b in zip(before, p)) < 1e-9:
+            break
+    return p
+
+
+def drawn_votes(seed, n, on_good):
+    rng = np.random.default_rng(seed)
+    good = rng.random(n) < 0.85
+    bad_vote = np.where(good[:, None], rng.random((n, 5)) < on_good, rng.random((n, 5)) < [0.5, 0.4, 0.6, 0.5, 0.3])
+    return good, np.where(rng.random((n, 5)) < 0.1, 0, np.where(bad_vote, -1, 1))
+
+
+def test_posteriors_equal_those_of_single_texts():
+    _, votes = drawn_votes(3, 400, [0.05, 0.1, 0.005, 0.005, 0.005])
+    patterns, counts = np.unique(votes, axis=0, return_counts=True)
+    model = weakrules.expectation_maximisation(patterns, counts.astype(float))
+    wanted = plain_verdicts(votes.tolist())
+    assert max(abs(model.posterior(v) - w) for v, w in zip(votes.tolist(), wanted)) < 1e-4
+
+
+@pytest.mark.parametrize("n", [2_000, 20_000, 500_000])
+def test_rules_of_many_false_alarms_cost_few_good_texts(n):
+    good, votes = drawn_votes(n, n, [0.05, 0.1, 0.005, 0.005, 0.005])
+    patterns, at, counts = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
+    model = weakrules.expectation_maximisation(patterns, counts.astype(float))
+    kept = np.array([model.posterior(v) >= 0.5 for v in patterns.tolist()])[at.ravel()]
+    assert 1 - kept[good].mean() < 0.03 and kept[~good].mean() < 0.25 and abs(model.prior - 0.85) < 0.03
+
+
+@pytest.mark.parametrize("copies", [1, 30, 10_000])
+def test_a_rule_that_votes_alone_decides_at_every_size(copies):
+    patterns = np.array([[1, 1, 1, 1], [-1, 1, 1, 1], [1, 1, 0, 1], [-1, 1, 0, 1], [1, -1, 1, 1]])
+    model = weakrules.expectation_maximisation(patterns, np.array([700.0, 70, 150, 15, 3]) * copies)
+    assert [model.posterior(v) >= 0.5 for v in patterns.tolist()] == [True, False, True, False, True]
+
+
 @pytest.mark.parametrize("folder", ["/root/testdata/sf0.01"])
 def test_labels_agree(spark, folder):
     got = weakrules.quality(spark.read.parquet(f"{folder}/documents.parquet"), stored)
