@@ -152,3 +152,41 @@ def test_outliers_find_as_many_neighbours_as_there_are(spark):
     for r in got:
         found.setdefault(r.query_id, []).append(r.vec_id)
     assert all(len(v) == 10 and q not in v for q, v in found.items() if q != 100_100) and len(found) == 55 and 100_100 not in found[100_100]
+
+
+@pytest.mark.parametrize("bits", [64, 100, 512])
+def test_shared_bits_give_the_inner_product_with_the_signs(bits):
+    rng = np.random.default_rng(bits)
+    rotation = np.linalg.qr(rng.normal(size=(bits, bits)))[0][:20]
+    v, q, c = rng.normal(size=(300, 20)), rng.normal(size=20), rng.normal(size=20) * 0.1
+    codes, length, correction = rabitq.encode(v, c, rotation)
+    y = (q - c) @ rotation
+    signs = np.unpackbits(codes, axis=1, count=bits) * 2.0 - 1
+    wanted = length**2 + y @ y - 2 * length * (signs @ y) / np.sqrt(bits) / correction
+    low, high = rabitq.bounds(codes, length, correction, q, c, rotation)
+    step = (y.max() - y.min()) / ((1 << rabitq.PLANES) - 1)
+    assert np.abs((low + high) / 2 - wanted).max() <= 2 * length.max() * step / 2 * np.sqrt(bits) / correction.min()
+    assert (low <= wanted).all() and (wanted <= high).all()
+
+
+def test_codes_choose_what_is_measured(spark):
+    frame = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    search = rabitq.indexed(frame, 10)
+    queries, _ = search.queries(100, 10)
+    visited = sum(int(search.sizes[r["lists"]].sum()) for r in queries.collect())
+    assert 0 < search.survivors(queries).count() < 0.2 * visited
+    code = search.codes.first()
+    assert search.codes.columns == ["list", "number", "code", "length", "correction"] and len(code.code) == rabitq.BITS // 8
+
+
+def test_many_queries_of_one_vector(spark, monkeypatch):
+    monkeypatch.setattr(rabitq, "BLOCK", 40)
+    monkeypatch.setattr(rabitq, "SLICE", 7)
+    rng = np.random.default_rng(6)
+    rows = [(i, [1.0] * 8) for i in range(0, 400, 2)] + [(i, rng.normal(size=8).tolist()) for i in range(1, 400, 2)]
+    got = {}
+    for r in rabitq.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), every=20).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    assert len(got) == 20
+    for q, found in got.items():
+        assert [i for _, i, _ in sorted(found)] == [i for i in range(0, 24, 2) if i != q][:10] and all(s == 0 for *_, s in found)
