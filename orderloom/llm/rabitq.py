@@ -6,9 +6,10 @@ scalars: its length and its inner product with its own signs. A query is rotated
 ``PLANES`` bits; the inner product with a code is then a weighted sum of the bits that a plane and the code share. It is
 estimated without bias, and its error is bounded with high probability. Only codes travel to the search:
 
-1. In its nearest lists a query takes its k least upper bounds; the last of them, over all these lists, is its limit.
+1. In its nearest lists a query takes the vectors of least estimates, ``FIRST`` for each neighbour wanted; they are fetched by number and
+   measured in double precision. The k-th least distance among them, one for all lists, is the query's limit.
 2. In all lists that it visits, codes whose lower bound is not above the limit survive.
-3. The vectors of survivors are fetched by number and measured in double precision.
+3. The survivors' vectors are fetched and measured likewise.
 
 How many lists a query visits is set on the sample: the fewest that hold ``TARGET`` of its true neighbours.
 
@@ -34,7 +35,8 @@ BITS = 512  # least length of a code
 PLANES = 6  # bits of a query's components
 BLOCK = 32_768  # codes of a list that are searched in one task
 SLICE = 4096  # codes that are compared at once
-NEAR = 8  # the limit comes from one in so many of the lists visited
+NEAR = 4  # the limit comes from one in so many of the lists visited
+FIRST = 3  # vectors measured for each neighbour wanted, to set the limit
 EPSILON = 3.0  # error bound in standard deviations of the estimate
 
 
@@ -229,11 +231,12 @@ def _search(index, made_of):
     return run
 
 
-def least_upper(query, wanted, limit, ids, low, high):
-    """As many least upper bounds as neighbours are wanted."""
-    n = min(int(wanted), len(high))
-    kept = np.argpartition(high, n - 1)[:n]
-    return np.full(n, query), ids[kept], high[kept]
+def least_estimates(query, wanted, limit, ids, low, high):
+    """``FIRST`` vectors of least estimates for each neighbour wanted."""
+    n = min(FIRST * int(wanted), len(ids))
+    middle = (low + high) / 2
+    kept = np.argpartition(middle, n - 1)[:n]
+    return np.full(n, query), ids[kept], middle[kept]
 
 
 def below_limit(query, wanted, limit, ids, low, high):
@@ -279,13 +282,22 @@ class Search:
         rows = held.unionByName(visits).repartition("list", "block").sortWithinPartitions("list", "block", "role")
         return rows.mapInArrow(_search(self.index, made_of), FOUND)
 
+    def measured(self, pairs: DataFrame, queries: DataFrame) -> DataFrame:
+        """(query, wanted, vec_id, score) of pairs (query, number): distances in double precision."""
+        double = lambda x: x.cast("double")
+        square = F.zip_with("v", "q", lambda a, b: (double(a) - double(b)) * (double(a) - double(b)))
+        both = pairs.select("query", "number").join(self.once, "number").join(queries.select("query", "wanted", F.col("v").alias("q")), "query")
+        return both.select("query", "wanted", "vec_id", F.sqrt(F.aggregate(square, F.lit(0.0), lambda total, x: total + x)).alias("score"))
+
     def survivors(self, queries: DataFrame) -> DataFrame:
         """(query, number) of all codes whose lower bound is not above their query's limit."""
         near = queries.withColumn("lists", F.slice("lists", F.lit(1), F.col("near"))).withColumn("limit", F.lit(None).cast("double"))
         best = Window.partitionBy("query").orderBy("bound", "number")
-        limits = self.held_against(near, least_upper).join(queries.select("query", "wanted"), "query") \
-            .withColumn("n", F.row_number().over(best)).filter(F.col("n") <= F.col("wanted")) \
-            .groupBy("query").agg(F.when(F.count("*") >= F.first("wanted"), F.max("bound")).alias("limit"))
+        first = self.held_against(near, least_estimates).join(queries.select("query", "wanted"), "query") \
+            .withColumn("n", F.row_number().over(best)).filter(F.col("n") <= FIRST * F.col("wanted"))
+        nearer = Window.partitionBy("query").orderBy("score", "vec_id")
+        limits = self.measured(first, queries).withColumn("n", F.row_number().over(nearer)).filter(F.col("n") == F.col("wanted")) \
+            .select("query", (F.col("score") * F.col("score") * (1 + 1e-9)).alias("limit"))
         limited = queries.join(limits, "query", "left").withColumn("limit", F.coalesce("limit", F.lit(float("inf"))))
         return self.held_against(limited, below_limit).select("query", "number")
 
@@ -327,10 +339,7 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
     if search is None:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     queries, members = search.queries(every, k)
-    of_query = queries.select("query", F.col("v").alias("q"), "wanted")
-    square = F.zip_with("v", "q", lambda a, b: (a.cast("double") - b.cast("double")) * (a.cast("double") - b.cast("double")))
-    measured = search.survivors(queries).join(search.once, "number").join(of_query, "query").select(
-        "query", "wanted", "vec_id", F.sqrt(F.aggregate(square, F.lit(0.0), lambda total, x: total + x)).alias("score"))
+    measured = search.measured(search.survivors(queries), queries)
     first = Window.partitionBy("query").orderBy("score", "vec_id")
     kept = measured.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= F.col("wanted")).drop("n", "wanted")
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
