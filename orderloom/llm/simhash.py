@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, per_batch, stored, texts_of
+from .common import arrow_schema, drop_stored, per_batch, stored, texts_of
 from .components import components
 
 SEED = 42
@@ -371,7 +371,7 @@ def _search_entries(similarity: float):
     return run
 
 
-def meeting_places(sets: DataFrame, similarity: float) -> DataFrame:
+def meeting_places(sets: DataFrame, similarity: float, store=stored) -> DataFrame:
     """(shingle, doc_id, root, size, place): where documents (doc_id, root, shingles) of two roots meet if they are similar.
 
     A document's shingles are ordered by how many documents have them, those that one root alone has before all others. Two
@@ -386,7 +386,7 @@ def meeting_places(sets: DataFrame, similarity: float) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("n", "shingle"))).alias("known"))
     alone = F.col("size") - F.size("known")
     early = (F.col("size") - F.ceil(F.col("size") * similarity - ROUNDING) - alone + 1).cast("int")
-    filed = stored(ordered.withColumn("early", early).filter("early > 0").select(
+    filed = store(ordered.withColumn("early", early).filter("early > 0").select(
         "doc_id", "root", "size", alone.alias("alone"), F.posexplode(F.slice("known", F.lit(1), F.col("early"))).alias("k", "e")).select(
         F.col("e.shingle").alias("shingle"), "doc_id", "root", "size", (F.col("alone") + F.col("k") + 1).alias("place")), "filed")
     smallest = filed.groupBy("shingle").agg(
@@ -395,7 +395,7 @@ def meeting_places(sets: DataFrame, similarity: float) -> DataFrame:
     return filed.join(smallest.select("shingle", "smallest"), "shingle").filter(F.col("size") - F.col("place") + 1 >= enough).drop("smallest")
 
 
-def _within_entries(banded: DataFrame, roots: DataFrame, docs: DataFrame, words: int, similarity: float, block: int) -> DataFrame:
+def _within_entries(banded: DataFrame, roots: DataFrame, docs: DataFrame, words: int, similarity: float, block: int, store=stored) -> DataFrame:
     """Links (a, b) that connect all pairs of that similarity within the entries (band, value) of ``banded``.
 
     Entries whose documents are connected already are left alone. The documents of the others meet by the shingles that
@@ -404,7 +404,7 @@ def _within_entries(banded: DataFrame, roots: DataFrame, docs: DataFrame, words:
     same root, in a task of its own.
     """
     entry = ["band", "value"]
-    rooted = stored(banded.join(roots, F.col("doc_id") == F.col("node"), "left").select(
+    rooted = store(banded.join(roots, F.col("doc_id") == F.col("node"), "left").select(
         *entry, "doc_id", F.coalesce("root", "doc_id").alias("root")), "entries")
     # Up to three documents have been compared one by one.
     apart = rooted.groupBy(*entry).agg(F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("most")).filter(
@@ -419,15 +419,15 @@ def _within_entries(banded: DataFrame, roots: DataFrame, docs: DataFrame, words:
         return work
 
     texts = texts_of(docs).join(asked, "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "root", "text")
-    sets = stored(per_batch(texts, make, "doc_id long, root long, shingles array<long>").filter(F.size("shingles") > 0), "sets")
-    met = stored(meeting_places(sets, similarity), "met")
-    groups = stored(met.groupBy("shingle", "root").agg(F.sum("size").alias("own")), "groups")
+    sets = store(per_batch(texts, make, "doc_id long, root long, shingles array<long>").filter(F.size("shingles") > 0), "sets")
+    met = store(meeting_places(sets, similarity, store), "met")
+    groups = store(met.groupBy("shingle", "root").agg(F.sum("size").alias("own")), "groups")
     apart = groups.groupBy("shingle").agg(F.sum("own").alias("all"), F.count("*").alias("roots")).filter("roots > 1").drop("roots")
     parts = groups.join(apart, "shingle").select(
         "shingle", "root", (F.col("own") > block).alias("alone"),
         F.ceil(F.when(F.col("own") > block, F.col("own")).otherwise(F.col("all")) / block).alias("blocks"))
     drawn = F.pmod(F.xxhash64(F.when(F.col("alone"), F.col("doc_id")).otherwise(F.col("root"))), F.col("blocks"))
-    members = stored(met.join(parts, ["shingle", "root"]).select(
+    members = store(met.join(parts, ["shingle", "root"]).select(
         "shingle", "doc_id", "root", "place", F.when(F.col("alone"), F.col("root")).alias("only"), drawn.alias("part")).withColumn(
         "block", F.xxhash64("only", F.col("only").isNull(), "part")), "members")
     blocks = members.select("shingle", "block", "only").distinct()
@@ -471,13 +471,19 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, blo
     must share (``meeting_places``).
     Rows without doc_id are left out; repeated rows are one document (of two texts under one id, one is taken).
     """
-    made = stored(sketches(docs.filter("doc_id IS NOT NULL"), words), "sketches")
-    ids = stored(made.groupBy("doc_id").agg(F.min("copy").alias("copy")), "ids")
+    tables: list[DataFrame] = []
+
+    def store(df: DataFrame, name: str) -> DataFrame:
+        tables.append(stored(df, name))
+        return tables[-1]
+
+    made = store(sketches(docs.filter("doc_id IS NOT NULL"), words), "sketches")
+    ids = store(made.groupBy("doc_id").agg(F.min("copy").alias("copy")), "ids")
     leaders = ids.groupBy("copy").agg(F.min("doc_id").alias("leader"), F.count("*").alias("copies"))
-    same = stored(ids.join(leaders.filter("copies > 1"), "copy").filter("doc_id > leader").select("doc_id", "leader"), "same")
-    made = stored(made.join(leaders.select("copy", F.col("leader").alias("doc_id")), ["copy", "doc_id"], "left_semi")
+    same = store(ids.join(leaders.filter("copies > 1"), "copy").filter("doc_id > leader").select("doc_id", "leader"), "same")
+    made = store(made.join(leaders.select("copy", F.col("leader").alias("doc_id")), ["copy", "doc_id"], "left_semi")
                   .dropDuplicates(["doc_id"]).drop("copy"), "leaders")
-    prints = stored(made.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
+    prints = store(made.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     near = fingerprint_links(prints.select("fp"))
     across = near.join(prints.select(F.col("fp").alias("a"), F.col("least").alias("la")), "a").join(
         prints.select(F.col("fp").alias("b"), F.col("least").alias("lb")), "b").select(
@@ -493,22 +499,26 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, blo
     both = pairs.join(made.select(F.col("doc_id").alias("a"), F.col("sketch").alias("sa")), "a").join(
         made.select(F.col("doc_id").alias("b"), F.col("sketch").alias("sb")), "b").select("a", "b", "sa", "sb")
     ddl = "a long, b long, agreement double"
-    likely = stored(both.mapInArrow(_agreement("sa", "sb", ddl), ddl).filter(
+    likely = store(both.mapInArrow(_agreement("sa", "sb", ddl), ddl).filter(
         F.col("agreement") >= similarity - SKETCH_SLACK).select("a", "b"), "likely")
     named = likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = stored(texts_of(docs).join(named, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+    texts = store(texts_of(docs).join(named, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
     # One by a hash, so that the candidates of a large entry are spread over those drawn for it.
-    first = stored(likely.groupBy("a").agg(F.min_by("b", F.xxhash64("a", "b")).alias("b")), "first")
-    roots = stored(components(_similar(first, texts, words, similarity)), "roots")
-    later = stored(_apart(likely.join(first, ["a", "b"], "left_anti"), roots), "later")
+    first = store(likely.groupBy("a").agg(F.min_by("b", F.xxhash64("a", "b")).alias("b")), "first")
+    roots = store(components(_similar(first, texts, words, similarity)), "roots")
+    later = store(_apart(likely.join(first, ["a", "b"], "left_anti"), roots), "later")
     links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(
         _similar(later, texts, words, similarity))
-    roots = stored(components(links), "roots")
+    roots = store(components(links), "roots")
     crowded = banded.join(heads.select("band", "value"), ["band", "value"])
     links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(
-        _within_entries(crowded, roots, docs, words, similarity, block)).unionByName(
+        _within_entries(crowded, roots, docs, words, similarity, block, store)).unionByName(
         same.select(F.col("doc_id").alias("a"), F.col("leader").alias("b")))
-    return components(links).select(F.col("node").alias("doc_id"), F.col("root").alias("component_id"))
+    groups = components(links).select(F.col("node").alias("doc_id"), F.col("root").alias("component_id"))
+    # The groups rest on tables of their own.
+    for table in tables:
+        drop_stored(table)
+    return groups
 
 
 def one_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
