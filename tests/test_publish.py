@@ -268,6 +268,14 @@ def test_invoice_refresh(spark, tmp_path):
     assert records(publish.read_published(spark, path, INVOICES), "invoice_cd") == [("Q",), ("R",)]
 
 
+def test_invoice_refresh_by_day_takes_old_months_if_asked(spark, tmp_path):
+    run, path = dt.datetime(2021, 4, 20, 10), str(tmp_path / "inv")
+    stamps = dict(trx_creat_dtm=run, audit_creat_dtm=run, audit_chng_dtm=run)
+    src = {name: source(spark, name, []) for name in SOURCES}
+    src["invoice_txn"] = source(spark, "invoice_txn", [txn(**stamps), txn(ref="P", ord_dt=dt.datetime(2021, 1, 2), **stamps)])
+    assert records(refresh.invoice_refresh(src, path, run, every_month=True).counts) == [(202101, 1), (202104, 1)]
+
+
 def test_invoice_refresh_keeps_too_wide_rows_aside(spark, tmp_path):
     run, path, rejects = dt.datetime(2021, 4, 20, 10), str(tmp_path / "inv"), str(tmp_path / "rejects")
     stamps = dict(trx_creat_dtm=run, audit_creat_dtm=run, audit_chng_dtm=run)

@@ -37,6 +37,15 @@ def test_runs_equal_their_sql_where_day_and_night_differ(spark, name):
     assert check.compare(known.queries()[name](spark, folder), check.connect(folder), oracle.oracle_sql()[name]) == ""
 
 
+def test_invoice_run_takes_every_month_touched(spark):
+    folder = "/root/testdata/sf0.01"
+    rows, night = (known.queries()[f"invoice_refresh_{n}"](spark, folder).drop("atm_update_dt") for n in ("rows", "night"))
+    assert rows.exceptAll(night).isEmpty() and night.exceptAll(rows).isEmpty()
+    day = known.queries()["invoice_refresh_day"](spark, folder)
+    assert 0 < day.count() < rows.count()
+    assert check.compare(day, check.connect(folder), oracle.oracle_sql()["invoice_refresh_day"]) == ""
+
+
 def test_entry_gives_mart_rows(spark):
     df = entry.entry(spark)
     assert df.columns[0] == "oper_aff_id" and len(df.columns) == 46 and df.limit(1).count() == 1
