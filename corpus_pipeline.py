@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import gc
 import uuid
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from orderloom.llm import chunkdedup, langid, packing, simhash, weakrules
+from orderloom.llm.common import release
 from orderloom.session import configure, shared_folder
 
 CAPACITY = 2048
@@ -29,15 +29,6 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return simhash.one_of_each(docs, words=5, similarity=0.8)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of frames that are out of use.
-
-    It does so when the driver collects them as garbage, which may be long after, and the disk of the next stage is needed before.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def cut_shared_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the passages that a document of smaller id has too (operator 1)."""
     release(spark)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.joins import among_keys
-from .common import arrow_schema, drop_stored, stored, texts_of
+from .common import arrow_schema, drop_stored, release, stored, texts_of
 
 WINDOW = 16
 CUT_BITS = 7
@@ -180,7 +180,7 @@ def shared_passages(data: bytes, other: bytes, seeds: list[tuple[int, int]], min
 SPANS = "doc_id long, text_hash long, start long, end long, n_words long, first_doc_id long"
 
 
-def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, store=stored) -> DataFrame:
     """(doc_id, text_hash, start, end, n_words, first_doc_id): spans, in bytes, that the document first_doc_id, of smaller id, has too.
 
     Spans of a text may overlap, but none lies within another. Rows of (doc_id, text). Rows without id and missing or empty
@@ -192,6 +192,8 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     # Digests and ids alone are grouped; places follow for digests that repeat.
     first = found.groupBy(*kind).agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last_doc_id"))
     first = stored(first.filter("first_doc_id < last_doc_id").drop("last_doc_id"), "repeated")
+    # Each step's shuffle files go before the next one writes its own.
+    release(docs.sparkSession)
     repeats = among_keys(found, first, {"d1": "d1", "d2": "d2"}).join(first, kind).filter("doc_id > first_doc_id")
     order = Window.partitionBy("doc_id", "text_hash", "anchor").orderBy("start")
     once = repeats.select("doc_id", "text_hash", "start", "end", "words", "anchor", "first_doc_id",
@@ -200,13 +202,15 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     run = F.sum(F.when(F.col("before") == F.col("start"), 0).otherwise(1)).over(order)
     whole = Window.partitionBy("doc_id", "text_hash", "anchor", "run")
     seeds = once.withColumn("run", run).withColumn("n", F.sum("words").over(whole)).filter(F.col("anchor") | (F.col("n") >= min_words))
-    seeds = stored(seeds.groupBy("doc_id", "text_hash", "first_doc_id").agg(
+    seeds = store(seeds.groupBy("doc_id", "text_hash", "first_doc_id").agg(
         F.collect_list(F.struct("start", "end")).alias("seeds")), "seeds")
     drop_stored(found)
     drop_stored(first)
+    release(docs.sparkSession)
     named = seeds.select(F.explode(F.array("doc_id", "first_doc_id")).alias("doc_id")).distinct()
-    texts = stored(texts_of(docs).filter("text <> ''").join(named, "doc_id", "left_semi").withColumn(
+    texts = store(texts_of(docs).filter("text <> ''").join(named, "doc_id", "left_semi").withColumn(
         "text_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "text_hash"]), "texts")
+    release(docs.sparkSession)
     pairs = seeds.join(texts.select(F.col("doc_id").alias("first_doc_id"), F.col("text").alias("other")), "first_doc_id").join(
         texts, ["doc_id", "text_hash"]).select("doc_id", "text_hash", "first_doc_id", "seeds", "text", "other")
     schema = arrow_schema(SPANS)
@@ -232,8 +236,19 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     Every row stays, also one whose text is all repeats (it is empty then). Columns keep their names and order.
     """
-    spans = repeated_spans(docs, min_words).groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(
+    tables: list[DataFrame] = []
+
+    def store(df: DataFrame, name: str) -> DataFrame:
+        tables.append(stored(df, name))
+        return tables[-1]
+
+    spans = repeated_spans(docs, min_words, store).groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(
         F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_spans"))
+    spans = stored(spans, "spans")
+    # The spans rest on a table of their own.
+    for table in tables:
+        drop_stored(table)
+    release(docs.sparkSession)
     joined = docs.join(spans, (F.col("doc_id").cast("long") == F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left")
     rows = joined.select(F.col("_spans"), *[F.col(f"`{c}`") for c in docs.columns])
     place = docs.columns.index("text") + 1

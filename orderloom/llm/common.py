@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -35,6 +36,17 @@ def drop_stored(df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of frames that are out of use.
+
+    It does so when the driver collects them as garbage, which may be long after, and the disk of the next stage is needed before.
+    Spark's listeners hold on to the query they heard of last, so a small one without a shuffle follows.
+    """
+    spark.range(1).collect()
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The two columns an operator works on, under fixed names; other columns never clash with its own."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))

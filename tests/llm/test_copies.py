@@ -1,9 +1,15 @@
 """Operators 1 and 4 against brute force."""
 
+import glob
+import os
+import time
+
 import numpy as np
 
 from orderloom.llm import chunkdedup, simhash
+from orderloom.llm.common import release
 from orderloom.llm.components import components
+from orderloom.session import shared_folder
 
 from .rough import documents, nothing, prose, rows, texts
 
@@ -236,6 +242,21 @@ def test_cutting_over_rough_rows(spark):
     assert chunkdedup.repeated_spans(nothing(spark)).count() == 0
 
 
+def test_cutting_keeps_only_its_spans_on_disk(spark):
+    local = [str(d) for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    shuffled = lambda: {p for d in local for p in glob.glob(f"{d}/*/shuffle_*.data")}
+    held = lambda: {os.path.basename(p) for p in glob.glob(f"{shared_folder(spark)}/*")}
+    release(spark)
+    files, tables = shuffled(), held()
+    out = chunkdedup.without_repeats(documents(spark))
+    until = time.time() + 20
+    while shuffled() - files and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled() - files
+    assert [name.split("-")[0] for name in held() - tables] == ["spans"]
+    assert out.count() == documents(spark).count()
+
+
 def test_different_texts_of_one_id_all_stay(spark):
     a, b, c = prose(1, 80), prose(2, 80), prose(3, 80)
     rows = [(1, a, "x"), (1, b, "x"), (1, a, "x"), (2, c, "y"), (3, a + " more", "z"), (4, b + " more", "z"), (None, a, "n"), (5, None, "e"), (5, "", "e")]
