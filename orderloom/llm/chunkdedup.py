@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.joins import among_keys
+from ..operators.joins import among_keys, key_bits
 from .common import arrow_schema, drop_stored, release, stored, texts_of
 
 WINDOW = 16
@@ -208,7 +208,8 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, store=stored) ->
     drop_stored(first)
     release(docs.sparkSession)
     named = seeds.select(F.explode(F.array("doc_id", "first_doc_id")).alias("doc_id")).distinct()
-    texts = store(texts_of(docs).filter("text <> ''").join(named, "doc_id", "left_semi").withColumn(
+    asked = among_keys(texts_of(docs).filter("text <> ''"), named, {"doc_id": "doc_id"}, key_bits(docs))
+    texts = store(asked.join(named, "doc_id", "left_semi").withColumn(
         "text_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "text_hash"]), "texts")
     release(docs.sparkSession)
     pairs = seeds.join(texts.select(F.col("doc_id").alias("first_doc_id"), F.col("text").alias("other")), "first_doc_id").join(

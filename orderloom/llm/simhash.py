@@ -21,7 +21,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, drop_stored, per_batch, stored, texts_of
+from ..operators.joins import among_keys, key_bits
+from .common import arrow_schema, drop_stored, per_batch, release, stored, texts_of
 from .components import components
 
 SEED = 42
@@ -395,9 +396,10 @@ def meeting_places(sets: DataFrame, similarity: float, store=stored) -> DataFram
     return filed.join(smallest.select("shingle", "smallest"), "shingle").filter(F.col("size") - F.col("place") + 1 >= enough).drop("smallest")
 
 
-def _within_entries(banded: DataFrame, roots: DataFrame, docs: DataFrame, words: int, similarity: float, block: int, store=stored) -> DataFrame:
+def _within_entries(banded: DataFrame, roots: DataFrame, texts: DataFrame, words: int, similarity: float, block: int, store=stored) -> DataFrame:
     """Links (a, b) that connect all pairs of that similarity within the entries (band, value) of ``banded``.
 
+    ``texts`` has the text of each of their documents, once.
     Entries whose documents are connected already are left alone. The documents of the others meet by the shingles that
     ``meeting_places`` files them under. Of those that meet, the documents of a root form blocks of
     about ``block`` shingles, small roots share blocks, and each block is searched against each one that is not of the
@@ -418,8 +420,8 @@ def _within_entries(banded: DataFrame, roots: DataFrame, docs: DataFrame, words:
 
         return work
 
-    texts = texts_of(docs).join(asked, "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "root", "text")
-    sets = store(per_batch(texts, make, "doc_id long, root long, shingles array<long>").filter(F.size("shingles") > 0), "sets")
+    rows = texts.join(asked, "doc_id").select("doc_id", "root", "text")
+    sets = store(per_batch(rows, make, "doc_id long, root long, shingles array<long>").filter(F.size("shingles") > 0), "sets")
     met = store(meeting_places(sets, similarity, store), "met")
     groups = store(met.groupBy("shingle", "root").agg(F.sum("size").alias("own")), "groups")
     apart = groups.groupBy("shingle").agg(F.sum("own").alias("all"), F.count("*").alias("roots")).filter("roots > 1").drop("roots")
@@ -469,6 +471,9 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, blo
     Of a document's candidates one is compared first; of the others only those that it is not connected to by then. The
     documents of entries that are not all connected by then are searched whole, by the shingles that two similar ones
     must share (``meeting_places``).
+
+    Sketches are dropped once the candidates are known, and each step's shuffle files go before the next large one. Texts are
+    fetched once, those of all candidates and crowded entries; a filter of their ids keeps most others out of that shuffle.
     Rows without doc_id are left out; repeated rows are one document (of two texts under one id, one is taken).
     """
     tables: list[DataFrame] = []
@@ -477,12 +482,14 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, blo
         tables.append(stored(df, name))
         return tables[-1]
 
-    made = store(sketches(docs.filter("doc_id IS NOT NULL"), words), "sketches")
-    ids = store(made.groupBy("doc_id").agg(F.min("copy").alias("copy")), "ids")
+    sketched = stored(sketches(docs.filter("doc_id IS NOT NULL"), words), "sketches")
+    ids = store(sketched.groupBy("doc_id").agg(F.min("copy").alias("copy")), "ids")
     leaders = ids.groupBy("copy").agg(F.min("doc_id").alias("leader"), F.count("*").alias("copies"))
     same = store(ids.join(leaders.filter("copies > 1"), "copy").filter("doc_id > leader").select("doc_id", "leader"), "same")
-    made = store(made.join(leaders.select("copy", F.col("leader").alias("doc_id")), ["copy", "doc_id"], "left_semi")
+    made = stored(sketched.join(leaders.select("copy", F.col("leader").alias("doc_id")), ["copy", "doc_id"], "left_semi")
                   .dropDuplicates(["doc_id"]).drop("copy"), "leaders")
+    drop_stored(sketched)
+    release(docs.sparkSession)
     prints = store(made.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     near = fingerprint_links(prints.select("fp"))
     across = near.join(prints.select(F.col("fp").alias("a"), F.col("least").alias("la")), "a").join(
@@ -490,9 +497,12 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, blo
         F.col("la").alias("a"), F.col("lb").alias("b"))
     banded = made.select("doc_id", F.posexplode(F.concat("bands", F.array("fp"))).alias("band", "value"))
     drawn = F.struct(F.xxhash64("doc_id", "band").alias("h"), F.col("doc_id").alias("id"))
-    heads = banded.groupBy("band", "value").agg(F.min(drawn).alias("one"), F.max(drawn).alias("two")).filter("one.id <> two.id")
-    sampled = banded.join(heads, ["band", "value"]).select(
-        F.col("doc_id").alias("a"), F.explode(F.array("one.id", "two.id")).alias("b"))
+    heads = banded.groupBy("band", "value").agg(
+        F.min(drawn).alias("one"), F.max(drawn).alias("two"), F.count("*").alias("n")).filter("one.id <> two.id")
+    shared = store(banded.join(heads, ["band", "value"]).select(
+        "band", "value", "doc_id", F.col("one.id").alias("one"), F.col("two.id").alias("two"), "n"), "shared")
+    release(docs.sparkSession)
+    sampled = shared.select(F.col("doc_id").alias("a"), F.explode(F.array("one", "two")).alias("b"))
     pairs = across.unionByName(sampled).filter("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     # The sketch drops what is far from similar; the rest is compared in full.
@@ -501,8 +511,14 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, blo
     ddl = "a long, b long, agreement double"
     likely = store(both.mapInArrow(_agreement("sa", "sb", ddl), ddl).filter(
         F.col("agreement") >= similarity - SKETCH_SLACK).select("a", "b"), "likely")
-    named = likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = store(texts_of(docs).join(named, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+    drop_stored(made)
+    release(docs.sparkSession)
+    # Entries of up to three documents give candidates only.
+    crowded = shared.filter("n > 3").select("band", "value", "doc_id")
+    named = store(likely.select(F.explode(F.array("a", "b")).alias("doc_id")).unionByName(crowded.select("doc_id")).distinct(), "named")
+    asked = among_keys(texts_of(docs), named, {"doc_id": "doc_id"}, key_bits(docs))
+    texts = store(asked.join(named, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+    release(docs.sparkSession)
     # One by a hash, so that the candidates of a large entry are spread over those drawn for it.
     first = store(likely.groupBy("a").agg(F.min_by("b", F.xxhash64("a", "b")).alias("b")), "first")
     roots = store(components(_similar(first, texts, words, similarity)), "roots")
@@ -510,14 +526,14 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, blo
     links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(
         _similar(later, texts, words, similarity))
     roots = store(components(links), "roots")
-    crowded = banded.join(heads.select("band", "value"), ["band", "value"])
     links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(
-        _within_entries(crowded, roots, docs, words, similarity, block, store)).unionByName(
+        _within_entries(crowded, roots, texts, words, similarity, block, store)).unionByName(
         same.select(F.col("doc_id").alias("a"), F.col("leader").alias("b")))
     groups = components(links).select(F.col("node").alias("doc_id"), F.col("root").alias("component_id"))
     # The groups rest on tables of their own.
     for table in tables:
         drop_stored(table)
+    release(docs.sparkSession)
     return groups
 
 

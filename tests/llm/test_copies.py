@@ -7,7 +7,7 @@ import time
 import numpy as np
 
 from orderloom.llm import chunkdedup, simhash
-from orderloom.llm.common import release
+from orderloom.llm.common import release, stored
 from orderloom.llm.components import components
 from orderloom.session import shared_folder
 
@@ -242,6 +242,29 @@ def test_cutting_over_rough_rows(spark):
     assert chunkdedup.repeated_spans(nothing(spark)).count() == 0
 
 
+def test_groups_fetch_texts_once_and_without_sketches_on_disk(spark, monkeypatch):
+    local = [str(d) for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    shuffled = lambda: {p for d in local for p in glob.glob(f"{d}/*/shuffle_*.data")}
+    held = lambda: {os.path.basename(p) for p in glob.glob(f"{shared_folder(spark)}/*")}
+    docs = stored(documents(spark), "docs")
+    release(spark)
+    files, tables, fetched = shuffled(), held(), []
+    # Shuffles that have files; the last is that of the ids to fetch.
+    left = lambda: {os.path.basename(p).split("_")[1] for p in shuffled() - files}
+
+    def watched(df, name, *rest):
+        if any(f in df.inputFiles() for f in docs.inputFiles()) and name != "sketches":
+            until = time.time() + 20
+            while len(left()) > 1 and time.time() < until:
+                time.sleep(0.2)
+            fetched.append((name, len(left()) > 1, {t.split("-")[0] for t in held() - tables} & {"sketches", "leaders"}))
+        return stored(df, name, *rest)
+
+    monkeypatch.setattr(simhash, "stored", watched)
+    simhash.similar_groups(docs)
+    assert fetched == [("texts", False, set())]
+
+
 def test_cutting_keeps_only_its_spans_on_disk(spark):
     local = [str(d) for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
     shuffled = lambda: {p for d in local for p in glob.glob(f"{d}/*/shuffle_*.data")}
