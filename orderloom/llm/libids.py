@@ -25,8 +25,8 @@ class LibraryIds:
         return array("I", [t.id for t in self._model(word)]).tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
-        by_word = self.by_word
-        return b"".join([by_word[w] for w in self.split.words(chunk)])
+        by_word, words = self.by_word, self.split.words(chunk)
+        return by_word[words[0]] if len(words) == 1 else b"".join([by_word[w] for w in words])
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers; a missing text is empty."""

@@ -7,6 +7,7 @@ Unicode tables decide. Strings of special tokens inside a text are cut out first
 
 from __future__ import annotations
 
+import codecs
 import json
 import re
 from collections.abc import Callable
@@ -57,8 +58,7 @@ class PreSplit:
         self.suffix = self.spec["model"].get("end_of_word_suffix") or ""
         self._cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self._mark = min(self.special, key=len)[:2] if self.special else ""
-        letters = byte_letters()
-        self._letters = {c: "".join(letters[b] for b in chr(c).encode()) for c in (*range(33), *range(127, 256))}
+        self._letters = "".join(byte_letters())
         # Only the file that drops white space may be cut at every white space.
         self.drops_space = bool(self.suffix)
         if self.drops_space:
@@ -76,10 +76,12 @@ class PreSplit:
     def words(self, chunk: str) -> list[str]:
         """Pre-tokens of a chunk, or of a whole text without special strings."""
         if self._plain(chunk):
-            found = self._words(chunk.lower() if self.drops_space else chunk)
-            if chunk.isascii() and self.drops_space:
+            text = chunk.lower() if self.drops_space else chunk
+            # Letters alone are one pre-token.
+            found = [text] if text.isalpha() else self._words(text)
+            if self.drops_space and text.isascii():
                 return found
-            return [w.translate(self._letters) for w in found]
+            return [codecs.charmap_decode(w.encode(), "strict", self._letters)[0] for w in found]
         if self.library.normalizer is not None:
             chunk = self.library.normalizer.normalize_str(chunk)
         return [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(chunk)]

@@ -9,7 +9,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from orderloom.llm import bpeauto, idpack, libids, packing, tokencount
+from orderloom.llm import bpeauto, idpack, libids, packing, presplit, tokencount
 from orderloom.session import working_path
 
 from .rough import documents, nothing, rows, texts
@@ -52,6 +52,16 @@ def test_automaton_and_word_cache_equal_the_library(library):
         assert codec.decode(packed(wanted)) == library[WORD].decode(wanted, skip_special_tokens=False)
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_letters_alone_are_one_pre_token_without_a_search(path):
+    split = presplit.PreSplit(path)
+    wanted = {w: split.words(w + " ")[0] for w in ("abc", "ABC", "Straße", "ÀÉÿ", "don", "s")}
+    library = {w: [x for x, _ in split.library.pre_tokenizer.pre_tokenize_str(
+        split.library.normalizer.normalize_str(w) if split.library.normalizer else w)] for w in wanted}
+    split._words = None
+    assert {w: split.words(w) for w in wanted} == library == {w: [x] for w, x in wanted.items()}
+
+
 def test_automaton_accepts_only_what_merging_gives():
     vocab = {t: i for i, t in enumerate(["a", "b", "c", "aa", "ab", "bc", "aab", "abc"])}
     merges = [("a", "a"), ("a", "b"), ("b", "c"), ("aa", "b"), ("ab", "c")]
