@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from ..session import working_path
+from ..session import drop_stored as drop_stored, release as release, stored as stored
 
 Batches = Iterator[pa.RecordBatch]
 
@@ -21,32 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
-    """Write a frame below the shared folder and read it back: lineage ends here, and lost executors cost no rerun."""
-    path = working_path(df.sparkSession, name)
-    df.write.option("compression", compression).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def drop_stored(df: DataFrame) -> None:
-    """Delete what ``stored`` wrote, once nothing that is yet to run reads it."""
-    spark = df.sparkSession
-    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of frames that are out of use.
-
-    It does so when the driver collects them as garbage, which may be long after, and the disk of the next stage is needed before.
-    Spark's listeners hold on to the query they heard of last, so a small one without a shuffle follows.
-    """
-    spark.range(1).collect()
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The two columns an operator works on, under fixed names; other columns never clash with its own."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
